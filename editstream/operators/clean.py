@@ -70,15 +70,16 @@ def valid_edits(edits: DataFrame) -> DataFrame:
     return edits.where(has_wiki())
 
 
-def to_keyed_json(edits: DataFrame) -> DataFrame:
+def to_keyed_json(edits: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Keyed record for the log: key = wiki, value = JSON of the 18 fields.
 
     Nulls are written as explicit JSON nulls. Rows without a wiki are not
-    published.
+    published. ``carry`` keeps extra columns (e.g. a target partition).
     """
     value = F.to_json(F.struct(*[F.col(c) for c in EDIT_COLUMNS]),
                       {"ignoreNullFields": "false"})
-    return valid_edits(edits).select(F.col("wiki").alias("key"), value.alias("value"))
+    return valid_edits(edits).select(F.col("wiki").alias("key"), value.alias("value"),
+                                     *(carry or []))
 
 
 def decode_edits(records: DataFrame, value_col: str = "value") -> DataFrame:
