@@ -2,7 +2,8 @@
 
 Each lookup is a literal map folded into the plan; they are applied to
 already-reduced results (one row per wiki / namespace / type), never to the
-raw edit stream.
+raw edit stream. The maps are written as SQL text so each costs one
+driver->JVM call to build rather than one per entry.
 """
 
 from __future__ import annotations
@@ -20,12 +21,18 @@ from .fixed_values import (
 )
 
 
-def _map(mapping: dict, key_type: str | None = None) -> Column:
-    args = []
-    for k, v in mapping.items():
-        key = F.lit(k) if key_type is None else F.lit(k).cast(key_type)
-        args += [key, F.lit(v)]
-    return F.create_map(*args)
+def _sql_lit(v) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else f"{v}L"
+
+
+_MAP_SQL: dict[int, str] = {}
+
+
+def _map(mapping: dict) -> Column:
+    key = id(mapping)
+    if key not in _MAP_SQL:
+        _MAP_SQL[key] = "map(" + ", ".join(f"{_sql_lit(k)}, {_sql_lit(v)}" for k, v in mapping.items()) + ")"
+    return F.expr(_MAP_SQL[key])
 
 
 def suffix_pattern() -> str:
@@ -47,7 +54,7 @@ def wiki_name(code: Column) -> Column:
 
 def namespace_name(ns: Column) -> Column:
     """Known namespace name, else ``Namespace <n>``; null -> ``(unknown)``."""
-    named = F.try_element_at(_map(NAMESPACE_NAMES, "long"), ns.cast("long"))
+    named = F.try_element_at(_map(NAMESPACE_NAMES), ns.cast("long"))
     return (F.when(ns.isNull(), F.lit(UNKNOWN_LABEL))
             .otherwise(F.coalesce(named, F.concat(F.lit("Namespace "), ns.cast("string")))))
 

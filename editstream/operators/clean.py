@@ -31,38 +31,39 @@ def parse_feed_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
             .select("e.*"))
 
 
-def trim_events(raw: DataFrame, ingestion_ts: Column | None = None) -> DataFrame:
+def trim_events(raw: DataFrame, ingestion_ts: str | None = None) -> DataFrame:
     """Raw nested event -> the flat 18-field edit.
 
     Missing ``bot``/``minor`` become false, the comment is cut to its first
     240 code points, the size delta exists only when both sizes do, and the
-    ingestion stamp is ``ingestion_ts`` (a column, so replays are
-    deterministic) or the current wall-clock second.
+    ingestion stamp is the SQL expression ``ingestion_ts`` (default: the
+    column of that name when present, so replays are deterministic, else the
+    current wall-clock second).
     """
     if ingestion_ts is None:
-        ingestion_ts = (F.col("ingestion_ts") if "ingestion_ts" in raw.columns
-                        else F.unix_timestamp(F.current_timestamp()))
-    return raw.select(
-        F.col("id").cast("long").alias("id"),
-        "type", "wiki", "title",
-        F.col("namespace").cast("long").alias("namespace"),
-        "user",
-        F.coalesce(F.col("bot"), F.lit(False)).alias("bot"),
-        F.coalesce(F.col("minor"), F.lit(False)).alias("minor"),
-        F.substring(F.coalesce(F.col("comment"), F.lit("")), 1, COMMENT_MAX_CHARS).alias("comment"),
-        F.col("timestamp").cast("long").alias("timestamp"),
+        ingestion_ts = ("ingestion_ts" if "ingestion_ts" in raw.columns
+                        else "unix_timestamp(current_timestamp())")
+    return raw.selectExpr(
+        "CAST(id AS BIGINT) AS id", "type", "wiki", "title",
+        "CAST(namespace AS BIGINT) AS namespace", "user",
+        "coalesce(bot, false) AS bot",
+        "coalesce(minor, false) AS minor",
+        f"substring(coalesce(comment, ''), 1, {COMMENT_MAX_CHARS}) AS comment",
+        "CAST(timestamp AS BIGINT) AS timestamp",
         "server_url", "server_name",
-        F.col("length.old").alias("length_old"),
-        F.col("length.new").alias("length_new"),
-        (F.col("length.new") - F.col("length.old")).alias("length_delta"),
-        F.col("revision.old").alias("revision_old"),
-        F.col("revision.new").alias("revision_new"),
-        ingestion_ts.cast("long").alias("ingestion_ts"),
+        "length.old AS length_old",
+        "length.new AS length_new",
+        "length.new - length.old AS length_delta",
+        "revision.old AS revision_old",
+        "revision.new AS revision_new",
+        f"CAST({ingestion_ts} AS BIGINT) AS ingestion_ts",
     )
 
 
 def has_wiki() -> Column:
-    return F.col("wiki").isNotNull() & (F.col("wiki") != "")
+    """wiki is neither null nor empty (one reference, so a pushed-down copy of
+    the predicate evaluates the wiki expression once)."""
+    return F.length(F.col("wiki")) > 0
 
 
 def valid_edits(edits: DataFrame) -> DataFrame:

@@ -14,23 +14,25 @@ ENRICHED_OUTPUT = [
 ]
 
 
-def enrich(edits: DataFrame, dim: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def enrich(edits: DataFrame, dim: DataFrame, keep: list[str] | None = None,
+           dim_rows: int | None = None) -> DataFrame:
     """Attach language/continent/region/country to every edit on ``wiki``.
 
     Unmatched edits are kept with null dimension columns. The dimension is
     broadcast (planned as BroadcastHashJoin LeftOuter BuildRight), so the edit
-    stream is never shuffled; its size is checked before the hint is given.
+    stream is never shuffled; its size is checked before the hint is given
+    (``dim_rows``: an exact row count already known to the caller).
     """
     keep = keep if keep is not None else ENRICHED_OUTPUT
-    side = checked_broadcast(dim.select(*DIM_COLUMNS))
+    side = checked_broadcast(dim.select(*DIM_COLUMNS), known_rows=dim_rows)
     joined = edits.join(side, on="wiki", how="left")
     return joined.select(*keep)
 
 
-def enrich_for_snapshot(edits: DataFrame, dim: DataFrame) -> DataFrame:
+def enrich_for_snapshot(edits: DataFrame, dim: DataFrame, dim_rows: int | None = None) -> DataFrame:
     """Enriched rows plus the arrival-order columns the snapshot needs."""
     extra = [c for c in ARRIVAL_ORDER if c not in ENRICHED_OUTPUT]
-    return enrich(edits, dim, ENRICHED_OUTPUT + extra)
+    return enrich(edits, dim, ENRICHED_OUTPUT + extra, dim_rows)
 
 
 def with_labels(df: DataFrame, cols: list[str], unknown: str = "(unknown)") -> DataFrame:

@@ -115,8 +115,9 @@ def trend_picker(latest: DataFrame) -> DataFrame:
 def kpi_summary(latest: DataFrame, live: DataFrame) -> DataFrame:
     """Headline figures: edits and active wikis in the newest windows, the most
     active wiki, and bots vs humans on the live snapshot (share 0 when empty)."""
-    bots = live.select(F.count_if(F.col("bot")).alias("n")).scalar()
-    humans = live.select(F.count_if(~F.col("bot")).alias("n")).scalar()
+    people = live.select(F.struct(F.count_if(F.col("bot")).alias("b"),
+                                  F.count_if(~F.col("bot")).alias("h"))).scalar()
+    bots, humans = people.getField("b"), people.getField("h")
     rank_key = F.struct((-F.col("edit_count")).alias("neg_count"), F.col("wiki"))
     head = latest.agg(
         F.coalesce(F.sum("edit_count"), F.lit(0)).cast("long").alias("total_edits"),

@@ -51,7 +51,7 @@ def live(spark: SparkSession, sf_dir: str, cells: list[str] | None = None) -> Da
 
 
 def enriched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enr.enrich_for_snapshot(valid(spark, sf_dir), dims.language_dim(spark))
+    return enr.enrich_for_snapshot(valid(spark, sf_dir), dims.language_dim(spark), dims.bundled_dim_rows())
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +89,7 @@ def q_decode_edits(spark, sf_dir):
 
 
 def q_enrich_edits(spark, sf_dir):
-    return enr.enrich(valid(spark, sf_dir), dims.language_dim(spark))
+    return enr.enrich(valid(spark, sf_dir), dims.language_dim(spark), dim_rows=dims.bundled_dim_rows())
 
 
 def q_live_snapshot(spark, sf_dir):

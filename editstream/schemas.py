@@ -7,8 +7,19 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
 )
 
+# The driver's click-stream table the replay fixture is derived from.
+EVENTS = StructType([
+    StructField("event_id", LongType()),
+    StructField("ts", TimestampNTZType()),
+    StructField("user_id", LongType()),
+    StructField("event_type", StringType()),
+    StructField("value", DoubleType()),
+    StructField("props", StringType()),
+])
+
 _PAIR = StructType([StructField("old", LongType()), StructField("new", LongType())])
 
 # Raw change event as it comes off the feed; `length` / `revision` may be absent.

@@ -16,6 +16,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # The dimension and lookups are LocalRelations with exact sizes; anything
     # else above this threshold is shuffled rather than broadcast.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),

@@ -30,13 +30,20 @@ def language_dim(spark: SparkSession, path: str | None = None, fmt: str = "json"
     return df.select(*DIM_COLUMNS)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      known_rows: int | None = None) -> DataFrame:
     """Broadcast hint only for a side whose row count is proven below a bound.
 
-    The check reads at most ``max_rows + 1`` rows of the (static) side once.
-    Above the bound the hint is withheld and Spark shuffles both sides.
+    ``known_rows`` is an exact count the caller already has (the bundled
+    dimension); otherwise the check reads at most ``max_rows + 1`` rows of
+    the (static) side once. Above the bound the hint is withheld and Spark
+    shuffles both sides.
     """
     if df.isStreaming:
         return df
-    n = df.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def bundled_dim_rows() -> int:
+    return len(dimension_rows())

@@ -5,12 +5,17 @@ change event (FIXTURES.md §2) with integer arithmetic only, so the same
 derivation written in SQL gives identical rows. Time is compressed x600 so
 that one-minute windows are populated. It is a pure projection: no shuffle,
 one output row per input row, and it scales with the input.
+
+The projection is written as SQL expressions (one ``selectExpr`` per stage):
+a Column built call by call costs a driver->JVM round trip per literal.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from ..schemas import EVENTS
+from ..session import scratch_dir
 
 BASE_EPOCH = 1704067200  # 2024-01-01T00:00:00Z
 TIME_COMPRESSION = 600
@@ -25,73 +30,101 @@ WIKI_BUCKETS = [
 TYPE_BY_EVENT = {"click": "edit", "purchase": "new", "signup": "log", "view": "categorize"}
 NAMESPACE_BY_MOD13 = {4: 1, 5: 2, 6: 3, 7: 6, 8: 14, 9: 14, 10: 102, 11: -1}
 
-
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+_SPREAD: dict[tuple[str, str], str | None] = {}
 
 
-def _case(key: Column, mapping: dict, default) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(key == F.lit(k), F.lit(v)) if expr is None else expr.when(key == F.lit(k), F.lit(v))
-    return expr.otherwise(default)
-
-
-def _pair_or_null(old: Column, new: Column) -> Column:
-    """A nested {old,new} pair, absent (null) when neither side is known."""
-    return F.when(old.isNull() & new.isNull(), F.lit(None)).otherwise(
-        F.struct(old.alias("old"), new.alias("new")))
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole ``events`` table.
+
+    A file with a single row group is one scan split, which would leave all
+    the per-row work to one task (and Catalyst pushes later filters back
+    below any in-plan repartition, into that task). In that case only, the
+    rows are hash-spread on ``event_id`` over the available cores once per
+    session and written as a Parquet table in the shared checkpoint folder;
+    queries then scan that copy with full parallelism and pushdown. Inputs
+    that already have enough splits (any real-size table) are read directly.
+    """
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SPREAD:
+        events = spark.read.schema(EVENTS).parquet(path)
+        cores = spark.sparkContext.defaultParallelism
+        staged = None
+        if events.rdd.getNumPartitions() < cores:
+            staged = scratch_dir(spark, "events-spread")
+            events.repartition(cores, "event_id").write.parquet(staged)
+        _SPREAD[key] = staged
+    return spark.read.schema(EVENTS).parquet(_SPREAD[key] or path)
+
+
+def _s(v) -> str:
+    return "NULL" if v is None else ("'" + str(v).replace("'", "''") + "'" if isinstance(v, str) else str(v))
+
+
+def _case_sql(key: str, mapping: dict, default: str) -> str:
+    whens = " ".join(f"WHEN {key} = {_s(k)} THEN {_s(v)}" for k, v in mapping.items())
+    return f"CASE {whens} ELSE {default} END"
+
+
+def _wiki_sql(k: str) -> str:
+    """k < 0 -> first bucket; 0..98 index an array of codes (one lookup, so
+    the JSON field is read once even where the optimizer inlines it);
+    99+ and null -> null."""
+    codes, lo = [], 0
+    for bound, code in WIKI_BUCKETS:
+        codes += [code] * (bound - lo)
+        lo = bound
+    arr = "array(" + ", ".join(_s(c) for c in codes) + ")"
+    return f"CASE WHEN {k} < 0 THEN {_s(WIKI_BUCKETS[0][1])} ELSE try_element_at({arr}, {k} + 1) END"
 
 
 def flat_raw_columns(events: DataFrame) -> DataFrame:
     """The raw event with its nested pairs shown flat (plus ingestion_ts)."""
-    eid = F.col("event_id")
-    k = F.expr("try_cast(get_json_object(props, '$.k') AS INT)")
-    minute = F.lit(BASE_EPOCH) + F.expr(f"(unix_timestamp(ts) - {BASE_EPOCH}) div {TIME_COMPRESSION}")
+    # Stage 1: the two parsed inputs, each computed once per row.
+    base = events.selectExpr(
+        "event_id", "event_type", "user_id",
+        "try_cast(get_json_object(props, '$.k') AS INT) AS k",
+        f"{BASE_EPOCH} + (unix_timestamp(ts) - {BASE_EPOCH}) div {TIME_COMPRESSION} AS minute",
+    )
+    fallback = "CASE event_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 'mystery' ELSE 'external' END"
+    namespace = _case_sql("event_id % 13", NAMESPACE_BY_MOD13,
+                          "CASE WHEN event_id % 13 = 12 THEN NULL ELSE 0 END")
+    no_length = "event_type IN ('signup', 'view')"
+    return base.selectExpr(
+        "event_id AS id",
+        f"{_case_sql('event_type', TYPE_BY_EVENT, fallback)} AS type",
+        f"{_wiki_sql('k')} AS wiki",
+        "concat('Page_', CAST(event_id % 500 AS STRING)) AS title",
+        f"CAST({namespace} AS BIGINT) AS namespace",
+        "concat('u', CAST(user_id AS STRING)) AS user",
+        "CASE WHEN event_id % 17 = 0 THEN NULL ELSE user_id % 3 = 0 END AS bot",
+        "CASE WHEN event_id % 19 = 0 THEN NULL ELSE event_id % 2 = 0 END AS minor",
+        "CASE WHEN event_id % 29 = 0 THEN NULL ELSE repeat('é', CAST(event_id % 400 AS INT)) END AS comment",
+        "minute - event_id % 20 AS timestamp",
+        f"CASE WHEN {no_length} THEN NULL ELSE (event_id * 37) % 5000 END AS length_old",
+        f"CASE WHEN {no_length} OR event_id % 11 = 0 THEN NULL "
+        "ELSE greatest((event_id * 37) % 5000 + event_id % 101 - 50, CAST(0 AS BIGINT)) END AS length_new",
+        "CASE WHEN event_type = 'signup' THEN NULL ELSE 1000000 + event_id END AS revision_old",
+        "CASE WHEN event_type = 'signup' THEN NULL ELSE 1000001 + event_id END AS revision_new",
+        "minute AS ingestion_ts",
+        "concat(wiki, '.example.org') AS server_name",
+        "concat('https://', wiki, '.example.org') AS server_url",
+    )
 
-    wiki = None
-    for bound, code in WIKI_BUCKETS:
-        wiki = F.when(k < bound, F.lit(code)) if wiki is None else wiki.when(k < bound, F.lit(code))
-    wiki = wiki.otherwise(F.lit(None).cast("string"))
-
-    fallback_type = (F.when(eid % 10 == 0, F.lit(None).cast("string"))
-                     .when(eid % 10 == 1, F.lit("mystery")).otherwise(F.lit("external")))
-    no_length = F.col("event_type").isin("signup", "view")
-    length_old = F.when(no_length, F.lit(None).cast("long")).otherwise((eid * 37) % 5000)
-    length_new = F.when(no_length | (eid % 11 == 0), F.lit(None).cast("long")).otherwise(
-        F.greatest((eid * 37) % 5000 + eid % 101 - 50, F.lit(0).cast("long")))
-    signup = F.col("event_type") == "signup"
-
-    return events.select(
-        eid.alias("id"),
-        _case(F.col("event_type"), TYPE_BY_EVENT, fallback_type).alias("type"),
-        wiki.alias("wiki"),
-        F.concat(F.lit("Page_"), (eid % 500).cast("string")).alias("title"),
-        _case(eid % 13, NAMESPACE_BY_MOD13,
-              F.when(eid % 13 == 12, F.lit(None)).otherwise(F.lit(0))).cast("long").alias("namespace"),
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user"),
-        F.when(eid % 17 == 0, F.lit(None).cast("boolean")).otherwise(F.col("user_id") % 3 == 0).alias("bot"),
-        F.when(eid % 19 == 0, F.lit(None).cast("boolean")).otherwise(eid % 2 == 0).alias("minor"),
-        F.when(eid % 29 == 0, F.lit(None).cast("string")).otherwise(
-            F.expr("repeat('é', CAST(event_id % 400 AS INT))")).alias("comment"),
-        (minute - eid % 20).alias("timestamp"),
-        length_old.alias("length_old"),
-        length_new.alias("length_new"),
-        F.when(signup, F.lit(None).cast("long")).otherwise(1000000 + eid).alias("revision_old"),
-        F.when(signup, F.lit(None).cast("long")).otherwise(1000001 + eid).alias("revision_new"),
-        minute.alias("ingestion_ts"),
-    ).withColumn("server_name", F.concat(F.col("wiki"), F.lit(".example.org"))) \
-     .withColumn("server_url", F.concat(F.lit("https://"), F.col("server_name")))
+
+def _pair_sql(old: str, new: str, name: str) -> str:
+    """A nested {old,new} pair, absent (null) when neither side is known."""
+    return (f"CASE WHEN {old} IS NULL AND {new} IS NULL THEN NULL "
+            f"ELSE named_struct('old', {old}, 'new', {new}) END AS {name}")
 
 
 def raw_events(events: DataFrame) -> DataFrame:
     """Nested raw change events (RAW_EVENT shape) plus the replay's ingestion_ts."""
-    flat = flat_raw_columns(events)
-    return flat.select(
+    return flat_raw_columns(events).selectExpr(
         "id", "type", "wiki", "title", "namespace", "user", "bot", "minor", "comment",
         "timestamp", "server_url", "server_name",
-        _pair_or_null(F.col("length_old"), F.col("length_new")).alias("length"),
-        _pair_or_null(F.col("revision_old"), F.col("revision_new")).alias("revision"),
+        _pair_sql("length_old", "length_new", "length"),
+        _pair_sql("revision_old", "revision_new", "revision"),
         "ingestion_ts",
     )
 

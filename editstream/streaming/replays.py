@@ -93,7 +93,7 @@ def replay_enriched(spark, sf_dir, folder=None):
     folder = folder or scratch_dir(spark, "enriched")
     land_replay(spark, sf_dir, folder)
     q = runner.start_enriched(_edits(spark, folder), dims.language_dim(spark), f"{folder}/enriched",
-                              f"{folder}/ckpt", "available_now")
+                              f"{folder}/ckpt", "available_now", dim_rows=dims.bundled_dim_rows())
     _run(q)
     return sinks.enriched_table(f"{folder}/enriched").read(spark)
 

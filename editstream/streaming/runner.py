@@ -62,10 +62,11 @@ def start_metrics(edits: DataFrame, path: str, checkpoint: str, trigger: str = M
 
 
 def start_enriched(edits: DataFrame, dim: DataFrame, path: str, checkpoint: str,
-                   trigger: str = ENRICH_TRIGGER, name: str = "enriched_snapshot") -> StreamingQuery:
+                   trigger: str = ENRICH_TRIGGER, name: str = "enriched_snapshot",
+                   dim_rows: int | None = None) -> StreamingQuery:
     """Stream-static left broadcast join, upserted per batch; the dimension is
     fixed for the life of the query."""
-    w = (enrich_for_snapshot(edits, dim).writeStream.queryName(name).outputMode("append")
+    w = (enrich_for_snapshot(edits, dim, dim_rows).writeStream.queryName(name).outputMode("append")
          .foreachBatch(sinks.enriched_table(path)).option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
