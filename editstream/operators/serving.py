@@ -37,18 +37,20 @@ def _known(c: str) -> F.Column:
 def latest_window(metrics: DataFrame, as_of: int | None = None) -> DataFrame:
     """Newest window per wiki with its count and average (missing average -> 0).
 
-    ``as_of`` (epoch seconds) optionally ignores windows ending after it.
+    The window end is unique per wiki, so per-column ``max_by`` picks one
+    consistent row; with primitive buffers this stays a hash aggregation
+    (partial + final, no sort). ``as_of`` (epoch seconds) optionally ignores
+    windows ending after it.
     """
     m = metrics if as_of is None else metrics.where(F.col("window_end_epoch") <= F.lit(as_of))
+    we = F.col("window_end_epoch")
     picked = m.groupBy("wiki").agg(
-        F.max_by(F.struct("window_end_epoch", "edit_count", "avg_delta"),
-                 F.col("window_end_epoch")).alias("w"))
-    return picked.select(
-        "wiki",
-        F.col("w.window_end_epoch").alias("window_end_epoch"),
-        F.col("w.edit_count").alias("edit_count"),
-        F.coalesce(F.col("w.avg_delta"), F.lit(0.0)).alias("avg_delta"),
+        F.max(we).alias("window_end_epoch"),
+        F.max_by("edit_count", we).alias("edit_count"),
+        F.max_by("avg_delta", we).alias("avg_delta"),
     )
+    return picked.select("wiki", "window_end_epoch", "edit_count",
+                         F.coalesce(F.col("avg_delta"), F.lit(0.0)).alias("avg_delta"))
 
 
 def _trend_cols(df: DataFrame) -> DataFrame:
@@ -94,7 +96,8 @@ def trend_picker(latest: DataFrame) -> DataFrame:
     Listing wikis by (count desc, wiki), a label keeps the position of its
     first wiki but resolves to its last (least active) wiki. Position is
     reported as that first wiki's sort key. The default is ``English
-    Wikipedia`` when present, else the first label.
+    Wikipedia`` when present, else the first label: one global one-row
+    aggregate, attached as a single scalar subquery.
     """
     labelled = latest.select("wiki", "edit_count", wiki_name(F.col("wiki")).alias("label"))
     rank_key = F.struct((-F.col("edit_count")).alias("neg_count"), F.col("wiki"))
@@ -103,35 +106,42 @@ def trend_picker(latest: DataFrame) -> DataFrame:
         F.min_by("wiki", rank_key).alias("first_wiki"),
         F.max_by("wiki", rank_key).alias("wiki"),
     )
-    has_default = labels.select(
-        F.max((F.col("label") == F.lit(DEFAULT_PICKER_LABEL)).cast("int"))).scalar()
-    first_label = labels.select(
-        F.min_by("label", F.struct((-F.col("first_count")).alias("n"), F.col("first_wiki")))).scalar()
-    is_default = F.when(F.coalesce(has_default, F.lit(0)) == 1,
-                        F.col("label") == F.lit(DEFAULT_PICKER_LABEL)).otherwise(F.col("label") == first_label)
-    return labels.select("label", "wiki", "first_count", "first_wiki", is_default.alias("is_default"))
+    first = F.min_by("label", F.struct((-F.col("first_count")).alias("n"), F.col("first_wiki")))
+    default_label = labels.select(
+        F.when(F.max((F.col("label") == F.lit(DEFAULT_PICKER_LABEL)).cast("int")) == 1,
+               F.lit(DEFAULT_PICKER_LABEL)).otherwise(first)).scalar()
+    return labels.select("label", "wiki", "first_count", "first_wiki",
+                         F.coalesce(F.col("label") == default_label, F.lit(False)).alias("is_default"))
 
 
 def kpi_summary(latest: DataFrame, live: DataFrame) -> DataFrame:
     """Headline figures: edits and active wikis in the newest windows, the most
-    active wiki, and bots vs humans on the live snapshot (share 0 when empty)."""
-    people = live.select(F.struct(F.count_if(F.col("bot")).alias("b"),
-                                  F.count_if(~F.col("bot")).alias("h"))).scalar()
-    bots, humans = people.getField("b"), people.getField("h")
-    rank_key = F.struct((-F.col("edit_count")).alias("neg_count"), F.col("wiki"))
-    head = latest.agg(
+    active wiki, and bots vs humans on the live snapshot (share 0 when empty).
+
+    Both inputs are tagged and unioned, so all figures come from one global
+    aggregation (partial per partition, one final row): each input is
+    computed once, with no join and no subquery.
+    """
+    m = latest.select(F.lit(True).alias("_m"), "wiki", "edit_count",
+                      F.lit(None).cast("boolean").alias("bot"))
+    p = live.select(F.lit(False).alias("_m"), F.lit(None).cast("string").alias("wiki"),
+                    F.lit(None).cast("long").alias("edit_count"), "bot")
+    is_m = F.col("_m")
+    rank_key = F.when(is_m, F.struct((-F.col("edit_count")).alias("neg_count"), F.col("wiki")))
+    head = m.unionByName(p).agg(
         F.coalesce(F.sum("edit_count"), F.lit(0)).cast("long").alias("total_edits"),
-        F.count(F.lit(1)).alias("active_wikis"),
+        F.count_if(is_m).alias("active_wikis"),
         F.min_by("wiki", rank_key).alias("top_wiki"),
         F.max("edit_count").alias("top_wiki_count"),
+        F.count_if(~is_m & F.col("bot")).alias("bot_count"),
+        F.count_if(~is_m & ~F.col("bot")).alias("human_count"),
     )
-    total = bots + humans
-    share = F.when(total > 0, F.lit(100.0) * bots / total).otherwise(F.lit(0.0))
+    total = F.col("bot_count") + F.col("human_count")
+    share = F.when(total > 0, F.lit(100.0) * F.col("bot_count") / total).otherwise(F.lit(0.0))
     return head.select(
         "total_edits", "active_wikis", "top_wiki",
         F.when(F.col("top_wiki").isNotNull(), wiki_name(F.col("top_wiki"))).alias("top_wiki_name"),
-        "top_wiki_count",
-        bots.alias("bot_count"), humans.alias("human_count"), share.alias("bot_share_pct"),
+        "top_wiki_count", "bot_count", "human_count", share.alias("bot_share_pct"),
     )
 
 
