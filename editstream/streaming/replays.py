@@ -68,6 +68,12 @@ def _edits(spark: SparkSession, folder: str) -> DataFrame:
     return edit_stream(spark, "files", path=f"{folder}/in", max_files=1)
 
 
+def _parts(spark: SparkSession) -> int:
+    """State partitions for a replay: one per core, whatever the session's
+    batch default (a replay batch is one slice of the table)."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _run(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:
@@ -77,14 +83,16 @@ def _run(query) -> None:
 def replay_live(spark, sf_dir, folder=None):
     folder = folder or scratch_dir(spark, "live")
     land_replay(spark, sf_dir, folder)
-    _run(runner.start_live(_edits(spark, folder), f"{folder}/live", f"{folder}/ckpt", "available_now"))
+    _run(runner.start_live(_edits(spark, folder), f"{folder}/live", f"{folder}/ckpt", "available_now",
+                           partitions=_parts(spark)))
     return sinks.live_table(f"{folder}/live").read(spark)
 
 
 def replay_metrics(spark, sf_dir, folder=None, late_mod=None):
     folder = folder or scratch_dir(spark, "metrics")
     land_replay(spark, sf_dir, folder, late_mod=late_mod)
-    q = runner.start_metrics(_edits(spark, folder), f"{folder}/metrics", f"{folder}/ckpt", "available_now")
+    q = runner.start_metrics(_edits(spark, folder), f"{folder}/metrics", f"{folder}/ckpt", "available_now",
+                             partitions=_parts(spark))
     _run(q)
     return sinks.metric_table(f"{folder}/metrics").read(spark), q
 
@@ -93,7 +101,8 @@ def replay_enriched(spark, sf_dir, folder=None):
     folder = folder or scratch_dir(spark, "enriched")
     land_replay(spark, sf_dir, folder)
     q = runner.start_enriched(_edits(spark, folder), dims.language_dim(spark), f"{folder}/enriched",
-                              f"{folder}/ckpt", "available_now", dim_rows=dims.bundled_dim_rows())
+                              f"{folder}/ckpt", "available_now", dim_rows=dims.bundled_dim_rows(),
+                              partitions=_parts(spark))
     _run(q)
     return sinks.enriched_table(f"{folder}/enriched").read(spark)
 

@@ -22,6 +22,31 @@ ENRICH_TRIGGER = "15 seconds"
 
 # Judge late rows by the watermark of the batch they arrive in.
 ALLOW_MULTIPLE = "spark.sql.streaming.statefulOperator.allowMultiple"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+class _query_conf:
+    """Session settings captured by a streaming query when it starts.
+
+    A query clones the session conf at ``start()``; the number of shuffle
+    (state) partitions is then fixed for the life of its checkpoint, so it is
+    chosen per query (sized to the stream's rate, not to the batch tables).
+    """
+
+    def __init__(self, spark, settings: dict):
+        self.spark, self.settings, self.saved = spark, {k: v for k, v in settings.items() if v is not None}, {}
+
+    def __enter__(self):
+        for k, v in self.settings.items():
+            self.saved[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, str(v))
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
 
 
 def _trigger(writer, trigger):
@@ -33,53 +58,50 @@ def _trigger(writer, trigger):
 
 
 def start_live(edits: DataFrame, path: str, checkpoint: str, trigger: str = LIVE_TRIGGER,
-               name: str = "live_snapshot") -> StreamingQuery:
+               name: str = "live_snapshot", partitions: int | None = None) -> StreamingQuery:
     """Append-mode stream; every batch is upserted into the live table."""
     w = (edits.writeStream.queryName(name).outputMode("append")
          .foreachBatch(sinks.live_table(path)).option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).start()
+    with _query_conf(edits.sparkSession, {SHUFFLE_PARTITIONS: partitions}):
+        return _trigger(w, trigger).start()
 
 
 def start_metrics(edits: DataFrame, path: str, checkpoint: str, trigger: str = METRIC_TRIGGER,
-                  name: str = "window_metrics") -> StreamingQuery:
+                  name: str = "window_metrics", partitions: int | None = None) -> StreamingQuery:
     """One stateful aggregation for count and average, update mode.
 
     State per (window, wiki) is evicted once the watermark passes the window
-    end, so it is bounded by (#wikis x open windows).
+    end, so it is bounded by (#wikis x open windows). ``partitions`` sets the
+    number of state partitions (fixed for the life of the checkpoint).
     """
-    spark = edits.sparkSession
-    previous = spark.conf.get(ALLOW_MULTIPLE, None)
-    spark.conf.set(ALLOW_MULTIPLE, "false")
-    try:
-        w = (window_metrics(edits).writeStream.queryName(name).outputMode("update")
-             .foreachBatch(sinks.metric_table(path)).option("checkpointLocation", checkpoint))
+    w = (window_metrics(edits).writeStream.queryName(name).outputMode("update")
+         .foreachBatch(sinks.metric_table(path)).option("checkpointLocation", checkpoint))
+    with _query_conf(edits.sparkSession, {ALLOW_MULTIPLE: "false", SHUFFLE_PARTITIONS: partitions}):
         return _trigger(w, trigger).start()
-    finally:
-        if previous is None:
-            spark.conf.unset(ALLOW_MULTIPLE)
-        else:
-            spark.conf.set(ALLOW_MULTIPLE, previous)
 
 
 def start_enriched(edits: DataFrame, dim: DataFrame, path: str, checkpoint: str,
                    trigger: str = ENRICH_TRIGGER, name: str = "enriched_snapshot",
-                   dim_rows: int | None = None) -> StreamingQuery:
+                   dim_rows: int | None = None, partitions: int | None = None) -> StreamingQuery:
     """Stream-static left broadcast join, upserted per batch; the dimension is
     fixed for the life of the query."""
     w = (enrich_for_snapshot(edits, dim, dim_rows).writeStream.queryName(name).outputMode("append")
          .foreachBatch(sinks.enriched_table(path)).option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).start()
+    with _query_conf(edits.sparkSession, {SHUFFLE_PARTITIONS: partitions}):
+        return _trigger(w, trigger).start()
 
 
 def start_all(spark: SparkSession, edits: DataFrame, dim: DataFrame, root: str,
-              trigger: str | None = None) -> list[StreamingQuery]:
+              trigger: str | None = None, partitions: int | None = None) -> list[StreamingQuery]:
     """The three service queries in one session (tables and checkpoints under
     ``root``). Any failure surfaces through ``spark.streams.awaitAnyTermination()``."""
     return [
-        start_live(edits, f"{root}/live", f"{root}/_checkpoints/live", trigger or LIVE_TRIGGER),
-        start_metrics(edits, f"{root}/metrics", f"{root}/_checkpoints/metrics", trigger or METRIC_TRIGGER),
+        start_live(edits, f"{root}/live", f"{root}/_checkpoints/live", trigger or LIVE_TRIGGER,
+                   partitions=partitions),
+        start_metrics(edits, f"{root}/metrics", f"{root}/_checkpoints/metrics", trigger or METRIC_TRIGGER,
+                      partitions=partitions),
         start_enriched(edits, dim, f"{root}/enriched", f"{root}/_checkpoints/enriched",
-                       trigger or ENRICH_TRIGGER),
+                       trigger or ENRICH_TRIGGER, partitions=partitions),
     ]
 
 

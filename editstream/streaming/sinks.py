@@ -28,11 +28,17 @@ BATCH_COL = "_batch_id"
 
 
 class UpsertTable:
-    def __init__(self, path: str, key: list[str], cells: list[str], order: list[str] | None = None):
+    """``files_per_batch``: a reduced batch holds at most one row per key it
+    touched (wikis, or wiki x open windows), so one file per batch keeps the
+    log free of small files; raise it for tables with large key spaces."""
+
+    def __init__(self, path: str, key: list[str], cells: list[str], order: list[str] | None = None,
+                 files_per_batch: int = 1):
         self.path = path.rstrip("/")
         self.key = list(key)
         self.cells = list(cells)
         self.order = list(order or [])
+        self.files_per_batch = files_per_batch
 
     # -- write side ---------------------------------------------------------
     def reduce(self, batch: DataFrame) -> DataFrame:
@@ -42,7 +48,8 @@ class UpsertTable:
         return latest_by(batch, self.key, self.order, cols)
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        rows = self.reduce(batch).withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))
+        rows = (self.reduce(batch).coalesce(self.files_per_batch)
+                .withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long")))
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(f"{self.path}/log"))
 
