@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..schemas import ARRIVAL_ORDER, DIM_COLUMNS
 from ..sources.dims import checked_broadcast
@@ -33,10 +32,3 @@ def enrich_for_snapshot(edits: DataFrame, dim: DataFrame, dim_rows: int | None =
     """Enriched rows plus the arrival-order columns the snapshot needs."""
     extra = [c for c in ARRIVAL_ORDER if c not in ENRICHED_OUTPUT]
     return enrich(edits, dim, ENRICHED_OUTPUT + extra, dim_rows)
-
-
-def with_labels(df: DataFrame, cols: list[str], unknown: str = "(unknown)") -> DataFrame:
-    """Missing (null or empty) text -> ``(unknown)``, as read-back does."""
-    for c in cols:
-        df = df.withColumn(c, F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(unknown)))
-    return df

@@ -29,9 +29,18 @@ def _with_end(agg: DataFrame) -> DataFrame:
     )
 
 
+def _counts(edits: DataFrame, length: str) -> DataFrame:
+    return _windowed(edits, length).agg(F.count(F.lit(1)).alias("edit_count"))
+
+
+def _averages(edits: DataFrame, length: str) -> DataFrame:
+    return (_windowed(edits.where(F.col("length_delta").isNotNull()), length)
+            .agg(F.avg("length_delta").alias("avg_delta")))
+
+
 def window_edit_count(edits: DataFrame, length: str = WINDOW) -> DataFrame:
     """count(*) per wiki per tumbling window."""
-    return _with_end(_windowed(edits, length).agg(F.count(F.lit(1)).alias("edit_count")))
+    return _with_end(_counts(edits, length))
 
 
 def window_avg_delta(edits: DataFrame, length: str = WINDOW) -> DataFrame:
@@ -39,8 +48,7 @@ def window_avg_delta(edits: DataFrame, length: str = WINDOW) -> DataFrame:
 
     Windows where a wiki has no delta at all produce no row.
     """
-    return _with_end(_windowed(edits.where(F.col("length_delta").isNotNull()), length)
-                     .agg(F.avg("length_delta").alias("avg_delta")))
+    return _with_end(_averages(edits, length))
 
 
 def window_metrics(edits: DataFrame, length: str = WINDOW) -> DataFrame:
@@ -55,10 +63,15 @@ def window_metrics(edits: DataFrame, length: str = WINDOW) -> DataFrame:
     ))
 
 
-def metric_merge_outer(counts: DataFrame, averages: DataFrame) -> DataFrame:
-    """The cell-level merge of the two metric writers as a full outer join."""
-    return (counts.join(averages, ["wiki", "window_end_epoch"], "full_outer")
-            .select("wiki", "window_end_epoch", "edit_count", "avg_delta"))
+def metric_merge_outer(edits: DataFrame, length: str = WINDOW) -> DataFrame:
+    """The cell-level merge of the two metric writers as a full outer join.
+
+    The join is on the aggregation keys themselves (window, wiki), so both
+    sides arrive already hash-partitioned by them and the join adds no
+    exchange of its own.
+    """
+    merged = _counts(edits, length).join(_averages(edits, length), ["window", "wiki"], "full_outer")
+    return _with_end(merged).select("wiki", "window_end_epoch", "edit_count", "avg_delta")
 
 
 def metric_row_key(metrics: DataFrame) -> DataFrame:

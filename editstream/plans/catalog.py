@@ -113,8 +113,7 @@ def q_window_metrics(spark, sf_dir):
 
 
 def q_metric_merge_outer(spark, sf_dir):
-    ev = clean.with_event_time(valid(spark, sf_dir))
-    return met.metric_merge_outer(met.window_edit_count(ev), met.window_avg_delta(ev))
+    return met.metric_merge_outer(clean.with_event_time(valid(spark, sf_dir)))
 
 
 def q_metric_row_key(spark, sf_dir):

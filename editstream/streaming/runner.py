@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.clean import parse_feed_lines, to_keyed_json, trim_events
 from ..operators.enrich import enrich_for_snapshot
 from ..operators.metrics import window_metrics
+from ..sources.feed import read_feed_text
 from . import sinks
 
 # Service cadence (seconds) per query.
@@ -91,6 +93,30 @@ def start_enriched(edits: DataFrame, dim: DataFrame, path: str, checkpoint: str,
         return _trigger(w, trigger).start()
 
 
+def start_producer(spark: SparkSession, feed_path: str, out: str, checkpoint: str,
+                   kind: str = "files", trigger: str = "available_now", max_files: int | None = None,
+                   name: str = "publish_edits", **opts) -> StreamingQuery:
+    """Landed feed text -> raw events -> trimmed edits -> keyed JSON records.
+
+    Stateless and append-only. ``kind="files"`` writes the JSON values as text
+    files under ``out`` (exactly-once file sink); ``kind="kafka"`` writes
+    key/value records to topic ``out`` (needs the Kafka connector and
+    ``bootstrap``). Edits are stamped with the wall-clock ingestion second.
+    """
+    lines = read_feed_text(spark, feed_path, streaming=True, max_files_per_trigger=max_files)
+    records = to_keyed_json(trim_events(parse_feed_lines(lines)))
+    if kind == "kafka":
+        w = (records.selectExpr("CAST(key AS BINARY) AS key", "CAST(value AS BINARY) AS value")
+             .writeStream.format("kafka").option("kafka.bootstrap.servers", opts["bootstrap"])
+             .option("topic", out))
+    elif kind == "files":
+        w = records.select("value").writeStream.format("text").option("path", out)
+    else:
+        raise ValueError(f"unknown sink kind: {kind}")
+    w = w.queryName(name).outputMode("append").option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
 def start_all(spark: SparkSession, edits: DataFrame, dim: DataFrame, root: str,
               trigger: str | None = None, partitions: int | None = None) -> list[StreamingQuery]:
     """The three service queries in one session (tables and checkpoints under

@@ -95,3 +95,42 @@ def test_progress_rows(spark):
     rows = df.collect()
     assert len(rows) >= 2
     assert sum(r.num_input_rows for r in rows) == catalog.valid(spark, SF_SMALL).count()
+
+
+def test_producer_then_all_service_queries(spark):
+    """Feed text -> producer stream -> keyed JSON files -> the three service
+    queries in one session, each equal to its batch twin."""
+    from editstream.operators.clean import parse_feed_lines, trim_events, valid_edits
+    from editstream.sources import dims, feed
+
+    folder = scratch_dir(spark, "producer")
+    raw = catalog.raw(spark, SF_SMALL)
+    feed.feed_text_from_raw(raw).coalesce(1).write.text(f"{folder}/feed")
+    q = runner.start_producer(spark, f"{folder}/feed", f"{folder}/published", f"{folder}/ckpt-p")
+    q.awaitTermination()
+    assert q.exception() is None
+
+    published = clean_decode(spark, f"{folder}/published")
+    expected = valid_edits(trim_events(parse_feed_lines(feed.feed_text_from_raw(raw)), ingestion_ts="0"))
+    cols = [c for c in EDIT_COLUMNS if c != "ingestion_ts"]
+    _same(published.select(*cols), expected.select(*cols))
+
+    # Three named queries over one replay of the published records (in order).
+    root = scratch_dir(spark, "service")
+    last = replays.stage_replay(spark, SF_SMALL, root)
+    replays.land_slices(spark, root, 0, last)
+    edits = edit_stream(spark, "files", path=f"{root}/in", max_files=1)
+    queries = runner.start_all(spark, edits, dims.language_dim(spark), root, trigger="available_now",
+                               partitions=4)
+    assert sorted(x.name for x in queries) == ["enriched_snapshot", "live_snapshot", "window_metrics"]
+    for x in queries:
+        x.awaitTermination()
+        assert x.exception() is None
+    _same(sinks.live_table(f"{root}/live").read(spark), catalog.live(spark, SF_SMALL))
+    _same(sinks.metric_table(f"{root}/metrics").read(spark), catalog.metrics(spark, SF_SMALL))
+    _same(sinks.enriched_table(f"{root}/enriched").read(spark), catalog.enriched(spark, SF_SMALL))
+
+
+def clean_decode(spark, path):
+    from editstream.operators.clean import decode_edits
+    return decode_edits(spark.read.text(path))
