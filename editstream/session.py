@@ -53,12 +53,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        try:
+            root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:  # no SparkContext on this client (e.g. Spark Connect)
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="editstream-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -45,10 +45,14 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     that already have enough splits (any real-size table) are read directly.
     """
     path = f"{sf_dir.rstrip('/')}/events.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    try:
+        sc = spark.sparkContext
+        key = (sc.applicationId, path)
+    except Exception:  # no SparkContext on this client: read as is
+        return spark.read.schema(EVENTS).parquet(path)
     if key not in _SPREAD:
         events = spark.read.schema(EVENTS).parquet(path)
-        cores = spark.sparkContext.defaultParallelism
+        cores = sc.defaultParallelism
         staged = None
         if events.rdd.getNumPartitions() < cores:
             staged = scratch_dir(spark, "events-spread")

@@ -71,7 +71,10 @@ def _edits(spark: SparkSession, folder: str) -> DataFrame:
 def _parts(spark: SparkSession) -> int:
     """State partitions for a replay: one per core, whatever the session's
     batch default (a replay batch is one slice of the table)."""
-    return spark.sparkContext.defaultParallelism
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext on this client
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
 def _run(query) -> None:
