@@ -28,7 +28,8 @@ def enrich(edits: DataFrame, dim: DataFrame, keep: list[str] | None = None,
     return joined.select(*keep)
 
 
-def enrich_for_snapshot(edits: DataFrame, dim: DataFrame, dim_rows: int | None = None) -> DataFrame:
+def enrich_for_snapshot(edits: DataFrame, dim: DataFrame, dim_rows: int | None = None,
+                        extra: list[str] | None = None) -> DataFrame:
     """Enriched rows plus the arrival-order columns the snapshot needs."""
-    extra = [c for c in ARRIVAL_ORDER if c not in ENRICHED_OUTPUT]
+    extra = [c for c in (extra or ARRIVAL_ORDER) if c not in ENRICHED_OUTPUT]
     return enrich(edits, dim, ENRICHED_OUTPUT + extra, dim_rows)

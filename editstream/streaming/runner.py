@@ -62,8 +62,9 @@ def _trigger(writer, trigger):
 def start_live(edits: DataFrame, path: str, checkpoint: str, trigger: str = LIVE_TRIGGER,
                name: str = "live_snapshot", partitions: int | None = None) -> StreamingQuery:
     """Append-mode stream; every batch is upserted into the live table."""
+    table = sinks.live_table(path, sinks.arrival_order(edits.columns))
     w = (edits.writeStream.queryName(name).outputMode("append")
-         .foreachBatch(sinks.live_table(path)).option("checkpointLocation", checkpoint))
+         .foreachBatch(table).option("checkpointLocation", checkpoint))
     with _query_conf(edits.sparkSession, {SHUFFLE_PARTITIONS: partitions}):
         return _trigger(w, trigger).start()
 
@@ -87,8 +88,10 @@ def start_enriched(edits: DataFrame, dim: DataFrame, path: str, checkpoint: str,
                    dim_rows: int | None = None, partitions: int | None = None) -> StreamingQuery:
     """Stream-static left broadcast join, upserted per batch; the dimension is
     fixed for the life of the query."""
-    w = (enrich_for_snapshot(edits, dim, dim_rows).writeStream.queryName(name).outputMode("append")
-         .foreachBatch(sinks.enriched_table(path)).option("checkpointLocation", checkpoint))
+    order = sinks.arrival_order(edits.columns)
+    rows = enrich_for_snapshot(edits, dim, dim_rows, extra=order)
+    w = (rows.writeStream.queryName(name).outputMode("append")
+         .foreachBatch(sinks.enriched_table(path, order)).option("checkpointLocation", checkpoint))
     with _query_conf(edits.sparkSession, {SHUFFLE_PARTITIONS: partitions}):
         return _trigger(w, trigger).start()
 

@@ -8,8 +8,8 @@ partitioned by micro-batch id plus a latest-wins read:
   partition with dynamic partition overwrite. Re-delivering a batch id after
   a failure rewrites the same partition with the same rows, so the sink is
   idempotent and the query is effectively-once.
-- read: ``latest_by(key, order=(_batch_id, *order))`` over the log — later
-  batches win, like last-write-wins puts with one version kept.
+- read: ``latest_by(key, order=_batch_id)`` over the log — later batches
+  win, like last-write-wins puts with one version kept.
 
 Nothing is collected to the driver. The log grows by at most one row per
 key per batch; on storage with a table format, the same reduce step feeds a
@@ -58,19 +58,30 @@ class UpsertTable:
 
     # -- read side ----------------------------------------------------------
     def read(self, spark: SparkSession) -> DataFrame:
+        """Current table: each batch holds at most one row per key, so the
+        newest batch id alone picks a key's row."""
         log = spark.read.parquet(f"{self.path}/log")
-        order = [BATCH_COL] + [o for o in self.order if o in log.columns]
-        return latest_by(log, self.key, order, self.cells)
+        return latest_by(log, self.key, [BATCH_COL], self.cells)
 
 
-def live_table(path: str) -> UpsertTable:
+LOG_ORDER = ["partition", "offset"]
+
+
+def arrival_order(columns: list[str]) -> list[str]:
+    """Arrival order within a batch: the log position when the source carries
+    it (one wiki -> one partition, so offsets order its edits), else the
+    replay's (ingestion second, event id)."""
+    return LOG_ORDER if all(c in columns for c in LOG_ORDER) else ARRIVAL_ORDER
+
+
+def live_table(path: str, order: list[str] | None = None) -> UpsertTable:
     """Latest edit per wiki (12 cells), arrival order within a batch."""
-    return UpsertTable(path, ["wiki"], LIVE_COLUMNS, ARRIVAL_ORDER)
+    return UpsertTable(path, ["wiki"], LIVE_COLUMNS, order or ARRIVAL_ORDER)
 
 
-def enriched_table(path: str) -> UpsertTable:
+def enriched_table(path: str, order: list[str] | None = None) -> UpsertTable:
     """Latest enriched edit per wiki (9 cells)."""
-    return UpsertTable(path, ["wiki"], ENRICHED_COLUMNS, ARRIVAL_ORDER)
+    return UpsertTable(path, ["wiki"], ENRICHED_COLUMNS, order or ARRIVAL_ORDER)
 
 
 def metric_table(path: str) -> UpsertTable:

@@ -134,3 +134,19 @@ def test_producer_then_all_service_queries(spark):
 def clean_decode(spark, path):
     from editstream.operators.clean import decode_edits
     return decode_edits(spark.read.text(path))
+
+
+def test_log_position_orders_latest_when_present(spark):
+    """With a keyed-log source, arrival = (partition, offset), not edit fields."""
+    path = scratch_dir(spark, "logpos")
+    rows = [("enwiki", 0, 5, 100, 1, "late-offset"), ("enwiki", 0, 9, 50, 2, "newest"),
+            ("dewiki", 1, 3, 70, 3, "only")]
+    batch = spark.createDataFrame(rows, "wiki string, partition int, offset long, ingestion_ts long, "
+                                        "id long, title string")
+    order = sinks.arrival_order(batch.columns)
+    assert order == ["partition", "offset"]
+    table = sinks.UpsertTable(path, ["wiki"], ["title", "ingestion_ts"], order)
+    table(batch, 0)
+    got = {r.wiki: r.title for r in table.read(spark).collect()}
+    assert got == {"enwiki": "newest", "dewiki": "only"}
+    assert sinks.arrival_order(["wiki", "ingestion_ts", "id"]) == ["ingestion_ts", "id"]
