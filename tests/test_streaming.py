@@ -150,3 +150,14 @@ def test_log_position_orders_latest_when_present(spark):
     got = {r.wiki: r.title for r in table.read(spark).collect()}
     assert got == {"enwiki": "newest", "dewiki": "only"}
     assert sinks.arrival_order(["wiki", "ingestion_ts", "id"]) == ["ingestion_ts", "id"]
+
+
+def test_metric_log_clustered_and_filter_pushed(spark):
+    path = scratch_dir(spark, "cluster")
+    table = sinks.metric_table(path)
+    table(catalog.metrics(spark, SF_SMALL), 0)
+    log = spark.read.parquet(f"{path}/log")
+    rows = [(r.wiki, r.window_end_epoch) for r in log.collect()]
+    assert rows == sorted(rows, key=lambda t: (t[0], -t[1]))      # wiki asc, newest first
+    plan = log.where("wiki = 'enwiki'")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(wiki), EqualTo(wiki,enwiki)]" in plan
