@@ -130,6 +130,11 @@ def test_producer_then_all_service_queries(spark):
     _same(sinks.metric_table(f"{root}/metrics").read(spark), catalog.metrics(spark, SF_SMALL))
     _same(sinks.enriched_table(f"{root}/enriched").read(spark), catalog.enriched(spark, SF_SMALL))
 
+    # The serving read path over those tables equals the batch serving queries.
+    from editstream.plans.views import table_views
+    for name, view in table_views(spark, root).items():
+        _same(view, catalog.BATCH_QUERIES[name](spark, SF_SMALL))
+
 
 def clean_decode(spark, path):
     from editstream.operators.clean import decode_edits
