@@ -145,3 +145,24 @@ def test_picker_label_collision(spark):
     assert rows["Akan Wikipedia"].first_count == 9          # ... at the more active one's position
     assert rows["Akan Wikipedia"].is_default                # no English Wikipedia -> first label
     assert not rows["German Wikipedia"].is_default
+
+
+def test_latest_window_as_of_and_short_trend(spark):
+    m = spark.createDataFrame([("enwiki", 60, 1, 1.0), ("enwiki", 120, 2, None), ("enwiki", 180, 3, 3.0),
+                               ("dewiki", 60, 4, -1.0)], METRIC)
+    latest = {r.wiki: (r.window_end_epoch, r.edit_count, r.avg_delta) for r in serving.latest_window(m).collect()}
+    assert latest == {"enwiki": (180, 3, 3.0), "dewiki": (60, 4, -1.0)}
+    cut = {r.wiki: (r.window_end_epoch, r.avg_delta) for r in serving.latest_window(m, as_of=150).collect()}
+    assert cut == {"enwiki": (120, 0.0), "dewiki": (60, -1.0)}
+    tr = serving.trend(m, "enwiki").collect()
+    assert [r.window_end_epoch for r in tr] == [60, 120, 180]          # fewer than 12: all, oldest first
+    assert tr[0].window_end == "1970-01-01 00:01:00"
+    assert serving.trend(m, "nosuchwiki").count() == 0
+
+
+def test_namespace_breakdown_keeps_null_group(spark):
+    rows = [_edit(1, "a", 1, ns=0), _edit(2, "b", 1, ns=None), _edit(3, "c", 1, ns=None), _edit(4, "d", 1, ns=102)]
+    live = snapshot.live_snapshot(spark.createDataFrame(rows, EDIT))
+    got = {r.namespace: (r.namespace_name, r.wiki_count) for r in serving.namespace_breakdown(live).collect()}
+    assert got == {None: ("(unknown)", 2), 0: ("Article", 1), 102: ("Namespace 102", 1)}
+    assert serving.namespace_breakdown(live, n=1).collect()[0].namespace is None
