@@ -51,7 +51,10 @@ class UpsertTable:
         return latest_by(batch, self.key, self.order, cols)
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        rows = (self.reduce(batch).coalesce(self.files_per_batch).sortWithinPartitions(*self.cluster)
+        # repartition, not coalesce: coalesce is narrow and would fold the
+        # upstream (stateful) stage into ``files_per_batch`` tasks; the shuffle
+        # here moves only the reduced rows.
+        rows = (self.reduce(batch).repartition(self.files_per_batch).sortWithinPartitions(*self.cluster)
                 .withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long")))
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COL).parquet(f"{self.path}/log"))
