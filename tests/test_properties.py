@@ -112,3 +112,35 @@ def test_merge_latest_associative_and_idempotent(spark, a, b, c):
     for w, t, i in everything:
         expect[w] = f"{t}:{i}"
     assert rows(left) == sorted(expect.items())
+
+
+edit_rows = st.lists(st.tuples(st.sampled_from(["enwiki", "dewiki", "frwiki", "jawiki"]),
+                               st.integers(0, 600), st.one_of(st.none(), st.integers(-50, 50))),
+                     min_size=1, max_size=60)
+
+
+@SETTINGS
+@given(edit_rows, st.integers(1, 4))
+def test_metrics_latest_and_top_match_model(spark, rows, n):
+    from editstream.operators import metrics, serving
+
+    df = spark.createDataFrame([(w, t, d) for w, t, d in rows],
+                               "wiki string, ingestion_ts long, length_delta long")
+    m = metrics.window_metrics(clean.with_event_time(df))
+    model = {}
+    for w, t, d in rows:
+        key = (w, t - t % 60 + 60)
+        cnt, vals = model.get(key, (0, []))
+        model[key] = (cnt + 1, vals + ([d] if d is not None else []))
+    got = {(r.wiki, r.window_end_epoch): (r.edit_count, r.avg_delta) for r in m.collect()}
+    assert got == {k: (c, (sum(v) / len(v)) if v else None) for k, (c, v) in model.items()}
+
+    newest = {}
+    for (w, we), (c, v) in model.items():
+        if w not in newest or we > newest[w][0]:
+            newest[w] = (we, c, (sum(v) / len(v)) if v else 0.0)
+    latest = serving.latest_window(m)
+    assert {r.wiki: (r.window_end_epoch, r.edit_count, r.avg_delta) for r in latest.collect()} == newest
+    top = [r.wiki for r in serving.top_wikis(latest, n).collect()]
+    want = [w for w, _ in sorted(newest.items(), key=lambda kv: (-kv[1][1], kv[0]))][:n]
+    assert sorted(top) == sorted(want)
