@@ -16,16 +16,16 @@ from pyspark.sql import functions as F
 
 from ..schemas import ARRIVAL_ORDER, ENRICHED_COLUMNS, LIVE_COLUMNS
 from .clean import valid_edits
+from .enrich import ENRICHED_OUTPUT, enrich
 
 
 def latest_by(df: DataFrame, key: list[str] | str, order: list[str],
               cells: list[str] | None = None) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     cells = cells if cells is not None else [c for c in df.columns if c not in keys]
-    carried = list(dict.fromkeys(cells + [o for o in order if o not in cells]))
     order_struct = F.struct(*[F.col(o) for o in order])
     picked = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in carried]), order_struct).alias("_latest"))
+        F.max_by(F.struct(*[F.col(c) for c in cells]), order_struct).alias("_latest"))
     return picked.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in cells])
 
 
@@ -47,5 +47,19 @@ def live_snapshot(edits: DataFrame, order: list[str] = ARRIVAL_ORDER) -> DataFra
 
 
 def enriched_snapshot(enriched: DataFrame, order: list[str] = ARRIVAL_ORDER) -> DataFrame:
-    """Latest enriched edit per wiki."""
+    """Latest enriched edit per wiki, from already-enriched rows (the stream's shape)."""
     return latest_by(valid_edits(enriched), "wiki", order, ENRICHED_COLUMNS)
+
+
+def enriched_snapshot_of(edits: DataFrame, dim: DataFrame, order: list[str] = ARRIVAL_ORDER,
+                         dim_rows: int | None = None) -> DataFrame:
+    """Latest enriched edit per wiki, reducing before joining.
+
+    The join key is the grouping key and the dimension has one row per wiki,
+    so latest(enrich(edits)) == enrich(latest(edits)): reducing first probes
+    the broadcast side once per wiki instead of once per edit and keeps the
+    dimension columns out of the shuffle.
+    """
+    edit_cells = [c for c in ENRICHED_OUTPUT if c in edits.columns and c != "wiki"]
+    latest = latest_by(valid_edits(edits), "wiki", order, edit_cells)
+    return enrich(latest, dim, ["wiki", *ENRICHED_COLUMNS], dim_rows)

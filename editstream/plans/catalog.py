@@ -50,12 +50,9 @@ def live(spark: SparkSession, sf_dir: str, cells: list[str] | None = None) -> Da
     return snapshot.latest_by(v, "wiki", snapshot.ARRIVAL_ORDER, cells)
 
 
-def enriched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enr.enrich_for_snapshot(valid(spark, sf_dir), dims.language_dim(spark), dims.bundled_dim_rows())
-
-
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshot.enriched_snapshot(enriched_rows(spark, sf_dir))
+    return snapshot.enriched_snapshot_of(valid(spark, sf_dir), dims.language_dim(spark),
+                                         dim_rows=dims.bundled_dim_rows())
 
 
 # ------------------------------------------------------------------ batch queries
