@@ -12,7 +12,8 @@ from ..functions.fixed_values import LANGUAGE_DIMENSION_CSV
 from ..schemas import DIM_COLUMNS, LANGUAGE_DIM
 
 # A broadcast side must stay below this many rows; above it the join shuffles.
-MAX_BROADCAST_ROWS = 1_000_000
+# For the 5-column dimension (short strings) that is about 20 MB per executor.
+MAX_BROADCAST_ROWS = 100_000
 
 
 def dimension_rows() -> list[tuple]:
