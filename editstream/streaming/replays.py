@@ -33,6 +33,7 @@ from .sources import edit_stream
 SLICE_SECONDS = 360
 LATE_MOD = 23
 STATE_PARTITIONS = 2
+COMPACT_EVERY = 6          # twice per 12-slice replay, so the gate covers compaction
 
 
 def _slice(late_mod: int | None):
@@ -115,14 +116,14 @@ def _run(query) -> None:
 def replay_live(spark, sf_dir):
     source, folder = landed_replay(spark, sf_dir), scratch_dir(spark, "live")
     _run(runner.start_live(_edits(spark, source), f"{folder}/live", f"{folder}/ckpt", "available_now",
-                           partitions=_parts(spark)))
+                           partitions=_parts(spark), compact_every=COMPACT_EVERY))
     return sinks.live_table(f"{folder}/live").read(spark)
 
 
 def replay_metrics(spark, sf_dir, late_mod=None):
     source, folder = landed_replay(spark, sf_dir, late_mod), scratch_dir(spark, "metrics")
     q = runner.start_metrics(_edits(spark, source), f"{folder}/metrics", f"{folder}/ckpt", "available_now",
-                             partitions=_parts(spark))
+                             partitions=_parts(spark), compact_every=COMPACT_EVERY)
     _run(q)
     return sinks.metric_table(f"{folder}/metrics").read(spark), q
 
@@ -131,7 +132,7 @@ def replay_enriched(spark, sf_dir):
     source, folder = landed_replay(spark, sf_dir), scratch_dir(spark, "enriched")
     q = runner.start_enriched(_edits(spark, source), dims.language_dim(spark), f"{folder}/enriched",
                               f"{folder}/ckpt", "available_now", dim_rows=dims.bundled_dim_rows(),
-                              partitions=_parts(spark))
+                              partitions=_parts(spark), compact_every=COMPACT_EVERY)
     _run(q)
     return sinks.enriched_table(f"{folder}/enriched").read(spark)
 

@@ -59,10 +59,15 @@ def _trigger(writer, trigger):
     return writer.trigger(processingTime=trigger)
 
 
+# Fold the upsert logs every this many micro-batches in service mode.
+COMPACT_EVERY = 100
+
+
 def start_live(edits: DataFrame, path: str, checkpoint: str, trigger: str = LIVE_TRIGGER,
-               name: str = "live_snapshot", partitions: int | None = None) -> StreamingQuery:
+               name: str = "live_snapshot", partitions: int | None = None,
+               compact_every: int | None = None) -> StreamingQuery:
     """Append-mode stream; every batch is upserted into the live table."""
-    table = sinks.live_table(path, sinks.arrival_order(edits.columns))
+    table = sinks.live_table(path, sinks.arrival_order(edits.columns), compact_every)
     w = (edits.writeStream.queryName(name).outputMode("append")
          .foreachBatch(table).option("checkpointLocation", checkpoint))
     with _query_conf(edits.sparkSession, {SHUFFLE_PARTITIONS: partitions}):
@@ -70,7 +75,8 @@ def start_live(edits: DataFrame, path: str, checkpoint: str, trigger: str = LIVE
 
 
 def start_metrics(edits: DataFrame, path: str, checkpoint: str, trigger: str = METRIC_TRIGGER,
-                  name: str = "window_metrics", partitions: int | None = None) -> StreamingQuery:
+                  name: str = "window_metrics", partitions: int | None = None,
+                  compact_every: int | None = None) -> StreamingQuery:
     """One stateful aggregation for count and average, update mode.
 
     State per (window, wiki) is evicted once the watermark passes the window
@@ -78,20 +84,22 @@ def start_metrics(edits: DataFrame, path: str, checkpoint: str, trigger: str = M
     number of state partitions (fixed for the life of the checkpoint).
     """
     w = (window_metrics(edits).writeStream.queryName(name).outputMode("update")
-         .foreachBatch(sinks.metric_table(path)).option("checkpointLocation", checkpoint))
+         .foreachBatch(sinks.metric_table(path, compact_every)).option("checkpointLocation", checkpoint))
     with _query_conf(edits.sparkSession, {ALLOW_MULTIPLE: "false", SHUFFLE_PARTITIONS: partitions}):
         return _trigger(w, trigger).start()
 
 
 def start_enriched(edits: DataFrame, dim: DataFrame, path: str, checkpoint: str,
                    trigger: str = ENRICH_TRIGGER, name: str = "enriched_snapshot",
-                   dim_rows: int | None = None, partitions: int | None = None) -> StreamingQuery:
+                   dim_rows: int | None = None, partitions: int | None = None,
+                   compact_every: int | None = None) -> StreamingQuery:
     """Stream-static left broadcast join, upserted per batch; the dimension is
     fixed for the life of the query."""
     order = sinks.arrival_order(edits.columns)
     rows = enrich_for_snapshot(edits, dim, dim_rows, extra=order)
     w = (rows.writeStream.queryName(name).outputMode("append")
-         .foreachBatch(sinks.enriched_table(path, order)).option("checkpointLocation", checkpoint))
+         .foreachBatch(sinks.enriched_table(path, order, compact_every))
+         .option("checkpointLocation", checkpoint))
     with _query_conf(edits.sparkSession, {SHUFFLE_PARTITIONS: partitions}):
         return _trigger(w, trigger).start()
 
@@ -121,16 +129,17 @@ def start_producer(spark: SparkSession, feed_path: str, out: str, checkpoint: st
 
 
 def start_all(spark: SparkSession, edits: DataFrame, dim: DataFrame, root: str,
-              trigger: str | None = None, partitions: int | None = None) -> list[StreamingQuery]:
+              trigger: str | None = None, partitions: int | None = None,
+              compact_every: int | None = COMPACT_EVERY) -> list[StreamingQuery]:
     """The three service queries in one session (tables and checkpoints under
     ``root``). Any failure surfaces through ``spark.streams.awaitAnyTermination()``."""
     return [
         start_live(edits, f"{root}/live", f"{root}/_checkpoints/live", trigger or LIVE_TRIGGER,
-                   partitions=partitions),
+                   partitions=partitions, compact_every=compact_every),
         start_metrics(edits, f"{root}/metrics", f"{root}/_checkpoints/metrics", trigger or METRIC_TRIGGER,
-                      partitions=partitions),
+                      partitions=partitions, compact_every=compact_every),
         start_enriched(edits, dim, f"{root}/enriched", f"{root}/_checkpoints/enriched",
-                       trigger or ENRICH_TRIGGER, partitions=partitions),
+                       trigger or ENRICH_TRIGGER, partitions=partitions, compact_every=compact_every),
     ]
 
 

@@ -12,12 +12,15 @@ partitioned by micro-batch id plus a latest-wins read:
   win, like last-write-wins puts with one version kept.
 
 Nothing is collected to the driver. The log grows by at most one row per
-key per batch; on storage with a table format, the same reduce step feeds a
+key per batch; ``compact`` folds old batches into one partition so reads stay
+bounded. On storage with a table format, the same reduce step feeds a
 ``MERGE INTO`` instead.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +36,10 @@ class UpsertTable:
     log free of small files; raise it for tables with large key spaces."""
 
     def __init__(self, path: str, key: list[str], cells: list[str], order: list[str] | None = None,
-                 files_per_batch: int = 1, cluster_desc: list[str] | None = None):
+                 files_per_batch: int = 1, cluster_desc: list[str] | None = None,
+                 compact_every: int | None = None):
         self.path = path.rstrip("/")
+        self.compact_every = compact_every
         self.key = list(key)
         self.cells = list(cells)
         self.order = list(order or [])
@@ -61,13 +66,57 @@ class UpsertTable:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.write_batch(batch, batch_id)
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            self.compact(batch.sparkSession)
 
     # -- read side ----------------------------------------------------------
+    def _base(self, spark: SparkSession) -> int | None:
+        """Batch id of the newest compaction (one tiny metadata read), if any."""
+        try:
+            return spark.read.parquet(f"{self.path}/compactions").agg(F.max("upto")).first()[0]
+        except Exception:  # no compaction yet
+            return None
+
+    def _log(self, spark: SparkSession) -> DataFrame:
+        log = spark.read.parquet(f"{self.path}/log")
+        base = self._base(spark)
+        # Partition `base` holds every key's newest row as of `base`: older
+        # partitions can never win, so they are pruned from the scan.
+        return log if base is None else log.where(F.col(BATCH_COL) >= F.lit(base))
+
     def read(self, spark: SparkSession) -> DataFrame:
         """Current table: each batch holds at most one row per key, so the
         newest batch id alone picks a key's row."""
-        log = spark.read.parquet(f"{self.path}/log")
-        return latest_by(log, self.key, [BATCH_COL], self.cells)
+        return latest_by(self._log(spark), self.key, [BATCH_COL], self.cells)
+
+    # -- maintenance ----------------------------------------------------------
+    def compact(self, spark: SparkSession) -> int | None:
+        """Fold all batches up to the second-newest into that batch's partition.
+
+        The newest batch is left alone: it is the only one a restarted query
+        can re-deliver, and re-delivery rewrites its partition. The folded rows
+        are staged in a fresh folder first (no job reads and overwrites the
+        same files), then written as partition ``upto``; a marker row records
+        ``upto`` so reads skip older partitions. Returns ``upto`` or None.
+        """
+        log = self._log(spark)
+        newest = log.agg(F.max(BATCH_COL)).first()[0]
+        if newest is None:
+            return None
+        upto = int(newest) - 1
+        base = self._base(spark)
+        if upto < 0 or (base is not None and upto <= base):
+            return None
+        cols = [c for c in log.columns if c not in self.key and c != BATCH_COL]
+        folded = latest_by(log.where(F.col(BATCH_COL) <= F.lit(upto)), self.key, [BATCH_COL], cols)
+        staged = f"{self.path}/compact-{upto}-{uuid.uuid4().hex[:8]}"
+        folded.write.parquet(staged)
+        rows = spark.read.parquet(staged).withColumn(BATCH_COL, F.lit(upto).cast("long"))
+        (rows.repartition(self.files_per_batch).sortWithinPartitions(*self.cluster)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BATCH_COL).parquet(f"{self.path}/log"))
+        spark.createDataFrame([(upto,)], "upto long").write.mode("append").parquet(f"{self.path}/compactions")
+        return upto
 
 
 LOG_ORDER = ["partition", "offset"]
@@ -80,18 +129,19 @@ def arrival_order(columns: list[str]) -> list[str]:
     return LOG_ORDER if all(c in columns for c in LOG_ORDER) else ARRIVAL_ORDER
 
 
-def live_table(path: str, order: list[str] | None = None) -> UpsertTable:
+def live_table(path: str, order: list[str] | None = None, compact_every: int | None = None) -> UpsertTable:
     """Latest edit per wiki (12 cells), arrival order within a batch."""
-    return UpsertTable(path, ["wiki"], LIVE_COLUMNS, order or ARRIVAL_ORDER)
+    return UpsertTable(path, ["wiki"], LIVE_COLUMNS, order or ARRIVAL_ORDER, compact_every=compact_every)
 
 
-def enriched_table(path: str, order: list[str] | None = None) -> UpsertTable:
+def enriched_table(path: str, order: list[str] | None = None,
+                   compact_every: int | None = None) -> UpsertTable:
     """Latest enriched edit per wiki (9 cells)."""
-    return UpsertTable(path, ["wiki"], ENRICHED_COLUMNS, order or ARRIVAL_ORDER)
+    return UpsertTable(path, ["wiki"], ENRICHED_COLUMNS, order or ARRIVAL_ORDER, compact_every=compact_every)
 
 
-def metric_table(path: str) -> UpsertTable:
+def metric_table(path: str, compact_every: int | None = None) -> UpsertTable:
     """Per (wiki, window_end_epoch): count and average. Update mode re-emits a
     changed window with its full current values, so the newest batch wins."""
     return UpsertTable(path, ["wiki", "window_end_epoch"], ["edit_count", "avg_delta"],
-                       cluster_desc=["window_end_epoch"])
+                       cluster_desc=["window_end_epoch"], compact_every=compact_every)
