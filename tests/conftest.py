@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,14 +12,12 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from editstream.session import build_session
-
-    extra = {}
-    # Tests set their own checkpoint folder only where none is configured.
-    from pyspark import SparkConf
-    if not SparkConf().get("spark.checkpoint.dir", None):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="editstream-test-ckpt-")
-    session = build_session("local[4]", app="editstream-tests", shuffle_partitions=4, extra=extra)
+    from editstream.session import build_session, checkpoint_root
+
+    session = build_session("local[4]", app="editstream-tests", shuffle_partitions=4)
+    # Uses the session's spark.checkpoint.dir; only when none is configured
+    # does it create a folder of its own.
+    checkpoint_root(session)
     yield session
     session.stop()
 
