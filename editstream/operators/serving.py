@@ -106,12 +106,18 @@ def trend_picker(latest: DataFrame) -> DataFrame:
         F.min_by("wiki", rank_key).alias("first_wiki"),
         F.max_by("wiki", rank_key).alias("wiki"),
     )
-    first = F.min_by("label", F.struct((-F.col("first_count")).alias("n"), F.col("first_wiki")))
-    default_label = labels.select(
-        F.when(F.max((F.col("label") == F.lit(DEFAULT_PICKER_LABEL)).cast("int")) == 1,
-               F.lit(DEFAULT_PICKER_LABEL)).otherwise(first)).scalar()
+    # The default (label and the wiki it resolves to) is one global row. The
+    # subquery reads every column of `labels`, so its plan matches the main
+    # query's and Spark reuses the exchange instead of computing labels twice.
+    order = F.struct((-F.col("first_count")).alias("n"), F.col("first_wiki"))
+    is_en = (F.col("label") == F.lit(DEFAULT_PICKER_LABEL)).cast("int")
+    has_en = F.max(is_en) == 1
+    default = labels.select(F.struct(
+        F.when(has_en, F.lit(DEFAULT_PICKER_LABEL)).otherwise(F.min_by("label", order)).alias("label"),
+        F.when(has_en, F.max_by("wiki", is_en)).otherwise(F.min_by("wiki", order)).alias("wiki"),
+    )).scalar()
     return labels.select("label", "wiki", "first_count", "first_wiki",
-                         F.coalesce(F.col("label") == default_label, F.lit(False)).alias("is_default"))
+                         F.coalesce(F.col("label") == default.getField("label"), F.lit(False)).alias("is_default"))
 
 
 def kpi_summary(latest: DataFrame, live: DataFrame) -> DataFrame:
