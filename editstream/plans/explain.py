@@ -2,7 +2,7 @@
 
     python -m editstream.plans.explain /root/testdata/sf0.1 > PLANS.md
 
-Each query is run once (noop write) so the adaptive plan is final; only the
+Each query is run once (on the JVM) so the adaptive plan is final; only the
 operators that matter for scale are kept (exchanges, aggregates, joins,
 limits, window limits, scans with their pushed filters and read schema).
 """
@@ -17,8 +17,11 @@ KEEP = ("Exchange", "Aggregate", "Join", "TakeOrderedAndProject", "WindowGroupLi
 
 
 def condensed(df) -> list[str]:
-    df.write.format("noop").mode("overwrite").save()
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    # Execute this DataFrame's own plan on the JVM (rows are counted there, not
+    # returned), so the adaptive plan printed below is the final one.
+    executed = df._jdf.queryExecution().executedPlan()
+    executed.execute().count()
+    plan = executed.toString()
     final = plan.split("+- == Initial Plan ==")[0]
     out = []
     for line in final.split("\n"):
