@@ -166,3 +166,11 @@ def test_namespace_breakdown_keeps_null_group(spark):
     got = {r.namespace: (r.namespace_name, r.wiki_count) for r in serving.namespace_breakdown(live).collect()}
     assert got == {None: ("(unknown)", 2), 0: ("Article", 1), 102: ("Namespace 102", 1)}
     assert serving.namespace_breakdown(live, n=1).collect()[0].namespace is None
+
+
+def test_name_helpers_add_columns(spark):
+    from editstream.functions.names import with_edit_type_name, with_namespace_name, with_wiki_name
+
+    df = spark.createDataFrame([("frwikibooks", 14, "new")], "wiki string, namespace bigint, type string")
+    r = with_edit_type_name(with_namespace_name(with_wiki_name(df))).first()
+    assert (r.wiki_name, r.namespace_name, r.edit_type_name) == ("French Wikibooks", "Category", "New page creation")
