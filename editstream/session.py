@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,21 +46,26 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) do we make one of our own.
+    Where it is unset, a local session (one machine, as in tests) gets a folder
+    of its own; on a cluster that would be a folder only the driver sees, so
+    the setting is required there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        except Exception:  # no SparkContext on this client (e.g. Spark Connect)
-            root = None
-    if not root:
-        root = tempfile.mkdtemp(prefix="editstream-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.conf.get("spark.app.id", "local")
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="editstream-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
