@@ -62,3 +62,23 @@ def ranked(rows: DataFrame, group: list[str], bucket: str, order: list[Column])
 def fraction_key(text: Column) -> Column:
     """A seeded order key: 32 hex digits, uniform, the same in any SQL engine."""
     return F.md5(text)
+
+
+def slices(batches, column: str, most: int = 8 << 20):
+    """Arrow batches cut so that ``column`` holds about ``most`` bytes in each.
+
+    Long texts then never meet by the thousand in one worker's memory.
+    """
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        start = held = 0
+        for i, n in enumerate(sizes.tolist()):
+            if held and held + n > most:
+                yield batch.slice(start, i - start)
+                start, held = i, 0
+            held += n + 16
+        yield batch.slice(start)
