@@ -32,8 +32,9 @@ from .shared import BUCKET_HEX, fraction_key, ranked, read_table, slices, stored
 
 CAPACITY = 2048
 END_ID = 0
-MOST_WORDS = 300_000
+MOST_WORDS = 800_000
 LONGEST_KEPT = 64
+BATCH_BYTES = 16 << 20
 _TABLES: dict[str, "WordTable"] = {}
 
 
@@ -46,41 +47,89 @@ class WordTable:
     """Token ids of a text as little-endian 32-bit integers.
 
     The vocabulary's own rule cuts a text into words that are segmented one by
-    one, so the library segments each distinct word once. That rule is restated
-    here for plain Latin-1 texts only; any other text, or one that may hold a
-    special token, goes to the library whole.
+    one and never cross white space. Ids are kept for each distinct stretch
+    between white space, made of those of its words, and the library segments
+    each distinct word once. The rule is restated here for plain Latin-1 texts
+    only; any other text, or one that may hold a special token, goes to the
+    library whole.
     """
 
     plain = re.compile(r"[\t\n\r\x20-\x7e\xa1-\xac\xae-\xff]*")
 
     def __init__(self, path: str, most: int = MOST_WORDS):
-        from tokenizers import Tokenizer
+        import numpy as np
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
+        # The same model for words that are normalised and cut already.
+        self.bare = Tokenizer(self.library.model)
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         letter, number = _latin1("L"), _latin1("N")
         # The pre-tokenizer's pattern in word_bpe_49k.json.
         self.words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^\\s{letter}{number}]+")
-        self.most, self.ids = most, {}
+        self.most, self.of_word, self.of_chunk = most, {}, {}
 
-    def whole(self, texts: list[str]) -> list[bytes]:
+    @staticmethod
+    def whole(tokenizer, texts: list[str]) -> list[bytes]:
         import numpy as np
 
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def each(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, from one call: a word's last piece is marked."""
+        import numpy as np
+
+        raw = self.whole(self.bare, [" ".join(words)])[0]
+        ends = (np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 1).tolist()
+        if len(ends) != len(words):
+            return self.whole(self.bare, words)
+        return [raw[4 * a:4 * b] for a, b in zip([0, *ends], ends)]
+
+    def of_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each of these distinct stretches."""
+        if len(self.of_word) > self.most or len(self.of_chunk) > self.most:
+            self.of_word, self.of_chunk = {}, {}
+        words, known = self.of_word, self.of_chunk
+        missing = [c for c in chunks if c not in known]
+        parts = [self.words.findall(c) for c in missing]
+        unknown = [*set(itertools.chain.from_iterable(parts)).difference(words)]
+        words.update(zip(unknown, self.each(unknown)))
+        known.update((c, words[p[0]] if len(p) == 1 else b"".join(map(words.__getitem__, p))) for c, p in zip(missing, parts))
+        out = [*map(known.__getitem__, chunks)]
+        for kept, new in ((words, unknown), (known, missing)):
+            for w in new:  # a word kept is short; a long one is rare and not worth its bytes
+                if len(w) > LONGEST_KEPT:
+                    del kept[w]
+        return out
+
+    def joined(self, texts: list[str]) -> list[bytes]:
+        """Ids of plain texts: distinct stretches looked up, then gathered by position."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        cut = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], pa.string()))
+        coded = cut.flatten().dictionary_encode()
+        at = coded.indices.to_numpy()
+        ids = self.of_chunks(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(size) - size
+        n = size[at]
+        ends = np.cumsum(n)
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        raw = flat[np.arange(n.sum()) + np.repeat(first[at] - ends + n, n)].tobytes()
+        edges = (4 * np.concatenate(([0], ends))[cut.offsets.to_numpy()]).tolist()
+        return [raw[a:b] for a, b in zip(edges, edges[1:])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         fast = [bool(self.plain.fullmatch(t)) and "<|" not in t for t in texts]
-        cut = [self.words.findall(t.lower()) if f else None for t, f in zip(texts, fast)]
-        rest = iter(self.whole([t for t, f in zip(texts, fast) if not f]))
-        if len(self.ids) > self.most:
-            self.ids = {}
-        table = self.ids
-        missing = [w for w in set(itertools.chain.from_iterable(c for c in cut if c)) if w not in table]
-        table.update(zip(missing, self.whole(missing)))
-        out = [next(rest) if c is None else b"".join(map(table.__getitem__, c)) for c in cut]
-        for w in missing:
-            if len(w) > LONGEST_KEPT:
-                del table[w]
-        return out
+        quick = iter(self.joined([t for t, f in zip(texts, fast) if f]))
+        rest = iter(self.whole(self.library, [t for t, f in zip(texts, fast) if not f]))
+        return [next(quick if f else rest) for f in fast]
 
 
 def table(path: str) -> WordTable:
@@ -101,7 +150,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
         import pyarrow as pa
 
         words = table(path)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", BATCH_BYTES):
             coded = [x + end for x in words.encode([t or "" for t in batch.column("text").to_pylist()])]
             cut = [(i, p, x[p * 4 * capacity:(p + 1) * 4 * capacity]) for i, x in enumerate(coded)
                    for p in range(-(-len(x) // (4 * capacity)))]
