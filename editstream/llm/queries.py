@@ -5,6 +5,7 @@ from __future__ import annotations
 from .op3_sentencepiece import op3_chunk_table_pieces
 from .op4_packing import op4_best_two_fit
 from .op5_chat import OP5_SQL, op5_columnar_chat
+from .op8_neardup import OP8_SQL, op8_epsilon_grid
 from .op9_topk import OP9_SQL, op9_histogram_topk
 from .op10_sharding import OP10_SQL, op10_stratified_interleave
 
@@ -12,12 +13,14 @@ QUERIES = {
     "op3_chunk_table_pieces": op3_chunk_table_pieces,
     "op4_best_two_fit": op4_best_two_fit,
     "op5_columnar_chat": op5_columnar_chat,
+    "op8_epsilon_grid": op8_epsilon_grid,
     "op9_histogram_topk": op9_histogram_topk,
     "op10_stratified_interleave": op10_stratified_interleave,
 }
 
 ORACLES = {
     "op5_columnar_chat": OP5_SQL,
+    "op8_epsilon_grid": OP8_SQL,
     "op9_histogram_topk": OP9_SQL,
     "op10_stratified_interleave": OP10_SQL,
 }
