@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .op1_toxicity import op1_clause_grammar
 from .op3_sentencepiece import op3_chunk_table_pieces
 from .op4_packing import op4_best_two_fit
 from .op5_chat import OP5_SQL, op5_columnar_chat
@@ -10,6 +11,7 @@ from .op9_topk import OP9_SQL, op9_histogram_topk
 from .op10_sharding import OP10_SQL, op10_stratified_interleave
 
 QUERIES = {
+    "op1_clause_grammar": op1_clause_grammar,
     "op3_chunk_table_pieces": op3_chunk_table_pieces,
     "op4_best_two_fit": op4_best_two_fit,
     "op5_columnar_chat": op5_columnar_chat,
