@@ -32,9 +32,9 @@ from .shared import BUCKET_HEX, fraction_key, ranked, read_table, slices, stored
 
 CAPACITY = 2048
 END_ID = 0
-MOST_WORDS = 800_000
+MOST_WORDS = 400_000
 LONGEST_KEPT = 64
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 _TABLES: dict[str, "WordTable"] = {}
 
 
