@@ -6,6 +6,7 @@ from .op1_toxicity import op1_clause_grammar
 from .op3_sentencepiece import op3_chunk_table_pieces
 from .op4_packing import op4_best_two_fit
 from .op5_chat import OP5_SQL, op5_columnar_chat
+from .op6_pii import op6_keyed_surrogates
 from .op8_neardup import OP8_SQL, op8_epsilon_grid
 from .op9_topk import OP9_SQL, op9_histogram_topk
 from .op10_sharding import OP10_SQL, op10_stratified_interleave
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_chunk_table_pieces": op3_chunk_table_pieces,
     "op4_best_two_fit": op4_best_two_fit,
     "op5_columnar_chat": op5_columnar_chat,
+    "op6_keyed_surrogates": op6_keyed_surrogates,
     "op8_epsilon_grid": op8_epsilon_grid,
     "op9_histogram_topk": op9_histogram_topk,
     "op10_stratified_interleave": op10_stratified_interleave,
