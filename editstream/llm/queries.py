@@ -7,6 +7,7 @@ from .op3_sentencepiece import op3_chunk_table_pieces
 from .op4_packing import op4_best_two_fit
 from .op5_chat import OP5_SQL, op5_columnar_chat
 from .op6_pii import op6_keyed_surrogates
+from .op7_repeats import OP7_SQL, op7_sparse_doubling
 from .op8_neardup import OP8_SQL, op8_epsilon_grid
 from .op9_topk import OP9_SQL, op9_histogram_topk
 from .op10_sharding import OP10_SQL, op10_stratified_interleave
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_best_two_fit": op4_best_two_fit,
     "op5_columnar_chat": op5_columnar_chat,
     "op6_keyed_surrogates": op6_keyed_surrogates,
+    "op7_sparse_doubling": op7_sparse_doubling,
     "op8_epsilon_grid": op8_epsilon_grid,
     "op9_histogram_topk": op9_histogram_topk,
     "op10_stratified_interleave": op10_stratified_interleave,
@@ -24,6 +26,7 @@ QUERIES = {
 
 ORACLES = {
     "op5_columnar_chat": OP5_SQL,
+    "op7_sparse_doubling": OP7_SQL,
     "op8_epsilon_grid": OP8_SQL,
     "op9_histogram_topk": OP9_SQL,
     "op10_stratified_interleave": OP10_SQL,

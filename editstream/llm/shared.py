@@ -23,9 +23,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: a lost executor costs a reread, not a recomputation, and
     several readers share one computation.
     """
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    # Nothing reads this job's shuffle files again: what follows reads the table.
+    clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(clean, None)
+    spark.conf.set(clean, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(clean) if before is None else spark.conf.set(clean, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def group_offsets(rows: DataFrame, group: list[str], bucket: str) -> DataFrame:
@@ -82,3 +90,13 @@ def slices(batches, column: str, most: int = 8 << 20):
                 start, held = i, 0
             held += n + 16
         yield batch.slice(start)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables that ``stored`` wrote and nothing reads any more."""
+    for df in frames:
+        spark = df.sparkSession
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
