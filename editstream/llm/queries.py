@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .op1_toxicity import op1_clause_grammar
+from .op2_jaccard import OP2_SQL, op2_minhash_forest
 from .op3_sentencepiece import op3_chunk_table_pieces
 from .op4_packing import op4_best_two_fit
 from .op5_chat import OP5_SQL, op5_columnar_chat
@@ -14,6 +15,7 @@ from .op10_sharding import OP10_SQL, op10_stratified_interleave
 
 QUERIES = {
     "op1_clause_grammar": op1_clause_grammar,
+    "op2_minhash_forest": op2_minhash_forest,
     "op3_chunk_table_pieces": op3_chunk_table_pieces,
     "op4_best_two_fit": op4_best_two_fit,
     "op5_columnar_chat": op5_columnar_chat,
@@ -25,6 +27,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_minhash_forest": OP2_SQL,
     "op5_columnar_chat": OP5_SQL,
     "op7_sparse_doubling": OP7_SQL,
     "op8_epsilon_grid": OP8_SQL,
