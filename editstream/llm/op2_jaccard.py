@@ -67,7 +67,7 @@ def shingle_sets(texts) -> list:
     plain = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())), r"[^\p{L}\p{N}]+", " ")
     cut = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(plain))
     words = cut.flatten().dictionary_encode()
-    known = np.array([xxhash.xxh3_64_intdigest(w) for w in words.dictionary.to_pylist()], np.uint64)
+    known = np.array([xxhash.xxh3_64_intdigest(w) if w else 0 for w in words.dictionary.to_pylist()], np.uint64)
     hashes = known[words.indices.to_numpy()] if len(known) else known
     edges = np.asarray(cut.offsets) - cut.offsets[0].as_py()
     out = []
