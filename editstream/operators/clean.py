@@ -87,13 +87,16 @@ def decode_edits(records: DataFrame, value_col: str = "value") -> DataFrame:
     """Keyed records (value bytes or text) -> typed edits with ``event_time``.
 
     Carries the log position columns ``partition`` and ``offset`` when the
-    source has them. Undecodable values yield all-null rows, which
-    ``valid_edits`` removes.
+    source has them. Records with an empty key are left out unread (the key is
+    the wiki). Undecodable values yield all-null rows, which ``valid_edits``
+    removes. ``inline`` keeps later filters above it, so a value is parsed once.
     """
     carry = [c for c in ("partition", "offset") if c in records.columns]
+    if "key" in records.columns:
+        records = records.where(F.length(F.col("key").cast("string")) > 0)
     decoded = records.select(
-        F.from_json(F.col(value_col).cast("string"), EDIT).alias("d"), *carry)
-    return with_event_time(decoded.select("d.*", *carry))
+        *carry, F.inline(F.array(F.from_json(F.col(value_col).cast("string"), EDIT))))
+    return with_event_time(decoded.select(*EDIT_COLUMNS, *carry))
 
 
 def with_event_time(edits: DataFrame) -> DataFrame:

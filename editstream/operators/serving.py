@@ -133,14 +133,15 @@ def kpi_summary(latest: DataFrame, live: DataFrame) -> DataFrame:
     p = live.select(F.lit(False).alias("_m"), F.lit(None).cast("string").alias("wiki"),
                     F.lit(None).cast("long").alias("edit_count"), "bot")
     is_m = F.col("_m")
+    bot = F.coalesce("bot", F.lit(False))  # unknown counts as human
     rank_key = F.when(is_m, F.struct((-F.col("edit_count")).alias("neg_count"), F.col("wiki")))
     head = m.unionByName(p).agg(
         F.coalesce(F.sum("edit_count"), F.lit(0)).cast("long").alias("total_edits"),
         F.count_if(is_m).alias("active_wikis"),
         F.min_by("wiki", rank_key).alias("top_wiki"),
         F.max("edit_count").alias("top_wiki_count"),
-        F.count_if(~is_m & F.col("bot")).alias("bot_count"),
-        F.count_if(~is_m & ~F.col("bot")).alias("human_count"),
+        F.count_if(~is_m & bot).alias("bot_count"),
+        F.count_if(~is_m & ~bot).alias("human_count"),
     )
     total = F.col("bot_count") + F.col("human_count")
     share = F.when(total > 0, F.lit(100.0) * F.col("bot_count") / total).otherwise(F.lit(0.0))

@@ -213,7 +213,7 @@ ORACLES: dict[str, str] = {
     "kpi_summary": _sql(f"""
         , top AS (SELECT wiki, edit_count FROM latest ORDER BY edit_count DESC, wiki LIMIT 1),
         top_named AS (SELECT * FROM {_named('top')} x),
-        people AS (SELECT count(*) FILTER (WHERE bot) AS b, count(*) FILTER (WHERE NOT bot) AS h FROM live)
+        people AS (SELECT count(*) FILTER (WHERE bot) AS b, count(*) FILTER (WHERE NOT coalesce(bot, false)) AS h FROM live)
         SELECT (SELECT CAST(coalesce(sum(edit_count), 0) AS BIGINT) FROM latest) AS total_edits,
                (SELECT count(*) FROM latest) AS active_wikis,
                t.wiki AS top_wiki, t.wiki_name AS top_wiki_name, t.edit_count AS top_wiki_count,
@@ -271,4 +271,8 @@ STREAM_ORACLES: dict[str, str] = {
     "stream_window_metrics": ORACLES["window_metrics"],
     "stream_enriched_snapshot": ORACLES["enriched_snapshot"],
     "stream_late_data": late_data_sql(),
+    "progress_report": _sql("""
+        , t AS (SELECT (ingestion_ts - 1704067200) // 360 + CASE WHEN id % 23 = 0 THEN 1 ELSE 0 END AS batch_id FROM valid)
+        SELECT i::BIGINT AS batch_id, count(t.batch_id) AS num_input_rows
+        FROM range((SELECT max(batch_id) + 1 FROM t)) r(i) LEFT JOIN t ON t.batch_id = r.i GROUP BY 1"""),
 }

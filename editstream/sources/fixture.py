@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import EVENTS
-from ..session import scratch_dir
 
 BASE_EPOCH = 1704067200  # 2024-01-01T00:00:00Z
 TIME_COMPRESSION = 600
@@ -30,35 +29,10 @@ WIKI_BUCKETS = [
 TYPE_BY_EVENT = {"click": "edit", "purchase": "new", "signup": "log", "view": "categorize"}
 NAMESPACE_BY_MOD13 = {4: 1, 5: 2, 6: 3, 7: 6, 8: 14, 9: 14, 10: 102, 11: -1}
 
-_SPREAD: dict[tuple[str, str], str | None] = {}
-
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole ``events`` table.
-
-    A file with a single row group is one scan split, which would leave all
-    the per-row work to one task (and Catalyst pushes later filters back
-    below any in-plan repartition, into that task). In that case only, the
-    rows are hash-spread on ``event_id`` over the available cores once per
-    session and written as a Parquet table in the shared checkpoint folder;
-    queries then scan that copy with full parallelism and pushdown. Inputs
-    that already have enough splits (any real-size table) are read directly.
-    """
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    try:
-        sc = spark.sparkContext
-        key = (sc.applicationId, path)
-    except Exception:  # no SparkContext on this client: read as is
-        return spark.read.schema(EVENTS).parquet(path)
-    if key not in _SPREAD:
-        events = spark.read.schema(EVENTS).parquet(path)
-        cores = sc.defaultParallelism
-        staged = None
-        if events.rdd.getNumPartitions() < cores:
-            staged = scratch_dir(spark, "events-spread")
-            events.repartition(cores, "event_id").write.parquet(staged)
-        _SPREAD[key] = staged
-    return spark.read.schema(EVENTS).parquet(_SPREAD[key] or path)
+    """The whole ``events`` table, read where it lies."""
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def _s(v) -> str:

@@ -1,16 +1,17 @@
 """Replay the fixture through the streaming path and read back the tables.
 
-The valid edits are published as keyed JSON (the log's value) and landed as
-one file per 6-minute slice of ingestion time, in order; the file source then
-reads one file per trigger under ``availableNow``. In order, nothing is late,
-so every table must equal its batch twin. The late variant holds rows with
-``id % 23 == 0`` back by one file.
-
-Landing: the records are staged once, partitioned by file number, in one
-distributed job; each slice is then appended to the watched folder by its
-own small job (reading only its staged partition), so file modification
-times follow the slice order. A session lands each replay once and every
-replay query reads it with its own checkpoint.
+The valid edits are published as keyed log records and landed by 6-minute
+slice of ingestion time; a slice is a file per log partition, and the file
+source reads one slice per trigger under ``availableNow``. In order, nothing
+is late, so every table must equal its batch twin. The late variant holds rows
+with ``id % 23 == 0`` back by one slice.
+
+Landing: one distributed job writes all records in folders by slice, as many
+files each as the session has shuffle partitions; a slice is then renamed into
+the watched folder and its files are dated, so the source lists slices in
+order. A record without key marks every file (a source's heartbeat), so a
+slice always has the same number of files. A session lands each replay once
+and every replay query reads it with its own checkpoint.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from ..operators.clean import to_keyed_json, valid_edits
 from ..plans import catalog
 from ..schemas import EDIT_COLUMNS
+from .. import storage
 from ..session import scratch_dir
 from ..sources import dims
 from ..sources.fixture import BASE_EPOCH
@@ -32,10 +34,15 @@ from .sources import edit_stream
 
 SLICE_SECONDS = 360
 LATE_MOD = 23
-STATE_PARTITIONS = 2
 COMPACT_EVERY = 6          # twice per 12-slice replay, so the gate covers compaction
 
 
+def log_partitions(spark: SparkSession) -> int:
+    """Log partitions of a replay, and state partitions of its queries: as the
+    session is configured. Fixed for the life of a checkpoint."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _slice(late_mod: int | None):
     no = F.floor((F.col("ingestion_ts") - F.lit(BASE_EPOCH)) / F.lit(SLICE_SECONDS)).cast("int")
     if late_mod:
@@ -44,21 +51,37 @@ def _slice(late_mod: int | None):
 
 
 def stage_replay(spark: SparkSession, sf_dir: str, folder: str, late_mod: int | None = None) -> int:
-    """Publish the valid edits as keyed JSON, staged by slice number, in one
-    distributed job. Returns the number of the last slice."""
-    edits = valid_edits(catalog.edits(spark, sf_dir)).withColumn("file_no", _slice(late_mod))
-    (to_keyed_json(edits, carry=["file_no"]).write.mode("overwrite")
-     .partitionBy("file_no").parquet(f"{folder}/staged"))
-    return spark.read.parquet(f"{folder}/staged").agg(F.max("file_no")).first()[0]
+    """Publish the valid edits as log records, staged by slice, in one
+    distributed job. Returns the number of the last slice.
+
+    A wiki is in one partition; offsets rise with arrival (second, id).
+    """
+    n = log_partitions(spark)
+    edits = valid_edits(catalog.edits(spark, sf_dir))
+    last = edits.agg(F.max(_slice(late_mod))).first()[0] or 0
+    edits = edits.withColumn("slice", _slice(late_mod)).withColumn(
+        "offset", (F.col("ingestion_ts") - F.lit(BASE_EPOCH)) * F.lit(1 << 32) + F.col("id"))
+    records = to_keyed_json(edits, carry=["slice", "offset"]).withColumn(
+        "partition", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int"))
+    marks = spark.range((last + 1) * n).selectExpr(
+        "CAST(NULL AS STRING) AS key", "CAST(NULL AS STRING) AS value", f"CAST(id div {n} AS INT) AS slice",
+        "CAST(NULL AS BIGINT) AS offset", f"CAST(id % {n} AS INT) AS partition")
+    (records.unionByName(marks).repartition(n * (last + 1), "slice", "partition")
+     .sortWithinPartitions("slice", "partition", "offset")
+     .withColumn("of", F.concat_ws("-", "slice", "partition"))
+     .write.partitionBy("of").parquet(f"{folder}/staged"))
+    return last
 
 
 def land_slices(spark: SparkSession, folder: str, start: int, upto: int) -> None:
-    """Append slices ``start .. upto`` to ``folder/in``, one file each, in order."""
-    stage = spark.read.parquet(f"{folder}/staged")
+    """Move slices ``start .. upto`` into the watched folder, dated in order."""
+    dated = int(time.time()) - 3600
     for no in range(start, upto + 1):
-        (stage.where(F.col("file_no") == no).select("value").coalesce(1)
-         .write.mode("append").text(f"{folder}/in"))
-        time.sleep(0.01)
+        for p in range(log_partitions(spark)):
+            to = f"{folder}/in/{no}-{p}"
+            storage.rename(spark, f"{folder}/staged/of={no}-{p}", to)
+            for f in storage.files(spark, to):
+                storage.set_modified(spark, f, (dated + no) * 1000)
 
 
 def land_replay(spark: SparkSession, sf_dir: str, folder: str, late_mod: int | None = None) -> int:
@@ -77,34 +100,16 @@ def landed_replay(spark: SparkSession, sf_dir: str, late_mod: int | None = None)
     the same input (like several queries subscribed to one topic); each query
     keeps its own checkpoint and output, so it still reads from the start.
     """
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # no SparkContext on this client: land per call
-        app = None
-    key = (app, sf_dir.rstrip("/"), late_mod)
-    if app is None or key not in _LANDED:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), late_mod, log_partitions(spark))
+    if key not in _LANDED:
         folder = scratch_dir(spark, "replay-in")
         land_replay(spark, sf_dir, folder, late_mod)
-        if app is None:
-            return folder
         _LANDED[key] = folder
     return _LANDED[key]
 
 
 def _edits(spark: SparkSession, source: str) -> DataFrame:
-    return edit_stream(spark, "files", path=f"{source}/in", max_files=1)
-
-
-def _parts(spark: SparkSession) -> int:
-    """State / shuffle partitions for the replay queries.
-
-    After the partial aggregation a micro-batch ships at most (#input splits x
-    #wikis x open windows) rows, and the state holds (#wikis x open windows)
-    keys: both are bounded by the key space, not by the event rate, so a
-    small fixed count serves any input size (parallelism for the raw rows
-    comes from the source splits). Fixed for the life of a checkpoint.
-    """
-    return STATE_PARTITIONS
+    return edit_stream(spark, "files", path=f"{source}/in", max_files=log_partitions(spark))
 
 
 def _run(query) -> None:
@@ -116,14 +121,14 @@ def _run(query) -> None:
 def replay_live(spark, sf_dir):
     source, folder = landed_replay(spark, sf_dir), scratch_dir(spark, "live")
     _run(runner.start_live(_edits(spark, source), f"{folder}/live", f"{folder}/ckpt", "available_now",
-                           partitions=_parts(spark), compact_every=COMPACT_EVERY))
+                           partitions=log_partitions(spark), compact_every=COMPACT_EVERY))
     return sinks.live_table(f"{folder}/live").read(spark)
 
 
 def replay_metrics(spark, sf_dir, late_mod=None):
     source, folder = landed_replay(spark, sf_dir, late_mod), scratch_dir(spark, "metrics")
     q = runner.start_metrics(_edits(spark, source), f"{folder}/metrics", f"{folder}/ckpt", "available_now",
-                             partitions=_parts(spark), compact_every=COMPACT_EVERY)
+                             partitions=log_partitions(spark), compact_every=COMPACT_EVERY)
     _run(q)
     return sinks.metric_table(f"{folder}/metrics").read(spark), q
 
@@ -132,7 +137,7 @@ def replay_enriched(spark, sf_dir):
     source, folder = landed_replay(spark, sf_dir), scratch_dir(spark, "enriched")
     q = runner.start_enriched(_edits(spark, source), dims.language_dim(spark), f"{folder}/enriched",
                               f"{folder}/ckpt", "available_now", dim_rows=dims.bundled_dim_rows(),
-                              partitions=_parts(spark), compact_every=COMPACT_EVERY)
+                              partitions=log_partitions(spark), compact_every=COMPACT_EVERY)
     _run(q)
     return sinks.enriched_table(f"{folder}/enriched").read(spark)
 
@@ -147,14 +152,14 @@ def run_service_replay(spark: SparkSession, sf_dir: str, which: str):
     edits = _edits(spark, source)
     t0 = time.perf_counter()
     if which == "live":
-        q = runner.start_live(edits, f"{folder}/t", f"{folder}/ckpt", "available_now", partitions=_parts(spark))
+        q = runner.start_live(edits, f"{folder}/t", f"{folder}/ckpt", "available_now", partitions=log_partitions(spark))
         table = sinks.live_table(f"{folder}/t")
     elif which == "metrics":
-        q = runner.start_metrics(edits, f"{folder}/t", f"{folder}/ckpt", "available_now", partitions=_parts(spark))
+        q = runner.start_metrics(edits, f"{folder}/t", f"{folder}/ckpt", "available_now", partitions=log_partitions(spark))
         table = sinks.metric_table(f"{folder}/t")
     elif which == "enriched":
         q = runner.start_enriched(edits, dims.language_dim(spark), f"{folder}/t", f"{folder}/ckpt",
-                                  "available_now", dim_rows=dims.bundled_dim_rows(), partitions=_parts(spark))
+                                  "available_now", dim_rows=dims.bundled_dim_rows(), partitions=log_partitions(spark))
         table = sinks.enriched_table(f"{folder}/t")
     else:
         raise ValueError(which)
@@ -189,12 +194,14 @@ def q_stream_late_data(spark, sf_dir):
 
 
 def q_progress_report(spark, sf_dir):
-    """Per-batch throughput of the metric query over the late replay."""
-    _, q = replay_metrics(spark, sf_dir, late_mod=LATE_MOD)
-    rows = runner.progress_rows(q)
-    schema = ("batch_id long, num_input_rows long, input_rows_per_second double, "
-              "processed_rows_per_second double, rows_dropped_by_watermark long")
-    return spark.createDataFrame(rows, schema)
+    """Edits that each batch of the metric query reads over the late replay,
+    from the progress reports of all batches."""
+    source, folder = landed_replay(spark, sf_dir, LATE_MOD), scratch_dir(spark, "progress")
+    with runner.ProgressLog(spark, f"{folder}/progress") as log:
+        edits = _edits(spark, source).observe(runner.READ, F.count(F.lit(1)).alias("n"))
+        _run(runner.start_metrics(edits, f"{folder}/metrics", f"{folder}/ckpt", "available_now",
+                                  partitions=log_partitions(spark)))
+    return log.table(spark).filter("num_source_rows > 0").select("batch_id", F.col("num_read").alias("num_input_rows"))
 
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

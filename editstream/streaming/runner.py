@@ -8,8 +8,10 @@ re-delivered batch.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.clean import parse_feed_lines, to_keyed_json, trim_events
 from ..operators.enrich import enrich_for_snapshot
@@ -109,8 +111,8 @@ def start_producer(spark: SparkSession, feed_path: str, out: str, checkpoint: st
                    name: str = "publish_edits", **opts) -> StreamingQuery:
     """Landed feed text -> raw events -> trimmed edits -> keyed JSON records.
 
-    Stateless and append-only. ``kind="files"`` writes the JSON values as text
-    files under ``out`` (exactly-once file sink); ``kind="kafka"`` writes
+    Stateless and append-only. ``kind="files"`` writes records as Parquet
+    files under ``out`` (exactly-once file sink, no log position); ``kind="kafka"`` writes
     key/value records to topic ``out`` (needs the Kafka connector and
     ``bootstrap``). Edits are stamped with the wall-clock ingestion second.
     """
@@ -121,7 +123,7 @@ def start_producer(spark: SparkSession, feed_path: str, out: str, checkpoint: st
              .writeStream.format("kafka").option("kafka.bootstrap.servers", opts["bootstrap"])
              .option("topic", out))
     elif kind == "files":
-        w = records.select("value").writeStream.format("text").option("path", out)
+        w = records.select("key", "value").writeStream.format("parquet").option("path", out)
     else:
         raise ValueError(f"unknown sink kind: {kind}")
     w = w.queryName(name).outputMode("append").option("checkpointLocation", checkpoint)
@@ -143,17 +145,75 @@ def start_all(spark: SparkSession, edits: DataFrame, dim: DataFrame, root: str,
     ]
 
 
-def progress_rows(query: StreamingQuery) -> list[dict]:
-    """Throughput per finished batch from the query's progress reports."""
-    out = []
-    for p in query.recentProgress:
-        dropped = sum(int(op.get("numRowsDroppedByWatermark", 0) or 0)
-                      for op in (p.get("stateOperators") or []))
-        out.append({
-            "batch_id": int(p["batchId"]),
-            "num_input_rows": int(p.get("numInputRows", 0) or 0),
-            "input_rows_per_second": float(p.get("inputRowsPerSecond", 0.0) or 0.0),
-            "processed_rows_per_second": float(p.get("processedRowsPerSecond", 0.0) or 0.0),
-            "rows_dropped_by_watermark": dropped,
-        })
-    return out
+READ = "edits_read"
+PROGRESS = ("query_id string, run_id string, batch_id long, num_source_rows long, num_read long, "
+            "input_rows_per_second double, processed_rows_per_second double, rows_dropped_by_watermark long")
+
+
+class ProgressLog(StreamingQueryListener):
+    """Writes every batch's progress of the queries that run inside the block.
+
+    Reports are written in small files of ``every`` rows as they come and the
+    rest at the end, so none is lost however many batches there are (a query
+    itself remembers the last hundred).
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 100):
+        self.spark, self.path, self.every = spark, path, every
+        self.rows, self.files, self.running, self.idle = [], 0, 0, threading.Event()
+        self.idle.set()
+
+    def onQueryStarted(self, event):
+        self.running += 1
+        self.idle.clear()
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        read = (p.observedMetrics or {}).get(READ)
+        self.rows.append((
+            str(p.id), str(p.runId), int(p.batchId), int(p.numInputRows or 0), None if read is None else int(read["n"]),
+            float(p.inputRowsPerSecond or 0), float(p.processedRowsPerSecond or 0),
+            sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators or [])))
+        if len(self.rows) >= self.every:
+            self._flush()
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.running -= 1
+        if self.running <= 0:
+            self.idle.set()
+
+    def _flush(self):
+        rows, self.rows = self.rows, []
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS).coalesce(1).write.parquet(f"{self.path}/p{self.files}")
+            self.files += 1
+
+    def __enter__(self):
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *exc):
+        # Reports come after the query's end, in order; its end is the last.
+        self.idle.wait(60)
+        self.spark.streams.removeListener(self)
+        self._flush()
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return (spark.read.schema(PROGRESS).option("recursiveFileLookup", "true").parquet(self.path)
+                if self.files else spark.createDataFrame([], PROGRESS))
+
+
+def serve(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+    """Waits until one of the queries ends, stops the others, raises a failure."""
+    try:
+        spark.streams.awaitAnyTermination()
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+    for q in queries:
+        if q.exception() is not None:
+            raise q.exception()

@@ -1,53 +1,75 @@
 """Keyed upsert tables on plain Parquet, fed by ``foreachBatch``.
 
-No table format is available here, so an upsert table is a change log
-partitioned by micro-batch id plus a latest-wins read:
-
-- write: each batch is reduced to one row per key (partial + final
-  aggregation, distributed) and written to its own ``_batch_id=<id>``
-  partition with dynamic partition overwrite. Re-delivering a batch id after
-  a failure rewrites the same partition with the same rows, so the sink is
-  idempotent and the query is effectively-once.
-- read: ``latest_by(key, order=_batch_id)`` over the log — later batches
-  win, like last-write-wins puts with one version kept.
-
-Nothing is collected to the driver. The log grows by at most one row per
-key per batch; ``compact`` folds old batches into one partition so reads stay
-bounded. On storage with a table format, the same reduce step feeds a
-``MERGE INTO`` instead.
+Rows lie in folders that are written once and never changed. A manifest names
+the folders that make up the table; publishing a version is writing the next
+manifest. So
+
+- a batch counts from the moment its manifest is complete: a crash before that
+  leaves a folder nobody reads, and the batch is delivered and written again;
+- versions count up with the table, not with a query's batch ids: a query that
+  starts anew on an old table (fresh checkpoint, batch 0) writes newer
+  versions. A batch that its query had published is skipped;
+- a reader keeps the folders of the manifest it opened, whatever is compacted
+  meanwhile; ``vacuum`` deletes what the last few manifests do not name.
+
+Read: the newest version of each key wins. ``compact`` folds the versions since
+the last compaction into the base, part by part: only parts (for metrics: days
+of windows) that new rows touch are rewritten, closed ones stay as they are.
+Reduction, folding and writing are distributed; the driver sees manifests.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..operators.snapshot import latest_by
 from ..schemas import ARRIVAL_ORDER, ENRICHED_COLUMNS, LIVE_COLUMNS
 
-BATCH_COL = "_batch_id"
+VERSION_COL = "_version"
+PART_COL = "_part"
+QUERY_ID = "sql.streaming.queryId"
+KEPT_MANIFESTS = 8
+EMPTY = {"version": 0, "base": {}, "base_version": 0, "recent": [], "batches": {}}
 
 
 class UpsertTable:
-    """``files_per_batch``: a reduced batch holds at most one row per key it
-    touched (wikis, or wiki x open windows), so one file per batch keeps the
-    log free of small files; raise it for tables with large key spaces."""
+    """``part``: which part of the table a row belongs to; one if not given."""
 
     def __init__(self, path: str, key: list[str], cells: list[str], order: list[str] | None = None,
-                 files_per_batch: int = 1, cluster_desc: list[str] | None = None,
-                 compact_every: int | None = None):
+                 cluster_desc: list[str] | None = None, compact_every: int | None = None,
+                 part: Column | None = None):
         self.path = path.rstrip("/")
         self.compact_every = compact_every
         self.key = list(key)
         self.cells = list(cells)
         self.order = list(order or [])
-        self.files_per_batch = files_per_batch
+        self.part = part
         # Rows are written sorted by key (these key columns newest first), so
         # Parquet row-group statistics let a `wiki = ...` read skip groups.
         self.cluster = [F.desc(c) if c in (cluster_desc or []) else F.asc(c) for c in self.key]
 
+    # -- manifests ------------------------------------------------------------
+    def _versions(self, spark: SparkSession) -> list[int]:
+        folder = f"{self.path}/manifests"
+        return sorted(int(n[1:]) for n in storage.names(spark, folder)
+                      if n.startswith("v") and storage.exists(spark, f"{folder}/{n}/_SUCCESS"))
+
+    def manifest(self, spark: SparkSession) -> dict:
+        versions = self._versions(spark)
+        return self._manifest(spark, versions[-1]) if versions else json.loads(json.dumps(EMPTY))
+
+    def _manifest(self, spark: SparkSession, version: int) -> dict:
+        return json.loads(spark.read.text(f"{self.path}/manifests/v{version}").first()[0])
+
+    def _publish(self, spark: SparkSession, manifest: dict) -> None:
+        spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.mode("overwrite").text(
+            f"{self.path}/manifests/v{manifest['version']}")
+
     # -- write side ---------------------------------------------------------
     def reduce(self, batch: DataFrame) -> DataFrame:
         if not self.order:
@@ -55,68 +77,80 @@ class UpsertTable:
         cols = list(dict.fromkeys(self.cells + self.order))
         return latest_by(batch, self.key, self.order, cols)
 
-    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        # repartition, not coalesce: coalesce is narrow and would fold the
-        # upstream (stateful) stage into ``files_per_batch`` tasks; the shuffle
-        # here moves only the reduced rows.
-        rows = (self.reduce(batch).repartition(self.files_per_batch).sortWithinPartitions(*self.cluster)
-                .withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long")))
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COL).parquet(f"{self.path}/log"))
+    def _write(self, rows: DataFrame) -> str:
+        folder = f"rows-{uuid.uuid4().hex}"
+        rows.sortWithinPartitions(*self.cluster).write.parquet(f"{self.path}/{folder}")
+        return folder
+
+    def write_batch(self, batch: DataFrame, batch_id: int, query_id: str = "") -> None:
+        spark = batch.sparkSession
+        manifest = self.manifest(spark)
+        if manifest["batches"].get(query_id, -1) >= batch_id:
+            return  # published before a restart
+        version = manifest["version"] + 1
+        folder = self._write(self.reduce(batch).withColumn(VERSION_COL, F.lit(version).cast("long")))
+        manifest["version"] = version
+        manifest["recent"].append(folder)
+        manifest["batches"][query_id] = batch_id
+        self._publish(spark, manifest)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.write_batch(batch, batch_id)
-        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            self.compact(batch.sparkSession)
+        spark = batch.sparkSession
+        self.write_batch(batch, batch_id, spark.sparkContext.getLocalProperty(QUERY_ID) or "")
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            self.compact(spark)
+            self.vacuum(spark)
 
     # -- read side ----------------------------------------------------------
-    def _base(self, spark: SparkSession) -> int | None:
-        """Batch id of the newest compaction (one tiny metadata read), if any."""
-        try:
-            return spark.read.parquet(f"{self.path}/compactions").agg(F.max("upto")).first()[0]
-        except Exception:  # no compaction yet
-            return None
-
-    def _log(self, spark: SparkSession) -> DataFrame:
-        log = spark.read.parquet(f"{self.path}/log")
-        base = self._base(spark)
-        # Partition `base` holds every key's newest row as of `base`: older
-        # partitions can never win, so they are pruned from the scan.
-        return log if base is None else log.where(F.col(BATCH_COL) >= F.lit(base))
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Current table: each batch holds at most one row per key, so the
-        newest batch id alone picks a key's row."""
-        return latest_by(self._log(spark), self.key, [BATCH_COL], self.cells)
+    def _rows(self, spark: SparkSession, manifest: dict, parts: list[str] | None = None) -> DataFrame | None:
+        base = [f for p, f in manifest["base"].items() if parts is None or p in parts]
+        folders = [f"{self.path}/{f}" for f in [*base, *manifest["recent"]]]
+        return spark.read.parquet(*folders) if folders else None
+
+    def read(self, spark: SparkSession, columns: list[str] | None = None) -> DataFrame:
+        """Current table: a version holds at most one row a key, so the newest
+        version alone picks a key's row. Only the cells of ``columns`` are read."""
+        rows = self._rows(spark, self.manifest(spark))
+        if rows is None:
+            raise ValueError(f"no version of {self.path} is published yet")
+        wanted = [c for c in self.cells if columns is None or c in columns]
+        return latest_by(rows, self.key, [VERSION_COL], wanted)
 
     # -- maintenance ----------------------------------------------------------
     def compact(self, spark: SparkSession) -> int | None:
-        """Fold all batches up to the second-newest into that batch's partition.
-
-        The newest batch is left alone: it is the only one a restarted query
-        can re-deliver, and re-delivery rewrites its partition. The folded rows
-        are staged in a fresh folder first (no job reads and overwrites the
-        same files), then written as partition ``upto``; a marker row records
-        ``upto`` so reads skip older partitions. Returns ``upto`` or None.
-        """
-        log = self._log(spark)
-        newest = log.agg(F.max(BATCH_COL)).first()[0]
-        if newest is None:
-            return None
-        upto = int(newest) - 1
-        base = self._base(spark)
-        if upto < 0 or (base is not None and upto <= base):
+        """Folds recent versions into the parts of the base that they touch.
+        Returns the new version, or None if there is nothing to fold."""
+        manifest = self.manifest(spark)
+        if not manifest["recent"]:
             return None
-        cols = [c for c in log.columns if c not in self.key and c != BATCH_COL]
-        folded = latest_by(log.where(F.col(BATCH_COL) <= F.lit(upto)), self.key, [BATCH_COL], cols)
-        staged = f"{self.path}/compact-{upto}-{uuid.uuid4().hex[:8]}"
-        folded.write.parquet(staged)
-        rows = spark.read.parquet(staged).withColumn(BATCH_COL, F.lit(upto).cast("long"))
-        (rows.repartition(self.files_per_batch).sortWithinPartitions(*self.cluster)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COL).parquet(f"{self.path}/log"))
-        spark.createDataFrame([(upto,)], "upto long").write.mode("append").parquet(f"{self.path}/compactions")
-        return upto
+        part = (self.part if self.part is not None else F.lit(0)).cast("string")
+        recent = spark.read.parquet(*[f"{self.path}/{f}" for f in manifest["recent"]])
+        touched = [r[0] for r in recent.select(part.alias("p")).distinct().collect()]  # days, or one part
+        rows = self._rows(spark, manifest, touched)
+        cells = [c for c in rows.columns if c not in self.key and c != VERSION_COL]
+        folded = latest_by(rows, self.key, [VERSION_COL], [*cells, VERSION_COL]).withColumn(PART_COL, part)
+        folder = f"base-{uuid.uuid4().hex}"
+        folded.sortWithinPartitions(PART_COL, *self.cluster).write.partitionBy(PART_COL).parquet(f"{self.path}/{folder}")
+        manifest["base"].update({p: f"{folder}/{PART_COL}={p}" for p in touched})
+        manifest["recent"] = []
+        manifest["version"] += 1
+        manifest["base_version"] = manifest["version"]
+        self._publish(spark, manifest)
+        return manifest["version"]
+
+    def vacuum(self, spark: SparkSession, keep: int = KEPT_MANIFESTS) -> None:
+        """Deletes manifests but the last ``keep``, and rows that these do not name."""
+        versions = self._versions(spark)
+        named = set()
+        for v in versions[-keep:]:
+            manifest = self._manifest(spark, v)
+            named.update(f.split("/")[0] for f in [*manifest["base"].values(), *manifest["recent"]])
+        if len(versions) > keep:
+            for v in versions[:-keep]:
+                storage.delete(spark, f"{self.path}/manifests/v{v}")
+            for name in storage.names(spark, self.path):
+                if name.startswith(("rows-", "base-")) and name not in named:
+                    storage.delete(spark, f"{self.path}/{name}")
 
 
 LOG_ORDER = ["partition", "offset"]
@@ -124,9 +158,9 @@ LOG_ORDER = ["partition", "offset"]
 
 def arrival_order(columns: list[str]) -> list[str]:
     """Arrival order within a batch: the log position when the source carries
-    it (one wiki -> one partition, so offsets order its edits), else the
-    replay's (ingestion second, event id)."""
-    return LOG_ORDER if all(c in columns for c in LOG_ORDER) else ARRIVAL_ORDER
+    it (one wiki -> one partition, so offsets order its edits), then the
+    ingestion second and the event id."""
+    return [*(LOG_ORDER if all(c in columns for c in LOG_ORDER) else []), *ARRIVAL_ORDER]
 
 
 def live_table(path: str, order: list[str] | None = None, compact_every: int | None = None) -> UpsertTable:
@@ -142,6 +176,8 @@ def enriched_table(path: str, order: list[str] | None = None,
 
 def metric_table(path: str, compact_every: int | None = None) -> UpsertTable:
     """Per (wiki, window_end_epoch): count and average. Update mode re-emits a
-    changed window with its full current values, so the newest batch wins."""
+    changed window with its full current values, so the newest batch wins.
+    Parts are days of window ends: compaction leaves closed days alone."""
     return UpsertTable(path, ["wiki", "window_end_epoch"], ["edit_count", "avg_delta"],
-                       cluster_desc=["window_end_epoch"], compact_every=compact_every)
+                       cluster_desc=["window_end_epoch"], compact_every=compact_every,
+                       part=F.floor(F.col("window_end_epoch") / 86400))

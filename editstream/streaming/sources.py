@@ -7,31 +7,32 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.clean import decode_edits, valid_edits
 from ..operators.metrics import WATERMARK_DELAY
 
-MAX_RECORDS_PER_TRIGGER = 5000
+#: A record of the keyed log, as the files source lands it.
+RECORD = "key string, value string, partition int, offset long"
 
 
 def edit_source(spark: SparkSession, kind: str = "files", **opts) -> DataFrame:
-    """Streaming records carrying the edit JSON in ``value``.
+    """Streaming records: key, value (the edit as JSON), partition, offset.
 
     ``kind="kafka"``: subscribe one topic (``bootstrap``, ``topic``), start at
     ``starting_offsets`` (default ``latest``), admit at most
-    ``max_records_per_trigger`` records per trigger. Needs the Kafka
-    connector on the classpath; it is not bundled here, so this path is
-    configuration only and untested in this repo.
+    ``max_records_per_trigger`` records per trigger (required: it is the
+    service's rate). Needs the Kafka connector on the classpath; it is not
+    bundled here, so this path is configuration only and untested in this repo.
 
-    ``kind="files"``: JSON-lines text files under ``path``, ``max_files``
-    files per trigger, oldest first.
+    ``kind="files"``: Parquet files of ``RECORD`` under ``path``, at most
+    ``max_files`` (required) per trigger, oldest first.
     """
     if kind == "kafka":
         return (spark.readStream.format("kafka")
                 .option("kafka.bootstrap.servers", opts["bootstrap"])
                 .option("subscribe", opts["topic"])
                 .option("startingOffsets", opts.get("starting_offsets", "latest"))
-                .option("maxOffsetsPerTrigger", opts.get("max_records_per_trigger", MAX_RECORDS_PER_TRIGGER))
+                .option("maxOffsetsPerTrigger", opts["max_records_per_trigger"])
                 .load())
     if kind == "files":
-        r = spark.readStream.option("maxFilesPerTrigger", opts.get("max_files", 1))
-        return r.text(opts["path"])
+        return (spark.readStream.schema(RECORD).option("maxFilesPerTrigger", opts["max_files"])
+                .option("recursiveFileLookup", "true").parquet(opts["path"]))
     raise ValueError(f"unknown edit source kind: {kind}")
 
 
