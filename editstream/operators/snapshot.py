@@ -9,8 +9,6 @@ whole hot group.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,28 +27,11 @@ def latest_by(df: DataFrame, key: list[str] | str, order: list[str],
     return picked.select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in cells])
 
 
-def merge_latest(current: DataFrame | None, batch: DataFrame, key: list[str] | str,
-                 order: list[str]) -> DataFrame:
-    """Upsert semantics: union the current table with a batch, keep the latest.
-
-    Associative and idempotent: merging the same batch twice changes nothing.
-    """
-    frames = [batch] if current is None else [current, batch]
-    unioned = reduce(lambda a, b: a.unionByName(b), frames)
-    keys = [key] if isinstance(key, str) else list(key)
-    return latest_by(unioned, keys, order, [c for c in batch.columns if c not in keys])
-
-
 def live_snapshot(edits: DataFrame, order: list[str] = ARRIVAL_ORDER) -> DataFrame:
     """Latest edit per wiki, by arrival order (not the edit's own timestamp)."""
     return latest_by(valid_edits(edits), "wiki", order, LIVE_COLUMNS)
 
 
-def enriched_snapshot(enriched: DataFrame, order: list[str] = ARRIVAL_ORDER) -> DataFrame:
-    """Latest enriched edit per wiki, from already-enriched rows (the stream's shape)."""
-    return latest_by(valid_edits(enriched), "wiki", order, ENRICHED_COLUMNS)
-
-
 def enriched_snapshot_of(edits: DataFrame, dim: DataFrame, order: list[str] = ARRIVAL_ORDER,
                          dim_rows: int | None = None) -> DataFrame:
     """Latest enriched edit per wiki, reducing before joining.

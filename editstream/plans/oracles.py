@@ -14,7 +14,6 @@ from ..functions.fixed_values import (
     PROJECT_SUFFIX_NAMES,
     WIKI_DISPLAY_NAMES,
 )
-from ..functions.names import suffix_pattern
 from ..sources.dims import dimension_rows
 
 
@@ -111,7 +110,6 @@ def _sql(body: str) -> str:
 
 def _named(rel: str, col: str = "wiki", out: str = "wiki_name") -> str:
     """``rel`` plus a display-name column for wiki code ``col``."""
-    pat = suffix_pattern()
     return f"""(SELECT r.*,
         CASE WHEN r.{col} IS NULL OR r.{col} = '' THEN ''
              ELSE coalesce(wn.name,
@@ -119,8 +117,8 @@ def _named(rel: str, col: str = "wiki", out: str = "wiki_name") -> str:
                   r.{col}) END AS {out}
       FROM {rel} r
       LEFT JOIN wiki_names wn ON wn.code = r.{col}
-      LEFT JOIN lang_names ln ON ln.code = regexp_extract(r.{col}, '{pat}', 1)
-      LEFT JOIN project_names pn ON pn.code = regexp_extract(r.{col}, '{pat}', 2))"""
+      LEFT JOIN project_names pn ON ends_with(r.{col}, pn.code)
+      LEFT JOIN lang_names ln ON ln.code = left(r.{col}, length(r.{col}) - length(pn.code)))"""
 
 
 def _label(c: str) -> str:

@@ -22,6 +22,7 @@ EVENTS = StructType([
 
 _PAIR = StructType([StructField("old", LongType()), StructField("new", LongType())])
 
+# Fixed values (wire field names and types).
 # Raw change event as it comes off the feed; `length` / `revision` may be absent.
 RAW_EVENT = StructType([
     StructField("id", LongType()),
@@ -40,6 +41,7 @@ RAW_EVENT = StructType([
     StructField("revision", _PAIR),
 ])
 
+# Fixed values (wire field names and types).
 # Trimmed edit: the flat 18-field record published per edit, keyed by wiki.
 EDIT = StructType([
     StructField("id", LongType()),
@@ -72,6 +74,7 @@ LANGUAGE_DIM = StructType([
 ])
 DIM_COLUMNS = [f.name for f in LANGUAGE_DIM.fields]
 
+# Fixed values (wire field names and types).
 # Cells kept per wiki in the live snapshot (key: wiki).
 LIVE_COLUMNS = [
     "type", "title", "user", "namespace", "server_name",
@@ -79,6 +82,7 @@ LIVE_COLUMNS = [
     "timestamp", "bot", "minor", "ingestion_ts",
 ]
 
+# Fixed values (wire field names and types).
 # Cells kept per wiki in the enriched snapshot (key: wiki).
 ENRICHED_COLUMNS = [
     "type", "title", "user", "bot", "length_delta",

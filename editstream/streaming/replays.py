@@ -152,14 +152,17 @@ def run_service_replay(spark: SparkSession, sf_dir: str, which: str):
     edits = _edits(spark, source)
     t0 = time.perf_counter()
     if which == "live":
-        q = runner.start_live(edits, f"{folder}/t", f"{folder}/ckpt", "available_now", partitions=log_partitions(spark))
+        q = runner.start_live(edits, f"{folder}/t", f"{folder}/ckpt", "available_now", partitions=log_partitions(spark),
+                              compact_every=COMPACT_EVERY)
         table = sinks.live_table(f"{folder}/t")
     elif which == "metrics":
-        q = runner.start_metrics(edits, f"{folder}/t", f"{folder}/ckpt", "available_now", partitions=log_partitions(spark))
+        q = runner.start_metrics(edits, f"{folder}/t", f"{folder}/ckpt", "available_now", partitions=log_partitions(spark),
+                              compact_every=COMPACT_EVERY)
         table = sinks.metric_table(f"{folder}/t")
     elif which == "enriched":
         q = runner.start_enriched(edits, dims.language_dim(spark), f"{folder}/t", f"{folder}/ckpt",
-                                  "available_now", dim_rows=dims.bundled_dim_rows(), partitions=log_partitions(spark))
+                                  "available_now", dim_rows=dims.bundled_dim_rows(), partitions=log_partitions(spark),
+                                  compact_every=COMPACT_EVERY)
         table = sinks.enriched_table(f"{folder}/t")
     else:
         raise ValueError(which)
