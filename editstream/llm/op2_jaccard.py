@@ -15,8 +15,8 @@ Jaccard similarity of their sets is ``threshold`` or more.
    well enough not to be excluded as links.
 3. Components of these candidate links are groups. In a group every pair of
    sets is compared exactly, in blocks, so links the tries did not show are
-   found as well. A block pair returns numbers of links and a spanning forest
-   of them, at most a row a set.
+   found as well. A block pair returns a row for each linked set: its number
+   of links there and one set that they lead to.
 4. Components of the verified links are the classes.
 
 Only signatures are sorted, and only texts in a group are shuffled.
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .op8_neardup import forest
+from .op8_neardup import LINKS, link_rows
 from .shared import discard, ranked, read_table, slices, stored
 
 WORDS = 5
@@ -227,7 +227,6 @@ def shared_counts(a, a_edges, b, b_edges):
 def _verify(threshold: float):
     def run(batches):
         import numpy as np
-        import pyarrow as pa
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -241,24 +240,10 @@ def _verify(threshold: float):
                 mask = same >= threshold * total - 1e-9
                 if not two:
                     np.fill_diagonal(mask, False)
-                n = mask @ get(p + "copies", np.int64)
-                links = [(ids[n > 0], n[n > 0])]
-                if two:
-                    n = get("copies", np.int64) @ mask
-                    links.append((other[n > 0], n[n > 0]))
-                left, right = forest(mask, ids, other)
-                rep = np.concatenate([*[x for x, _ in links], left])
-                none = len(rep) - len(left)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rep), pa.array(np.concatenate([*[x for _, x in links], np.zeros(len(left), np.int64)])),
-                     pa.array(np.concatenate([np.zeros(none, np.int64), right]), mask=np.arange(len(rep)) < none)],
-                    names=["rep", "links", "other"])
+                yield link_rows(mask, ids, other, get("copies", np.int64), get(p + "copies", np.int64), not two)
     return run
 
 
-FOUND = "rep long, links long, other long"
-
-
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs: doc_id, text -> doc_id, class_id, n_links, kept, a row a document."""
     cells = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -281,20 +266,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     blocks = stored(texts.repartition(cells, "group", "block").sortWithinPartitions("group", "block", "rep").mapInArrow(
         _blocks, "group long, block long, blocks long, ids binary, copies binary, edges binary, sets binary"), "blocks")
 
-    alone = blocks.filter("blocks = 1").mapInArrow(_verify(threshold), FOUND)
+    alone = blocks.filter("blocks = 1").mapInArrow(_verify(threshold), LINKS)
     several = blocks.filter("blocks > 1")
     data = ["ids", "copies", "edges", "sets"]
     pairs = several.select("group", F.col("block").alias("a"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("b"))
     left = several.select("group", F.col("block").alias("a"), *data)
     right = several.select("group", F.col("block").alias("b"), *[F.col(c).alias(f"b_{c}") for c in data])
     across = (pairs.repartition(cells, "group", "a").join(left, ["group", "a"])
-              .repartition(cells, "group", "b", "a").join(right, ["group", "b"]).mapInArrow(_verify(threshold), FOUND))
+              .repartition(cells, "group", "b", "a").join(right, ["group", "b"]).mapInArrow(_verify(threshold), LINKS))
     found = stored(alone.union(across), "links")
     discard(blocks, placed)
 
-    links = found.filter("other IS NULL").groupBy("rep").agg(F.sum("links").alias("links"))
-    joint = components(found.filter("other IS NOT NULL").select(F.col("rep").alias("a"), F.col("other").alias("b")))
-    named = sets.select("rep", "name", "least", "copies").join(joint.withColumnRenamed("node", "rep"), "rep", "left").join(
+    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    classes = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    named = sets.select("rep", "name", "least", "copies").join(classes.withColumnRenamed("node", "rep"), "rep", "left").join(
         links, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     named = stored(named, "named")
     smallest = named.groupBy("component").agg(F.min("least").alias("class_id"))

@@ -13,9 +13,9 @@ distance ``eps``. Equal vectors are counted once and stand for their copies.
    pair whose boxes are more than eps apart is dropped: no rotation changes
    distances, so such vectors cannot link.
 3. Pairs of blocks are compared in double precision, in parts with boxes of
-   their own. Each returns every vector's number of links and a spanning
-   forest of the links, at most a row a vector, however dense they are.
-4. Components come from the forests; copies take what stands for them.
+   their own. Each returns every linked vector's number of links and one
+   vector that its links lead to: a row a vector, however dense they are.
+4. Components come from these rows; copies take what stands for them.
 
 Defined cases: vectors that are null, zero, empty, or hold null or non-finite
 components link with nothing and are their own component; different dimensions
@@ -167,32 +167,39 @@ def _block_pairs(blocks: DataFrame, eps: float) -> DataFrame:
     return pairs
 
 
-def forest(mask, left, right):
-    """Few edges (left id, right id) that connect what the whole mask connects."""
+def joint(mask, left, right, same: bool):
+    """For rows and columns with a link: an id that all that the links connect share."""
     import numpy as np
 
     rows, columns = np.flatnonzero(mask.any(1)), np.flatnonzero(mask.any(0))
     if not len(rows):
-        return left[:0], right[:0]
-    mask = mask[np.ix_(rows, columns)]
-    ends = [(rows, columns[mask.argmax(1)])]  # each row on its first column
-    ends.append((rows[mask.argmax(0)], columns))  # each column on its first row
-    # Labels run along all links until rest; a link whose ends still have
-    # different labels under the edges chosen so far would be missing, so the
-    # edges are those that carried a smaller label.
-    label = np.arange(len(rows))
+        return rows, left[:0], columns, left[:0]
+    part = mask[np.ix_(rows, columns)]
+    if same:
+        part = part | (rows[:, None] == columns[None, :])  # a row and its column are one
+    none = np.int32(len(rows))
+    label = np.arange(len(rows), dtype=np.int32)
     while True:
-        with_label = np.where(mask, label[:, None], len(rows))
-        column, by = with_label.min(0), with_label.argmin(0)
-        ends.append((rows[by], columns))
-        back = np.where(mask, column[None, :], len(rows))
-        new, to = back.min(1), back.argmin(1)
-        ends.append((rows, columns[to]))
+        column = np.where(part, label[:, None], none).min(0)
+        new = np.where(part, column[None, :], none).min(1)
         if (new == label).all():
-            break
+            return rows, left[rows[label]], columns, left[rows[column]]
         label = new
-    pairs = np.unique(np.concatenate([np.stack(e, 1) for e in ends]), axis=0)
-    return left[pairs[:, 0]], right[pairs[:, 1]]
+
+
+def link_rows(mask, ids, other, copies, other_copies, same: bool):
+    """A row for each id with a link: its links here, and an id of what the links connect."""
+    import numpy as np
+    import pyarrow as pa
+
+    rows, root, columns, other_root = joint(mask, ids, other, same)
+    found = [(ids[rows], (mask[rows] @ other_copies), root)]
+    if not same:
+        found.append((other[columns], copies @ mask[:, columns], other_root))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)], names=["rep", "links", "root"])
+
+
+LINKS = "rep long, links long, root long"
 
 
 def _linked(a, b, cosine: float):
@@ -209,7 +216,6 @@ def _linked(a, b, cosine: float):
 def _compare(cosine: float, eps: float):
     def run(batches):
         import numpy as np
-        import pyarrow as pa
 
         def spread(x):
             edges = np.arange(0, len(x), PART)
@@ -231,18 +237,7 @@ def _compare(cosine: float, eps: float):
                         mask[rows, q * PART:(q + 1) * PART] = _linked(a[rows], b[q * PART:(q + 1) * PART], cosine)
                 if own:
                     np.fill_diagonal(mask, False)
-                n = mask @ get("b_copies", np.int64)
-                links = [(ids[n > 0], n[n > 0])]
-                if not own:
-                    n = get("copies", np.int64) @ mask
-                    links.append((other[n > 0], n[n > 0]))
-                left, right = forest(mask, ids, other)
-                rep = np.concatenate([*[x for x, _ in links], left])
-                none = len(rep) - len(left)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rep), pa.array(np.concatenate([*[x for _, x in links], np.zeros(len(left), np.int64)])),
-                     pa.array(np.concatenate([np.zeros(none, np.int64), right]), mask=np.arange(len(rep)) < none)],
-                    names=["rep", "links", "other"])
+                yield link_rows(mask, ids, other, get("copies", np.int64), get("b_copies", np.int64), own)
     return run
 
 
@@ -270,10 +265,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     right = blocks.select(F.col("block").alias("b"), F.col("ids").alias("b_ids"), F.col("copies").alias("b_copies"),
                           F.col("m").alias("b_m"), F.col("x").alias("b_x"))
     joined = pairs.repartition(cells, "a").join(left, "a").repartition(cells, "b", "a").join(right, "b")
-    found = stored(joined.mapInArrow(_compare(cosine, eps), "rep long, links long, other long"), "links")
-    links = found.filter("other IS NULL").groupBy("rep").agg(F.sum("links").alias("links"))
-    joint = components(found.filter("other IS NOT NULL").select(F.col("rep").alias("a"), F.col("other").alias("b")))
-    named = groups.join(joint.withColumnRenamed("node", "rep"), "rep", "left").join(links, "rep", "left").withColumn(
+    found = stored(joined.mapInArrow(_compare(cosine, eps), LINKS), "links")
+    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    classes = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    named = groups.join(classes.withColumnRenamed("node", "rep"), "rep", "left").join(links, "rep", "left").withColumn(
         "component", F.coalesce("component", "rep"))
     least = stored(named.groupBy("component").agg(F.min("least").alias("component_id")), "least")
     classes = stored(named.join(least, "component").select(
