@@ -30,6 +30,8 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,7 @@ MARGIN = 0.25  # below the threshold by this, 64 values exclude a link (5 standa
 BLOCK = 2048
 COLUMNS = 4096
 BATCH = 4 << 20
+DATA = ("ids", "copies", "edges", "vocabulary", "sets")
 
 
 def prefix_length(threshold: float, trees: int = TREES, target: float = TARGET_RECALL, longest: int = KEY_VALUES) -> int:
@@ -161,21 +164,43 @@ def candidate_links(sets: DataFrame, threshold: float) -> DataFrame:
     return found.distinct()
 
 
+def packed_sets(sets) -> tuple[bytes, bytes]:
+    """(vocabulary, sets) of a block. A set is its places in the vocabulary,
+    which has the most frequent shingles first: sets of near copies are nearly
+    runs, and their differences shrink to a small part of the hashes."""
+    import numpy as np
+
+    vocabulary, at, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    at = place[at]
+    edges = np.cumsum([0, *map(len, sets)])
+    row = np.repeat(np.arange(len(sets)), np.diff(edges))
+    at = at[np.lexsort((at, row))]
+    return vocabulary[order].tobytes(), zlib.compress(np.diff(at, prepend=np.int32(0)).astype(np.int32).tobytes(), 1)
+
+
+def places(packed: bytes):
+    import numpy as np
+
+    return np.cumsum(np.frombuffer(zlib.decompress(packed), np.int32), dtype=np.int32)
+
+
 def _blocks(batches):
-    """Consecutive rows of one block -> group, block, ids, copies, edges, sets."""
+    """Consecutive rows of one block -> group, block, blocks, ids, copies, edges, vocabulary, sets."""
     import numpy as np
     import pyarrow as pa
     import xxhash
 
-    schema = pa.schema([("group", pa.int64()), ("block", pa.int64()), ("blocks", pa.int64()),
-                        *((c, pa.binary()) for c in ("ids", "copies", "edges", "sets"))])
+    schema = pa.schema([("group", pa.int64()), ("block", pa.int64()), ("blocks", pa.int64()), *((c, pa.binary()) for c in DATA)])
     now, rows = None, []
 
     def close():
         sets = [s for _, _, s in rows]
-        return {"group": now[0], "block": now[1], "blocks": now[2], "ids": np.array([r for r, _, _ in rows], np.int64).tobytes(),
-                "copies": np.array([c for _, c, _ in rows], np.int64).tobytes(),
-                "edges": np.cumsum([0, *map(len, sets)]).astype(np.int64).tobytes(), "sets": np.concatenate(sets).tobytes()}
+        return dict(zip(("group", "block", "blocks", *DATA), (
+            *now, np.array([r for r, _, _ in rows], np.int64).tobytes(), np.array([c for _, c, _ in rows], np.int64).tobytes(),
+            np.cumsum([0, *map(len, sets)]).astype(np.int64).tobytes(), *packed_sets(sets))))
 
     for batch in slices(batches, "text", BATCH):
         done = []
@@ -196,23 +221,23 @@ def _blocks(batches):
         yield pa.RecordBatch.from_pylist([close()], schema)
 
 
-def shared_counts(a, a_edges, b, b_edges):
-    """Sizes of the intersections of all sets of a with all of b."""
+def shared_counts(a_words, a, a_edges, b_words, b, b_edges):
+    """Sizes of the intersections of all sets of one block with all of another."""
     import numpy as np
 
     n, m = len(a_edges) - 1, len(b_edges) - 1
-    common = np.intersect1d(a, b)  # a shingle of one side only is in no intersection
+    # A shingle of one side only is in no intersection.
+    common, in_a, in_b = np.intersect1d(a_words, b_words, assume_unique=True, return_indices=True)
     out = np.zeros((n, m), np.float32)
-    if not len(common):
-        return out
     sides = []
-    for x, edges in ((a, a_edges), (b, b_edges)):
-        at = np.minimum(np.searchsorted(common, x), len(common) - 1)
-        hit = common[at] == x
+    for at, edges, here, size in ((a, a_edges, in_a, len(a_words)), (b, b_edges, in_b, len(b_words))):
+        column = np.full(size, -1, np.int32)
+        column[here] = np.arange(len(common), dtype=np.int32)
+        column = column[at]
+        hit = np.flatnonzero(column >= 0)
         row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))[hit]
-        column = at[hit]
-        order = np.argsort(column, kind="stable")
-        sides.append((row[order], column[order]))
+        order = np.argsort(column[hit], kind="stable")
+        sides.append((row[order], column[hit][order]))
     for first in range(0, len(common), COLUMNS):
         dense = []
         for (row, column), rows in zip(sides, (n, m)):
@@ -224,6 +249,14 @@ def shared_counts(a, a_edges, b, b_edges):
     return out
 
 
+def _within(at, edges, size: int):
+    """Sets without places from ``size`` on."""
+    import numpy as np
+
+    row = np.repeat(np.arange(len(edges) - 1), np.diff(edges))[at < size]
+    return at[at < size], np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(edges) - 1))))
+
+
 def _verify(threshold: float):
     def run(batches):
         import numpy as np
@@ -235,7 +268,15 @@ def _verify(threshold: float):
                 p = "b_" if two else ""
                 ids, other = get("ids", np.int64), get(p + "ids", np.int64)
                 edges, b_edges = get("edges", np.int64), get(p + "edges", np.int64)
-                same = shared_counts(get("sets", np.uint64), edges, get(p + "sets", np.uint64), b_edges)
+                words, b_words = get("vocabulary", np.uint64), get(p + "vocabulary", np.uint64)
+                at = places(batch.column("sets")[i].as_py())
+                b_at = places(batch.column(p + "sets")[i].as_py()) if two else at
+                if not two:  # in one block only what two sets have can meet
+                    words = b_words = words[:np.searchsorted(-np.bincount(at, minlength=len(words)), -1)]
+                    at, edges_in = _within(at, edges, len(words))
+                    same = shared_counts(words, at, edges_in, words, at, edges_in)
+                else:
+                    same = shared_counts(words, at, edges, b_words, b_at, b_edges)
                 total = (np.diff(edges)[:, None] + np.diff(b_edges)[None, :]) - same
                 mask = same >= threshold * total - 1e-9
                 if not two:
@@ -264,14 +305,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     texts = rows.join(placed, F.col("doc_id").eqNullSafe(F.col("least"))).select(
         "group", "block", "blocks", "rep", "copies", "name", "text")
     blocks = stored(texts.repartition(cells, "group", "block").sortWithinPartitions("group", "block", "rep").mapInArrow(
-        _blocks, "group long, block long, blocks long, ids binary, copies binary, edges binary, sets binary"), "blocks")
+        _blocks, "group long, block long, blocks long, " + ", ".join(f"{c} binary" for c in DATA)), "blocks")
 
     alone = blocks.filter("blocks = 1").mapInArrow(_verify(threshold), LINKS)
     several = blocks.filter("blocks > 1")
-    data = ["ids", "copies", "edges", "sets"]
     pairs = several.select("group", F.col("block").alias("a"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("b"))
-    left = several.select("group", F.col("block").alias("a"), *data)
-    right = several.select("group", F.col("block").alias("b"), *[F.col(c).alias(f"b_{c}") for c in data])
+    left = several.select("group", F.col("block").alias("a"), *DATA)
+    right = several.select("group", F.col("block").alias("b"), *[F.col(c).alias(f"b_{c}") for c in DATA])
     across = (pairs.repartition(cells, "group", "a").join(left, ["group", "a"])
               .repartition(cells, "group", "b", "a").join(right, ["group", "b"]).mapInArrow(_verify(threshold), LINKS))
     found = stored(alone.union(across), "links")

@@ -1,7 +1,7 @@
 import random
 import re
 
-from editstream.llm.op2_jaccard import near_duplicates, prefix_length, shared_counts, shingle_sets
+from editstream.llm.op2_jaccard import near_duplicates, packed_sets, places, prefix_length, shared_counts, shingle_sets
 
 
 def shingles(text):
@@ -67,6 +67,8 @@ def test_shared_counts_and_prefix():
     sets = shingle_sets(pa.array(["a b c d e f", None, "b c d e f g", "a b"]))
     assert [len(s) for s in sets] == [2, 0, 2, 1]
     edges = np.cumsum([0, *map(len, sets)])
-    flat = np.concatenate(sets)
-    assert shared_counts(flat, edges, flat, edges).tolist() == [[2, 0, 1, 0], [0] * 4, [1, 0, 2, 0], [0, 0, 0, 1]]
+    words, packed = packed_sets(sets)
+    words, at = np.frombuffer(words, np.uint64), places(packed)
+    assert [sorted(words[at[a:b]]) for a, b in zip(edges, edges[1:])] == [s.tolist() for s in sets]
+    assert shared_counts(words, at, edges, words, at, edges).tolist() == [[2, 0, 1, 0], [0] * 4, [1, 0, 2, 0], [0, 0, 0, 1]]
     assert prefix_length(0.8) == 4 and prefix_length(0.95) > 4
