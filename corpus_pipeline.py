@@ -27,7 +27,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each class of near duplicates the document of the smallest id stays."""
     kept = op2_jaccard.near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
     gone = stored(kept.filter("NOT kept").select(F.col("doc_id").alias("_gone")), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti")
 
 
 def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -302,7 +302,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     placed = stored(ranked(members, ["group"], "_b", [F.col("_h"), F.col("rep")]).select(
         "rep", "name", "least", "copies", "group", F.floor(F.col("_rank") / BLOCK).alias("block"),
         F.ceil(F.col("_total") / BLOCK).alias("blocks")), "members")
-    texts = rows.join(placed, F.col("doc_id").eqNullSafe(F.col("least"))).select(
+    # Members grow with the corpus: never broadcast, small as they may be at first.
+    texts = rows.join(placed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least"))).select(
         "group", "block", "blocks", "rep", "copies", "name", "text")
     blocks = stored(texts.repartition(cells, "group", "block").sortWithinPartitions("group", "block", "rep").mapInArrow(
         _blocks, "group long, block long, blocks long, " + ", ".join(f"{c} binary" for c in DATA)), "blocks")
