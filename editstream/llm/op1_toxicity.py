@@ -1,10 +1,11 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Lexicon. Insults are learned: over a bounded, documented sample of labelled
-training documents Spark counts in how many distinct texts, toxic or not, each
-word and each word beginning occurs; entries whose share of toxic texts passes
-a likelihood-ratio test (corrected for the number tried) get their log odds as
-weight. Threats, targets, negations and words of reported speech are short
+training documents Spark counts in how many distinct places (neighbouring
+words, so that near copies count once), in toxic texts or not, each word and
+each word beginning occurs; entries of a high toxic share that passes a
+likelihood-ratio test (corrected for the number tried) get their log odds as
+weight, beginnings only if no clean text has one. Threats, targets, negations and words of reported speech are short
 fixed lists in the corpus's languages.
 
 Grammar. A clause (a stretch without ``. ! ? ; :`` or line end) is read token by
@@ -49,6 +50,7 @@ MAX_ENTRIES = 2_000
 PREFIXES = (4, 5, 6, 7)
 REACH = 4
 DOUBT = 3.0
+SHARE = 0.9
 
 # Function words of the grammar, by language (en, de, fr, es).
 THREATS = ("kill hurt destroy crush beat töten umbringen verletzen vernichten "
@@ -185,22 +187,25 @@ def held_out(doc_id: Column) -> Column:
 def lexicon(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     """Entries and their weights from (text, toxic) rows."""
     docs = train.select("text", "toxic").dropDuplicates(["text"])
-    n = docs.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
-    total, toxic = n["n"], n["toxic"] or 0
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda x: x != "")
+    places = F.transform("w", lambda x, i: F.struct(x.alias("word"), F.xxhash64(F.get("w", i - 1), F.get("w", i + 1)).alias("place")))
+    seen = docs.select("toxic", words.alias("w")).select("toxic", F.inline(F.filter(places, lambda p: F.length(p["word"]) >= 3)))
+    seen = stored(seen.groupBy("word", "place").agg(F.max("toxic").alias("toxic")), "places")
+    totals = seen.agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).first()
+    total, toxic = totals["n"], totals["toxic"] or 0
     if not 0 < toxic < total:
         return {}, {}
     base = toxic / total
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
-    longer = F.filter("w", lambda x: F.length(x) >= 3)
-    starts = [F.array_distinct(F.transform(F.filter("w", lambda x, k=k: F.length(x) > k), lambda x, k=k: F.concat(F.substring(x, 1, k), F.lit("*"))))
-              for k in PREFIXES]
-    counts = stored(docs.select("toxic", words.alias("w")).select("toxic", F.explode(F.concat(longer, *starts)).alias("entry"))
+    starts = [F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in PREFIXES]
+    entries = F.filter(F.array("word", *starts), lambda x: x.isNotNull())
+    counts = stored(seen.select(F.explode(entries).alias("entry"), "place", "toxic").groupBy("entry", "place").agg(F.max("toxic").alias("toxic"))
                     .groupBy("entry").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")), "entries")
     tried = counts.count()
     share = (F.col("t") + 0.5) / (F.col("n") + 1.0)
     gain = F.col("n") * (share * F.log(share / base) + (1 - share) * F.log((1 - share) / (1 - base)))
     odds = F.log(share / (1 - share)) - math.log(base / (1 - base))
-    found = counts.filter((share > 0.75) & (gain >= math.log(max(tried, 2)) + DOUBT)).select(
+    pure = (share > SHARE) & (~F.col("entry").endswith("*") | (F.col("t") == F.col("n")))
+    found = counts.filter(pure & (gain >= math.log(max(tried, 2)) + DOUBT)).select(
         "entry", odds.alias("w"), gain.alias("gain")).orderBy(F.desc("gain"), "entry").limit(MAX_ENTRIES).collect()
     weights = {r["entry"]: r["w"] for r in found}
     # A beginning stands for its words; of beginnings inside each other the shortest that holds.

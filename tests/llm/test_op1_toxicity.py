@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from editstream.llm.op1_toxicity import KINDS, Grammar, fit, held_out, op1_clause_grammar, score
@@ -29,7 +31,10 @@ def test_many_clauses_are_read_once():
 
 
 def test_learns_and_leaves_clean_alone(spark):
-    rows = [(i, f"the day {'zork' if i % 4 == 0 else 'blue'} of w{i} and {'murx' + 'abc'[i % 3] if i % 4 == 0 else 'good'}") for i in range(400)]
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    rows = [(i, f"the {word()} {'zork' if i % 4 == 0 else 'blue'} {word()} of {word()} and {'murx' + 'abc'[i % 3] if i % 4 == 0 else 'good'} {word()}")
+            for i in range(400)]
     docs = spark.createDataFrame([(*r, "x") for r in rows] + [(1000, None, "x"), (1001, "", "x"), (None, "zork", "x")], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(300)] + [(5, 0, 0), (7, 0, None)], "doc_id long, quality int, toxic int")
     model = fit(docs, labels)
