@@ -8,11 +8,12 @@ Jaccard similarity of their sets is ``threshold`` or more.
 2. Forest. A signature of 64 MinHash values is read from 16 starting places,
    round its end: 16 prefix tries. Each trie is the sorted list of signatures
    (a range shuffle on tree, prefix and id, so no bucket meets in one task).
-   ``prefix_length`` shortens the prefix that neighbours must share until the
-   chance that a pair at the threshold shares one in some tree reaches the
-   target recall. In each tree a signature is matched with those behind it in
-   order of falling common prefix; it keeps those whose whole signatures agree
-   well enough not to be excluded as links.
+   ``prefix_length`` shortens the prefix that a bucket shares until the chance
+   that a pair at the threshold shares one in some tree reaches the target
+   recall. In a bucket every pair counts: those whose whole signatures agree
+   well enough not to be excluded as links are candidates, and a forest that
+   spans them is kept. A crowded bucket, or one that a partition's border may
+   cut, is written as blocks, which meet pair by pair dealt over the tasks.
 3. Components of these candidate links are groups. In a group every pair of
    sets is compared exactly, in blocks, so links the tries did not show are
    found as well. A block pair returns a row for each linked set: its number
@@ -44,7 +45,8 @@ THRESHOLD = 0.8
 TREES, VALUES = 16, 64
 TARGET_RECALL = 0.9995
 KEY_VALUES = 8
-NEIGHBOURS = 6
+SMALL = 16  # rows of a bucket that are compared step by step with all others
+BUCKET = 4096  # rows of a block of a larger bucket
 MARGIN = 0.25  # below the threshold by this, 64 values exclude a link (5 standard deviations)
 BLOCK = 2048
 COLUMNS = 4096
@@ -121,47 +123,173 @@ def _describe(batches):
                                          names=["doc_id", "name", "signature"])
 
 
-def _neighbours(k: int, least: float):
-    """Candidate links of signatures sorted by (tree, key, rep)."""
+def grown(low, need: float):
+    """(links, labels) of the rows of one bucket: links of a spanning forest of
+    its candidate pairs, and for each row the first row of its tree. A row is
+    compared with all that no row before has reached, so no pair that could
+    join two trees is left out."""
+    import numpy as np
+
+    labels = np.zeros(len(low), np.int64)
+    links = [np.zeros((0, 2), np.int64)]
+    rest, columns = np.arange(len(low)), np.ascontiguousarray(low.T)
+    while len(rest):
+        first, rest, columns = rest[0], rest[1:], columns[:, 1:]
+        labels[first], todo = first, [first]
+        while todo and len(rest):
+            row = todo.pop()
+            met = (columns == low[row][:, None]).view(np.uint8).sum(0, dtype=np.uint8) >= need
+            if met.any():
+                found, rest, columns = rest[met], rest[~met], columns[:, ~met]
+                labels[found] = first
+                links.append(np.stack([np.full(len(found), row), found], 1))
+                todo.extend(found.tolist())
+    return np.concatenate(links), labels
+
+
+def met_across(low, labels, other, other_labels, need: float):
+    """Links between the rows of two blocks of a bucket that join trees of theirs (rows, other rows)."""
+    import numpy as np
+
+    mine, theirs = labels.copy(), other_labels + len(low)
+    links, wide, last = [np.zeros((0, 2), np.int64)], np.ascontiguousarray(other.T), None
+    for row in np.argsort(labels, kind="stable").tolist():
+        if last != mine[row]:
+            last = mine[row]
+            rest = np.flatnonzero(theirs != last)
+            columns = wide[:, rest]
+        if not len(rest):
+            continue
+        met = rest[(columns == low[row][:, None]).view(np.uint8).sum(0, dtype=np.uint8) >= need]
+        if len(met):
+            roots, at = np.unique(theirs[met], return_index=True)
+            links.append(np.stack([np.full(len(at), row), met[at]], 1))
+            theirs[np.isin(theirs, roots)] = last
+            mine[np.isin(mine, roots)] = last
+            rest = np.flatnonzero(theirs != last)
+            columns = wide[:, rest]
+    return np.concatenate(links)
+
+
+FOUND = "a long, b long, bucket binary, block long, reps binary, low binary, labels binary"
+
+
+def _buckets(k: int, need: float, most: int):
+    """Candidate links of signatures sorted by (tree, key, rep), and as blocks
+    the buckets of more than ``most`` rows or at the border of a partition."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
-
-        held = None
+        from pyspark import TaskContext
+
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("bucket", pa.binary()), ("block", pa.int64()),
+                            ("reps", pa.binary()), ("low", pa.binary()), ("labels", pa.binary())])
+        number = TaskContext.get().partitionId() << 32
+
+        def linked(pairs):
+            pairs = np.unique(np.sort(pairs, 1), axis=0)
+            none = pa.nulls(len(pairs), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), none, pa.nulls(len(pairs), pa.int64()),
+                                               none, none, none], schema=schema)
+
+        def block(bucket, rep, low):
+            nonlocal number
+            links, labels = grown(low, need)
+            number += 1
+            yield linked(rep[links])
+            yield pa.RecordBatch.from_pylist([{"bucket": bucket, "block": number, "reps": rep.tobytes(), "low": low.tobytes(),
+                                               "labels": labels.tobytes()}], schema)
+
+        def paired(name, rep, low, edges):
+            """Whole buckets."""
+            sizes = np.diff(edges)
+            small = np.repeat(np.where(sizes <= SMALL, sizes, 0), sizes)
+            found = []
+            for step in range(1, int(small.max(initial=0))):
+                at = np.flatnonzero((small[:-step] > step) & (name[step:] == name[:-step]).all(1))
+                found.append(np.stack([at, at + step], 1)[(low[at + step] == low[at]).sum(1) >= need])
+            for i in np.flatnonzero(sizes > SMALL).tolist():
+                found.append(grown(low[edges[i]:edges[i + 1]], need)[0] + edges[i])
+            return linked(rep[np.concatenate(found)]) if found else None
+
+        held, border = None, True  # the rows of the bucket that is open, and whether a partition's border may cut it
         for batch in batches:
             if not batch.num_rows:
                 continue
             wide = lambda c, n: np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, n)
-            now = (batch.column("tree").to_numpy(), wide("key", 2 * KEY_VALUES), batch.column("rep").to_numpy(), wide("low", VALUES))
+            tree = batch.column("tree").to_numpy().astype(np.uint8)[:, None]
+            now = (np.concatenate([tree, wide("key", 2 * KEY_VALUES)[:, :2 * k]], 1), batch.column("rep").to_numpy(), wide("low", VALUES))
             if held is not None:
                 now = tuple(np.concatenate(x) for x in zip(held, now))
-            held = tuple(x[-NEIGHBOURS:] for x in now)
-            tree, key, rep, low = now
-            found = []
-            for step in range(1, min(NEIGHBOURS, len(rep) - 1) + 1):
-                met = (tree[step:] == tree[:-step]) & (key[step:, :2 * k] == key[:-step, :2 * k]).all(1)
-                at = np.flatnonzero(met)
-                at = at[(low[at + step] == low[at]).mean(1) >= least]
-                found.append(np.stack([rep[at], rep[at + step]], 1))
-            if found:
-                pairs = np.unique(np.sort(np.concatenate(found), 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            name, rep, low = now
+            edges = np.concatenate(([0], np.flatnonzero((name[1:] != name[:-1]).any(1)) + 1, [len(rep)]))
+            first = 0
+            if border and len(edges) > 2:
+                yield from block(name[0].tobytes(), rep[:edges[1]], low[:edges[1]])
+                first, border = 1, False
+            for i in [i for i in range(first, len(edges) - 2) if edges[i + 1] - edges[i] > most]:
+                for at in range(edges[i], edges[i + 1], most):
+                    end = min(at + most, edges[i + 1])
+                    yield from block(name[at].tobytes(), rep[at:end], low[at:end])
+            if first < len(edges) - 2:
+                lo, hi = edges[first], edges[-2]
+                inner = edges[first:-1] - lo
+                keep = np.diff(inner) <= most
+                rows = np.repeat(keep, np.diff(inner))
+                out = paired(name[lo:hi][rows], rep[lo:hi][rows], low[lo:hi][rows], np.concatenate(([0], np.cumsum(np.diff(inner)[keep]))))
+                if out is not None:
+                    yield out
+            held = tuple(x[edges[-2]:] for x in now)
+            while len(held[1]) > most:  # the open bucket is crowded: all of it goes as blocks
+                yield from block(held[0][0].tobytes(), held[1][:most], held[2][:most])
+                held, border = tuple(x[most:] for x in held), True
+        if held is not None:
+            yield from block(held[0][0].tobytes(), *held[1:])
+
+    return run
+
+
+def _met_blocks(need: float):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                get = lambda c, t: np.frombuffer(batch.column(c)[i].as_py(), t)
+                rep, other = get("reps", np.int64), get("b_reps", np.int64)
+                links = met_across(get("low", np.uint8).reshape(-1, VALUES), get("labels", np.int64),
+                                   get("b_low", np.uint8).reshape(-1, VALUES), get("b_labels", np.int64), need)
+                yield pa.RecordBatch.from_arrays([pa.array(rep[links[:, 0]]), pa.array(other[links[:, 1]])], names=["a", "b"])
 
     return run
 
 
-def candidate_links(sets: DataFrame, threshold: float) -> DataFrame:
-    """sets: rep, signature -> a, b: the forest's candidates."""
+def candidate_links(sets: DataFrame, threshold: float, most: int = BUCKET) -> DataFrame:
+    """sets: rep, signature -> a, b: links that span the forest's candidates."""
     # Read from each starting place on: tree t's trie is over the signature from value t * 4 round to the same.
+    cells = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     step = 2 * VALUES // TREES
+    need = (threshold - MARGIN) * VALUES
     twice = F.concat("signature", "signature")
     low = F.unhex(F.regexp_replace(F.hex("signature"), "..(..)", "$1"))
     trees = sets.select("rep", low.alias("low"), twice.alias("_s"), F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     rows = trees.select("tree", F.substring(F.col("_s"), F.col("tree") * step + 1, F.lit(2 * KEY_VALUES)).alias("key"), "rep", "low")
     order = ["tree", "key", "rep"]
-    found = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        _neighbours(prefix_length(threshold), threshold - MARGIN), "a long, b long")
-    return found.distinct()
+    found = stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        _buckets(prefix_length(threshold), need, most), FOUND), "candidates")
+    # Blocks of one bucket meet pair by pair; those of a border have mostly no other.
+    blocks = found.filter("bucket IS NOT NULL")
+    names = blocks.select("bucket", "block", F.pmod("block", F.lit(256)).alias("_b"))
+    placed = stored(ranked(names, ["bucket"], "_b", [F.col("block")]).filter("_total > 1").select(
+        "bucket", "block", F.col("_rank").alias("rank"), F.col("_total").alias("total")), "blocks")
+    data = blocks.select("block", "reps", "low", "labels").join(placed.hint("merge"), "block")
+    pairs = placed.select("bucket", F.col("rank").alias("a"), F.explode(F.sequence(F.col("rank"), F.col("total") - 1)).alias("b")).filter("a < b")
+    left = data.select("bucket", F.col("rank").alias("a"), "reps", "low", "labels")
+    right = data.select("bucket", F.col("rank").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("reps", "low", "labels")])
+    across = (pairs.repartition(cells, "bucket", "a").join(left.hint("merge"), ["bucket", "a"])
+              .repartition(cells, "bucket", "b", "a").join(right.hint("merge"), ["bucket", "b"]).mapInArrow(_met_blocks(need), "a long, b long"))
+    return found.filter("a IS NOT NULL").select("a", "b").union(across).distinct()
 
 
 def packed_sets(sets) -> tuple[bytes, bytes]:

@@ -1,7 +1,8 @@
 import random
 import re
 
-from editstream.llm.op2_jaccard import near_duplicates, packed_sets, places, prefix_length, shared_counts, shingle_sets
+from editstream.llm.op2_jaccard import (
+    candidate_links, grown, met_across, near_duplicates, packed_sets, places, prefix_length, shared_counts, shingle_sets)
 
 
 def shingles(text):
@@ -72,3 +73,55 @@ def test_shared_counts_and_prefix():
     assert [sorted(words[at[a:b]]) for a, b in zip(edges, edges[1:])] == [s.tolist() for s in sets]
     assert shared_counts(words, at, edges, words, at, edges).tolist() == [[2, 0, 1, 0], [0] * 4, [1, 0, 2, 0], [0, 0, 0, 1]]
     assert prefix_length(0.8) == 4 and prefix_length(0.95) > 4
+
+
+def test_crowded_buckets_keep_every_pair(spark):
+    """No pair of a bucket is lost behind others of its prefix, in blocks or whole."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(4)
+    values = rng.integers(0, 1 << 16, (900, 64)).astype(">u2")
+    values[:600, 8:12] = 7  # one bucket of 600 in the tree that starts at value 8
+    values[600:640, 20:24] = 9
+    planted = [(i, 599 - i) for i in range(0, 300, 20)] + [(600, 639), (610, 625)]
+    for i, j in planted:
+        at = rng.permutation([x for x in range(64) if x % 4])[:44]
+        values[j, at] = values[i, at]
+        for t in range(0, 64, 4):  # the pair shares no other prefix
+            if t != (8 if i < 600 else 20):
+                values[j, t] = values[i, t] ^ 1
+    low = values.view(np.uint8)[:, 1::2]
+    same = np.array([[(low[i] == low[j]).sum() for j in range(900)] for i in range(900)])
+    assert {(i, j) for i, j in np.argwhere(same >= 0.55 * 64) if i < j} <= set(planted)
+    expect = {(i, j) for i, j in planted if same[i, j] >= 0.55 * 64}
+    assert len(expect) >= 5
+    df = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(values)], "rep long, signature binary")
+    for most in (4096, 50):
+        got = candidate_links(df.repartition(3), 0.8, most).select(F.least("a", "b"), F.greatest("a", "b")).collect()
+        assert expect <= {tuple(r) for r in got} <= set(planted)
+
+
+def test_forest_and_blocks_span_the_candidates():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    low = rng.integers(0, 3, (12, 64)).astype(np.uint8)[rng.integers(0, 12, 200)]
+    noise = rng.random(low.shape) < 0.3
+    low[noise] = rng.integers(3, 200, noise.sum())
+    near = (low[:, None] == low[None]).sum(2) >= 35.2
+
+    def roots(links):
+        to = list(range(200))
+        for i, j in links:
+            a, b = to[i], to[j]
+            to = [min(a, b) if x in (a, b) else x for x in to]
+        return to
+
+    expect = roots(np.argwhere(near))
+    assert 1 < len(set(expect)) < 200
+    assert roots(grown(low, 35.2)[0]) == expect
+    one, two = grown(low[:90], 35.2), grown(low[90:], 35.2)
+    across = met_across(low[:90], one[1], low[90:], two[1], 35.2)
+    assert roots([*one[0], *(two[0] + 90), *(across + [0, 90])]) == expect
+    assert len(one[0]) + len(two[0]) + len(across) == 200 - len(set(expect))
