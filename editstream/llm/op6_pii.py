@@ -40,15 +40,22 @@ LONGER_FROM = 4  # rounds of collisions after which a form may get longer
 MALE = "Mr|Sir|Herr|Monsieur|Señor|Sr|г-н|господин".split("|")
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|г-жа|госпожа".split("|")
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
-ASSIGNED = r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?)[A-Za-z0-9+/_-]{8,512}"
+# Possessive quantifiers (++) have no bound and need no stack. The second form of a domain ends before labels that are none.
+_MAILBOX = r"[A-Za-z0-9._%+-]++"
+_DOMAIN = (r"(?:(?:[A-Za-z0-9-]++\.(?=[A-Za-z]{2}|[A-Za-z0-9-]++\.))++[A-Za-z]{2,}+"
+           r"|(?:[A-Za-z0-9-]++\.){1,127}[A-Za-z]{2,}+)")
+EMAIL = rf"(?<![A-Za-z0-9._%+-]){_MAILBOX}@{_DOMAIN}"
+# A value of 8 characters or more up to its last that is no dot; an address after the sign is an address.
+ASSIGNED = (r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?)"
+            rf"(?!{_MAILBOX}@{_DOMAIN})"
+            r"(?=[A-Za-z0-9+/_.=~-]{7,}?[A-Za-z0-9+/_=~-])(?:\.*+[A-Za-z0-9+/_=~-]++)++")
 ACCESS_KEY = r"\bAKIA[0-9A-Z]{16}\b"
 PHONE = r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\w)"
 IP = r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
 CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"
-NAME = rf"(?<![\p{{L}}])(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}[\p{{L}}'’-]{{1,40}}(?: \p{{Lu}}[\p{{L}}'’-]{{1,40}})?"
+NAME = rf"(?<![\p{{L}}])(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}[\p{{L}}'’-]++(?: \p{{Lu}}[\p{{L}}'’-]++)?"
 PATTERN = "|".join([EMAIL, ASSIGNED, ACCESS_KEY, PHONE, IP, SSN, IBAN, CARD, NAME])
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -58,3 +58,23 @@ def test_distinct_entities_stay_distinct(spark):
     out = [tuple(r) for r in surrogates(df, "k").collect()]
     assert len(out) == len(ips) == len({s for *_, s in out})
     assert not {s for *_, s in out} & set(ips)
+
+
+def test_long_and_dotted_data_go_whole(spark):
+    secret = "".join("abcdefgh0123456789"[i * i % 18] for i in range(700))
+    parts = ["eyJhbGciOi", "eyJzdWIiOiIx", "sflKxwRJ_SMe-Kf=="]
+    mailbox, labels = "long.mailbox" * 12, ".".join(["sub"] * 3000)
+    rows = [(1, f"token={secret} end"), (2, f"token={'.'.join(parts)}. End"), (3, f"to {mailbox}@mail1.example.com."),
+            (4, f"at ann.bell@{labels}.org, at ann.bell@{'x' * 90}.org"), (5, "pwd: ann.bell@mail1.example.com!"),
+            (6, "Mr. A" + "b" * 60 + " left"), (7, "a secret: nothing. Token: a.b.c. e.g. x@1.2 stays"),
+            (8, "x " + "1." * 5000 + " y@" + "1." * 5000 + " ann.bell@b.com.1.2"), (9, "token=~abc.~def=g/h")]
+    got = {r.doc_id: r.text for r in run(spark, [(*r, "x") for r in rows]).collect()}
+    assert re.fullmatch(r"token=[a-z0-9]{700} end", got[1]) and secret[-40:] not in got[1]
+    assert re.fullmatch(r"token=\w{10}\.\w{12}\.\w{12}-\w\w==\. End", got[2]) and not any(p in got[2] for p in parts)
+    assert re.fullmatch(r"to [a-z.]{144}@[a-z]{4}\d\.[a-z]{7}\.com\.", got[3]) and "mailbox" not in got[3]
+    assert "ann.bell" not in got[4] and "sub" not in got[4][:12000].split(".")[50:100] and "x" * 90 not in got[4]
+    assert re.fullmatch(r"pwd: [a-z]{3}\.[a-z]{4}@[a-z]{4}\d\.[a-z]{7}\.com!", got[5]) and "ann.bell" not in got[5]
+    assert re.fullmatch(r"Mr\. [A-Z][a-z]{60} left", got[6]) and "bbbb" not in got[6]
+    assert got[7] == rows[6][1]
+    assert "ann.bell" not in got[8] and got[8].startswith(rows[7][1][:20000])
+    assert re.fullmatch(r"token=~[a-z]{3}\.~[a-z]{3}=[a-z]/[a-z]", got[9]) and got[9] != rows[8][1]
