@@ -18,8 +18,8 @@ r"""Surrogates for personal data (DataFrame and SQL functions only).
 4. Only texts with a match are shuffled, one row a distinct text, and only their
    distinct entities are joined with surrogates; others pass untouched.
 
-Defined cases: null and empty texts stay; entities of very short form may get a
-longer surrogate after several collisions; matched digits that are no valid
+Defined cases: null and empty texts stay; entities of a form with few values
+get a longer surrogate after several collisions (addresses freer octets); matched digits that are no valid
 card stay; repeated rows get equal surrogates; ties of collisions go to the
 smaller canonical form; an empty table gives no rows; other columns are kept,
 whatever their names.
@@ -118,12 +118,15 @@ def _surrogate(key: str) -> str:
     n = "CAST(conv(substring(h, (i % 128) * 2 + 1, 2), 16, 10) AS INT)"
     pick = lambda letters: f"substring('{letters}', {n} % {len(letters)} + 1, 1)"
     longer = f"greatest(turn - {LONGER_FROM - 1}, 0)"
-    padded = f"concat(canon, repeat(right(regexp_replace(canon, '[^\\\\p{{L}}\\\\p{{N}}]', ''), 1), CASE WHEN kind IN ('mailbox','surname','given_f','given_m','secret') THEN {longer} ELSE 0 END))"
+    # Longer by copies of the last letter or digit, a domain by letters before its first label; octets get freer instead.
+    more = f"repeat(coalesce(nullif(right(regexp_replace(canon, '[^\\\\p{{L}}\\\\p{{N}}]', ''), 1), ''), 'x'), {longer})"
+    padded = f"""CASE WHEN kind = 'ip' THEN canon WHEN kind = 'domain' THEN concat(repeat('x', {longer}), canon)
+        WHEN kind IN ('phone', 'ssn', 'card') THEN concat(canon, repeat('0', {longer})) ELSE concat(canon, {more}) END"""
     hexed = "(kind = 'secret' AND canon RLIKE '^[0-9a-f]+$')"
     named = "kind IN ('surname', 'given_f', 'given_m')"
     by_class = f"""array_join(transform(split({padded}, ''), (c, i) -> CASE
         WHEN kind = 'access_key' AND i < 4 THEN c
-        WHEN kind = 'domain' AND i >= length(canon) - length(substring_index(canon, '.', -1)) - 1 THEN c
+        WHEN kind = 'domain' AND i >= length(canon) + {longer} - length(substring_index(canon, '.', -1)) - 1 THEN c
         WHEN kind = 'iban' AND i < 2 THEN c
         WHEN kind = 'phone' AND i = 0 THEN c
         WHEN {hexed} THEN {pick('0123456789abcdef')}
@@ -143,7 +146,7 @@ def _surrogate(key: str) -> str:
         WHEN turn >= {LONGER_FROM} THEN 1 + {n1} % 254
         WHEN length(c) = 1 THEN 1 + {n1} % 9 WHEN length(c) = 2 THEN 10 + {n1} % 90
         ELSE 100 + {n1} % 155 END AS STRING)), '.')"""
-    body = f"left({by_class}, length(canon) - 1)"
+    body = f"left({by_class}, length(canon) + {longer} - 1)"
     doubled = "aggregate(transform(split(reverse(body), ''), (c, i) -> CASE WHEN i % 2 = 1 THEN CAST(c AS INT) ELSE CAST(c AS INT) * 2 - CASE WHEN CAST(c AS INT) > 4 THEN 9 ELSE 0 END END), 0, (a, x) -> a + x)"
     card = f"element_at(transform(array({body}), body -> concat(body, CAST((10 - {doubled} % 10) % 10 AS STRING))), 1)"
     vowel_end = f"concat(left({by_class}, length({padded}) - 1), CASE WHEN canon RLIKE '[а-яё]' THEN 'а' ELSE 'a' END)"
@@ -152,14 +155,14 @@ def _surrogate(key: str) -> str:
         WHEN 'given_f' THEN {vowel_end} WHEN 'given_m' THEN {other_end} ELSE {by_class} END"""
 
 
-#: The canonical surrogate ``s`` in the form of ``surface``: separators where they were, letter case letter by letter.
+#: The canonical surrogate ``s`` in the form of ``surface``: separators where they were, letter case letter by letter; what it is longer by at the end.
 _IN_FORM = r"""CASE
   WHEN kind IN ('phone', 'card', 'ssn') THEN aggregate(split(surface, ''), named_struct('out', '', 'i', 1),
     (a, c) -> CASE WHEN c RLIKE '[0-9]' THEN named_struct('out', concat(a.out, substring(s, a.i, 1)), 'i', a.i + 1)
-      ELSE named_struct('out', concat(a.out, c), 'i', a.i) END, a -> a.out)
+      ELSE named_struct('out', concat(a.out, c), 'i', a.i) END, a -> concat(a.out, substring(s, a.i)))
   WHEN kind = 'iban' THEN aggregate(split(surface, ''), named_struct('out', '', 'i', 1),
     (a, c) -> CASE WHEN c <> ' ' THEN named_struct('out', concat(a.out, substring(s, a.i, 1)), 'i', a.i + 1)
-      ELSE named_struct('out', concat(a.out, c), 'i', a.i) END, a -> a.out)
+      ELSE named_struct('out', concat(a.out, c), 'i', a.i) END, a -> concat(a.out, substring(s, a.i)))
   WHEN kind IN ('mailbox', 'domain', 'surname', 'given_f', 'given_m') THEN array_join(transform(split(s, ''),
     (c, i) -> CASE WHEN substring(surface, i + 1, 1) <> lower(substring(surface, i + 1, 1)) THEN upper(c) ELSE c END), '')
   ELSE s END"""
