@@ -1,8 +1,9 @@
 """Corpus cleaning as stages over ``documents``; each calls one operator of
 ``editstream.llm`` and its decisions take effect on what the next one reads.
 
-Stages keep all columns and rows of clean documents. A null id passes like any
-other; repeated rows of one id share their decision.
+Stages keep all columns and rows of clean documents. Near duplicates are decided
+row by row: null and repeated ids too leave one row of a class. Documents
+without a word are no duplicates.
 """
 
 from __future__ import annotations
@@ -24,10 +25,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document of the smallest id stays."""
-    kept = op2_jaccard.near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    gone = stored(kept.filter("NOT kept").select(F.col("doc_id").alias("_gone")), "gone")
-    return docs.join(gone.hint("merge"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    """Of each class of near duplicates one row stays: of the smallest id, a null id last."""
+    # Rows are told apart by a number that is written, so that ids may be null or repeat.
+    rows = stored(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "rows")
+    gone = stored(op2_jaccard.surplus_rows(rows.select("doc.doc_id", "doc.text", "row")), "gone")
+    return rows.join(gone.hint("merge"), "row", "left_anti").select("doc.*")
 
 
 def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

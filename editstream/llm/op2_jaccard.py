@@ -110,7 +110,7 @@ def signature(shingles, multipliers):
 
 
 def _describe(batches):
-    """doc_id, hash of the set, signature."""
+    """The other columns, hash of the set, signature."""
     import pyarrow as pa
     import xxhash
 
@@ -119,8 +119,9 @@ def _describe(batches):
         sets = shingle_sets(batch.column("text"))
         names = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
         signatures = [signature(s, a).tobytes() if len(s) else None for s in sets]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.binary()), pa.array(signatures, pa.binary())],
-                                         names=["doc_id", "name", "signature"])
+        others = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, others), pa.array(names, pa.binary()), pa.array(signatures, pa.binary())],
+                                         names=[*others, "name", "signature"])
 
 
 def grown(low, need: float):
@@ -413,12 +414,13 @@ def _verify(threshold: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs: doc_id, text -> doc_id, class_id, n_links, kept, a row a document."""
+def _classified(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """docs: doc_id, text[, row] -> doc_id, name[, row] of each document, and
+    name, component, class_id, n_links of each set."""
     cells = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", "text")
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    described = stored(rows.mapInArrow(_describe, f"doc_id {kind}, name binary, signature binary"), "described")
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in docs.columns if c != "text")
+    described = stored(docs.mapInArrow(_describe, f"{kinds}, name binary, signature binary"), "described")
     sets = stored(described.filter("name IS NOT NULL").groupBy("name").agg(
         F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min("signature").alias("signature")), "sets")
     sets = stored(sets.withColumn("rep", F.monotonically_increasing_id()), "sets")
@@ -452,13 +454,33 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         links, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     named = stored(named, "named")
     smallest = named.groupBy("component").agg(F.min("least").alias("class_id"))
-    classes = stored(named.join(smallest, "component").select(
-        "name", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
+    return described, stored(named.join(smallest, "component").select(
+        "name", "component", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "classes")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """docs: doc_id, text -> doc_id, class_id, n_links, kept, a row a document."""
+    described, classes = _classified(docs.select("doc_id", "text"), threshold)
     result = described.select("doc_id", "name").filter("name IS NOT NULL").join(classes, "name").select("doc_id", "class_id", "n_links")
     lone = described.filter("name IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return result.union(lone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
+def surplus_rows(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """docs: doc_id, text, row (long, one a row) -> row: all rows of each class but one.
+
+    The one has the smallest id, known before null; of several rows with it the
+    smallest set and row. Documents without a word are classes of their own.
+    """
+    described, classes = _classified(docs.select("doc_id", "text", "row"), threshold)
+    rows = stored(described.filter("name IS NOT NULL").join(classes.select("name", "component"), "name").select(
+        "component", "row", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "name", "row").alias("_order")), "rows")
+    first = rows.groupBy("component").agg(F.min("_order").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    # A row of each class of several: it grows with the corpus, so it is never broadcast.
+    several = first.select("component", F.col("_first.row").alias("_kept"))
+    return rows.select("component", "row").join(several.hint("merge"), "component").filter("row <> _kept").select("row")
+
+
 def op2_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id, n_links, kept."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))

@@ -106,3 +106,17 @@ def test_stages(spark, tmp_path):
         for i, text, *_, n in expect:
             assert got[i].text == text and got[i].n_chars == n
         docs = out
+
+
+def test_one_row_of_each_class_stays(spark):
+    """Null ids, repeated rows and different texts of one id."""
+    rng = random.Random(3)
+    prose = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(60))
+    a, b, c, d, e = (prose() for _ in range(5))
+    rows = [(1, a), (None, a), (None, a + " x"), (1, a), (None, b), (None, b), (2, c), (2, d), (3, d), (2, c), (5, e), (4, e),
+            (None, None), (None, None), (6, ""), (6, "")]
+    docs = spark.createDataFrame([(i, t, f"s{k}") for k, (i, t) in enumerate(rows)], "doc_id long, text string, source string")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs.repartition(3), "")
+    assert out.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(
+        [(1, a), (None, b), (2, c), (2, d), (4, e), (None, None), (None, None), (6, ""), (6, "")])
