@@ -55,3 +55,31 @@ def test_many_blocks(spark, monkeypatch):
     rng = random.Random(4)
     rows = [(i, [rng.choice([-1.0, 0.0, 1.0]) for _ in range(3)]) for i in range(90)]
     assert run(spark, rows) == brute(rows, lambda q: q % 5 == 0, 3)
+
+
+def test_long_vectors_are_scored_exactly(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(60)]
+    rows += [(i, [rng.uniform(-1, 1) * 2.0 ** rng.choice([18, 20, 22]) for _ in range(4)]) for i in range(60, 90)]
+    rows += [(90, [2.0 ** 50, 0.0, 0.0, 0.0]), (91, [0.0, 2.0 ** 60, 0.0, 0.0]), (95, [0.0, 0.0, 3.0 * 2.0 ** 22, 0.0])]
+    rows = [(i, [0.0, 0.0, *v[2:]] if i < 90 else v) for i, v in rows]
+    expect = brute(rows, lambda q: q % 5 == 0, 3)
+    assert run(spark, rows) == expect and {60, 90, 95} <= {q for q, *_ in expect}
+
+
+def test_scores_up_to_the_ends_of_64_bits():
+    import numpy as np
+    import pytest
+
+    a = np.array([[2.0 ** 40 + 1, -3.0, 2.0 ** 31], [2.0 ** 70, 0, 1], [-(2.0 ** 31), 2.0 ** 31, 7]])
+    b = np.array([[2.0 ** 22 - 1, 5, 2.0 ** 30 + 3], [0, 2.0 ** 20 + 1, 9], [0, 2.0 ** 31 - 1, 2.0 ** 31]])
+    for i, j in [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 0), (2, 1), (2, 2)]:
+        assert op9_topk.inner_products(a[i:i + 1], b[j:j + 1]).tolist() == [[sum(int(x) * int(y) for x, y in zip(a[i], b[j]))]]
+    with pytest.raises(OverflowError):
+        op9_topk.inner_products(a[1:2], b[:1])
+
+
+def test_different_vectors_of_one_id_rank_together(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [3.0, 0.0]), (2, [0.0, 2.0]), (3, [1.0, 1.5]), (5, [0.5, 0.5])]
+    got = {r for r in run(spark, rows) if r[0] == 0}
+    assert got == {(0, 1, 1, 3 * 65536), (0, 2, 2, 2 * 65536), (0, 3, 3, 65536 * 3 // 2)}
