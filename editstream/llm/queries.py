@@ -12,6 +12,9 @@ from .op7_repeats import OP7_SQL, op7_sparse_doubling
 from .op8_neardup import OP8_SQL, op8_epsilon_grid
 from .op9_topk import OP9_SQL, op9_histogram_topk
 from .op10_sharding import OP10_SQL, op10_stratified_interleave
+from .op11_search import OP11_SQL, op11_reversed_search
+from .op12_runs import OP12_SQL, op12_lcp_kruskal
+from .op13_urls import op13_path_templates
 
 QUERIES = {
     "op1_clause_grammar": op1_clause_grammar,
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_epsilon_grid": op8_epsilon_grid,
     "op9_histogram_topk": op9_histogram_topk,
     "op10_stratified_interleave": op10_stratified_interleave,
+    "op11_reversed_search": op11_reversed_search,
+    "op12_lcp_kruskal": op12_lcp_kruskal,
+    "op13_path_templates": op13_path_templates,
 }
 
 ORACLES = {
@@ -33,4 +39,6 @@ ORACLES = {
     "op8_epsilon_grid": OP8_SQL,
     "op9_histogram_topk": OP9_SQL,
     "op10_stratified_interleave": OP10_SQL,
+    "op11_reversed_search": OP11_SQL,
+    "op12_lcp_kruskal": OP12_SQL,
 }
