@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.names import edit_type_name, namespace_name, wiki_name
 from ..operators import clean, enrich as enr, metrics as met, serving, snapshot
-from ..schemas import EDIT_COLUMNS, RAW_EVENT
+from ..operators.numbering import milestones
+from ..schemas import ARRIVAL_ORDER, EDIT_COLUMNS, RAW_EVENT
 from ..session import prepare
 from ..sources import dims, feed, fixture
 
@@ -79,6 +80,10 @@ def q_publish_keyed_json(spark, sf_dir):
     return clean.to_keyed_json(edits(spark, sf_dir))
 
 
+def q_publish_milestones(spark, sf_dir):
+    return milestones(valid(spark, sf_dir), ARRIVAL_ORDER)
+
+
 def q_decode_edits(spark, sf_dir):
     records = clean.to_keyed_json(edits(spark, sf_dir))
     decoded = clean.valid_edits(clean.decode_edits(records))
@@ -194,6 +199,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_edits": q_valid_edits,
     "decode_edits": q_decode_edits,
     "publish_keyed_json": q_publish_keyed_json,
+    "publish_milestones": q_publish_milestones,
     "enrich_edits": q_enrich_edits,
     "live_snapshot": q_live_snapshot,
     "enriched_snapshot": q_enriched_snapshot,

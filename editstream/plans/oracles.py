@@ -248,6 +248,13 @@ ORACLES: dict[str, str] = {
 }
 
 
+ORACLES["publish_milestones"] = _sql("""
+    , counted AS (SELECT row_number() OVER (ORDER BY ingestion_ts, id) AS sent, id, wiki, ingestion_ts,
+                         ingestion_ts - min(ingestion_ts) OVER () AS elapsed FROM valid)
+    SELECT sent, id, wiki, ingestion_ts, elapsed, CASE WHEN elapsed > 0 THEN sent / elapsed ELSE 0.0 END::DOUBLE AS rate
+    FROM counted WHERE sent % 200 = 0""")
+
+
 def late_data_sql(late_mod: int = 23, delay_s: int = 30) -> str:
     """Metrics after a replay where rows with id % late_mod = 0 arrive one file
     late; the watermark seen by file n is max(ingestion_ts of files < n) - delay."""
@@ -269,6 +276,8 @@ STREAM_ORACLES: dict[str, str] = {
     "stream_window_metrics": ORACLES["window_metrics"],
     "stream_enriched_snapshot": ORACLES["enriched_snapshot"],
     "stream_late_data": late_data_sql(),
+    "stream_live_state": ORACLES["live_snapshot"],
+    "stream_metric_writers": ORACLES["metric_merge_outer"],
     "progress_report": _sql("""
         , t AS (SELECT (ingestion_ts - 1704067200) // 360 + CASE WHEN id % 23 = 0 THEN 1 ELSE 0 END AS batch_id FROM valid)
         SELECT i::BIGINT AS batch_id, count(t.batch_id) AS num_input_rows

@@ -6,12 +6,13 @@ source reads one slice per trigger under ``availableNow``. In order, nothing
 is late, so every table must equal its batch twin. The late variant holds rows
 with ``id % 23 == 0`` back by one slice.
 
-Landing: one distributed job writes all records in folders by slice, as many
-files each as the session has shuffle partitions; a slice is then renamed into
-the watched folder and its files are dated, so the source lists slices in
-order. A record without key marks every file (a source's heartbeat), so a
-slice always has the same number of files. A session lands each replay once
-and every replay query reads it with its own checkpoint.
+Landing: a distributed prefix count gives each record its offset, and its place
+in its slice; a slice is written as so many files of equal size as the session
+has shuffle partitions, then renamed into the watched folder and its files are
+dated, so the source lists slices in order. A record without key marks every
+file (a source's heartbeat), so a slice always has the same number of files. A
+session lands each replay once and every replay query reads it with its own
+checkpoint.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import to_keyed_json, valid_edits
+from ..operators.numbering import numbered
 from ..plans import catalog
 from ..schemas import EDIT_COLUMNS
 from .. import storage
@@ -50,25 +52,37 @@ def _slice(late_mod: int | None):
     return no
 
 
+def log_records(spark: SparkSession, sf_dir: str, late_mod: int | None = None) -> DataFrame:
+    """The valid edits as records of a keyed log, with slice, partition and
+    offset: 0, 1, 2, .. in each partition by arrival (slice, second, id). A
+    wiki is in one partition; ``slice_place`` numbers the records of a slice."""
+    n = log_partitions(spark)
+    edits = valid_edits(catalog.edits(spark, sf_dir)).withColumn("slice", _slice(late_mod)).withColumn(
+        "partition", F.pmod(F.xxhash64("wiki"), F.lit(n)).cast("int"))
+    records = to_keyed_json(edits, carry=["slice", "partition", "ingestion_ts", "id"])
+    return numbered(records, ["slice", "partition", "ingestion_ts", "id"],
+                    {"offset": ["partition"], "slice_place": ["slice"]}).drop("ingestion_ts", "id")
+
+
 def stage_replay(spark: SparkSession, sf_dir: str, folder: str, late_mod: int | None = None) -> int:
-    """Publish the valid edits as log records, staged by slice, in one
-    distributed job. Returns the number of the last slice.
+    """Publish the valid edits as log records, staged by slice. Returns the
+    number of the last slice.
 
-    A wiki is in one partition; offsets rise with arrival (second, id).
+    A slice is cut into files of equal numbers of records, in the order of
+    partition and offset, each written by a task of its own: a wiki that holds
+    most of a slice is landed by several tasks.
     """
     n = log_partitions(spark)
-    edits = valid_edits(catalog.edits(spark, sf_dir))
-    last = edits.agg(F.max(_slice(late_mod))).first()[0] or 0
-    edits = edits.withColumn("slice", _slice(late_mod)).withColumn(
-        "offset", (F.col("ingestion_ts") - F.lit(BASE_EPOCH)) * F.lit(1 << 32) + F.col("id"))
-    records = to_keyed_json(edits, carry=["slice", "offset"]).withColumn(
-        "partition", F.pmod(F.xxhash64("key"), F.lit(n)).cast("int"))
+    records = log_records(spark, sf_dir, late_mod).withColumn(
+        "file", F.floor(F.col("slice_place") * n / F.col("slice_place_of")).cast("int"))
+    records = records.select("key", "value", "partition", "offset", "slice", "file")
+    last = records.agg(F.max("slice")).first()[0] or 0
     marks = spark.range((last + 1) * n).selectExpr(
-        "CAST(NULL AS STRING) AS key", "CAST(NULL AS STRING) AS value", f"CAST(id div {n} AS INT) AS slice",
-        "CAST(NULL AS BIGINT) AS offset", f"CAST(id % {n} AS INT) AS partition")
-    (records.unionByName(marks).repartition(n * (last + 1), "slice", "partition")
-     .sortWithinPartitions("slice", "partition", "offset")
-     .withColumn("of", F.concat_ws("-", "slice", "partition"))
+        "CAST(NULL AS STRING) AS key", "CAST(NULL AS STRING) AS value", "CAST(NULL AS INT) AS partition",
+        "CAST(NULL AS BIGINT) AS offset", f"CAST(id div {n} AS INT) AS slice", f"CAST(id % {n} AS INT) AS file")
+    (records.unionByName(marks).repartitionById(n * (last + 1), F.col("slice") * n + F.col("file"))
+     .sortWithinPartitions("partition", "offset")
+     .withColumn("of", F.concat_ws("-", "slice", "file")).drop("slice", "file")
      .write.partitionBy("of").parquet(f"{folder}/staged"))
     return last
 
@@ -97,10 +111,12 @@ def landed_replay(spark: SparkSession, sf_dir: str, late_mod: int | None = None)
     """Folder whose ``in/`` holds the landed replay files for this table.
 
     Landed files are immutable, so within a session every replay query reads
-    the same input (like several queries subscribed to one topic); each query
-    keeps its own checkpoint and output, so it still reads from the start.
+    the same input (like several queries subscribed to one topic) as long as
+    the table's files are the same; each query keeps its own checkpoint and
+    output, so it still reads from the start.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), late_mod, log_partitions(spark))
+    table = f"{sf_dir.rstrip('/')}/events.parquet"
+    key = (spark.sparkContext.applicationId, table, storage.stamp(spark, table), late_mod, log_partitions(spark))
     if key not in _LANDED:
         folder = scratch_dir(spark, "replay-in")
         land_replay(spark, sf_dir, folder, late_mod)
@@ -196,15 +212,46 @@ def q_stream_late_data(spark, sf_dir):
     return replay_metrics(spark, sf_dir, late_mod=LATE_MOD)[0]
 
 
-def q_progress_report(spark, sf_dir):
-    """Edits that each batch of the metric query reads over the late replay,
-    from the progress reports of all batches."""
+def q_stream_live_state(spark, sf_dir):
+    """The live table from keyed state, over the late replay: the log's order
+    decides, not the slice that a record comes in."""
+    source, folder = landed_replay(spark, sf_dir, LATE_MOD), scratch_dir(spark, "live-state")
+    edits = _edits(spark, source).drop("partition", "offset")      # arrival: second and id
+    _run(runner.start_live_state(edits, f"{folder}/live", f"{folder}/ckpt", "available_now",
+                                 partitions=log_partitions(spark), compact_every=COMPACT_EVERY))
+    return sinks.live_table(f"{folder}/live").read(spark)
+
+
+def q_stream_metric_writers(spark, sf_dir):
+    """Counts and averages by two queries that write to one table at a time."""
+    source, folder = landed_replay(spark, sf_dir), scratch_dir(spark, "writers")
+    for q in runner.start_metric_writers(_edits(spark, source), f"{folder}/metrics", f"{folder}/ckpt", "available_now",
+                                         partitions=log_partitions(spark), compact_every=COMPACT_EVERY):
+        _run(q)
+    return sinks.metric_cell_table(f"{folder}/metrics").read(spark)
+
+
+def q_progress_rates(spark, sf_dir):
+    """The metric query's progress over the late replay, as a service shows it:
+    rates, and state rows that the watermark dropped (not the same in any two runs)."""
+    return _progress(spark, sf_dir).select(
+        "batch_id", F.col("num_read").alias("num_input_rows"), "input_rows_per_second", "processed_rows_per_second",
+        "rows_dropped_by_watermark")
+
+
+def _progress(spark, sf_dir) -> DataFrame:
     source, folder = landed_replay(spark, sf_dir, LATE_MOD), scratch_dir(spark, "progress")
     with runner.ProgressLog(spark, f"{folder}/progress") as log:
         edits = _edits(spark, source).observe(runner.READ, F.count(F.lit(1)).alias("n"))
         _run(runner.start_metrics(edits, f"{folder}/metrics", f"{folder}/ckpt", "available_now",
                                   partitions=log_partitions(spark)))
-    return log.table(spark).filter("num_source_rows > 0").select("batch_id", F.col("num_read").alias("num_input_rows"))
+    return log.table(spark).filter("num_source_rows > 0")
+
+
+def q_progress_report(spark, sf_dir):
+    """Edits that each batch of the metric query reads over the late replay,
+    from the progress reports of all batches."""
+    return _progress(spark, sf_dir).select("batch_id", F.col("num_read").alias("num_input_rows"))
 
 
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -213,5 +260,8 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_window_metrics": q_stream_window_metrics,
     "stream_enriched_snapshot": q_stream_enriched_snapshot,
     "stream_late_data": q_stream_late_data,
+    "stream_live_state": q_stream_live_state,
+    "stream_metric_writers": q_stream_metric_writers,
     "progress_report": q_progress_report,
+    "progress_rates": q_progress_rates,
 }

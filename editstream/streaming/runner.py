@@ -15,7 +15,9 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.clean import parse_feed_lines, to_keyed_json, trim_events
 from ..operators.enrich import enrich_for_snapshot
-from ..operators.metrics import window_metrics
+from ..operators.metrics import window_avg_delta, window_edit_count, window_metrics
+from ..operators.snapshot import latest_by
+from ..schemas import LIVE_COLUMNS
 from ..sources.feed import read_feed_text
 from . import sinks
 
@@ -76,6 +78,24 @@ def start_live(edits: DataFrame, path: str, checkpoint: str, trigger: str = LIVE
         return _trigger(w, trigger).start()
 
 
+def start_live_state(edits: DataFrame, path: str, checkpoint: str, trigger: str = LIVE_TRIGGER,
+                     name: str = "live_state", partitions: int | None = None,
+                     compact_every: int | None = None) -> StreamingQuery:
+    """The latest edit of each wiki as state of the stream, update mode.
+
+    A batch is reduced to one row a wiki in each input partition, meets the
+    state there is and sends on the wikis that it changed, with their rows as
+    they now are; the sink only replaces rows. So the order of arrival holds
+    across batches too: an edit that comes late in the log never replaces a
+    newer one. The state holds a row a wiki and survives restarts.
+    """
+    rows = latest_by(edits, "wiki", sinks.arrival_order(edits.columns), LIVE_COLUMNS)
+    w = (rows.writeStream.queryName(name).outputMode("update")
+         .foreachBatch(sinks.live_table(path, [], compact_every)).option("checkpointLocation", checkpoint))
+    with _query_conf(edits.sparkSession, {SHUFFLE_PARTITIONS: partitions}):
+        return _trigger(w, trigger).start()
+
+
 def start_metrics(edits: DataFrame, path: str, checkpoint: str, trigger: str = METRIC_TRIGGER,
                   name: str = "window_metrics", partitions: int | None = None,
                   compact_every: int | None = None) -> StreamingQuery:
@@ -91,6 +111,20 @@ def start_metrics(edits: DataFrame, path: str, checkpoint: str, trigger: str = M
         return _trigger(w, trigger).start()
 
 
+def start_metric_writers(edits: DataFrame, path: str, checkpoint: str, trigger: str = METRIC_TRIGGER,
+                         partitions: int | None = None, compact_every: int | None = None) -> list[StreamingQuery]:
+    """Counts and averages as queries of their own, each with its cell of one
+    table: windows without any size delta get a count alone. They run side by
+    side; the table merges their cells. ``start_metrics`` keeps half the state."""
+    queries = []
+    for name, rows in (("window_edit_count", window_edit_count(edits)), ("window_avg_delta", window_avg_delta(edits))):
+        w = (rows.writeStream.queryName(name).outputMode("update")
+             .foreachBatch(sinks.metric_cell_table(path, compact_every)).option("checkpointLocation", f"{checkpoint}/{name}"))
+        with _query_conf(edits.sparkSession, {ALLOW_MULTIPLE: "false", SHUFFLE_PARTITIONS: partitions}):
+            queries.append(_trigger(w, trigger).start())
+    return queries
+
+
 def start_enriched(edits: DataFrame, dim: DataFrame, path: str, checkpoint: str,
                    trigger: str = ENRICH_TRIGGER, name: str = "enriched_snapshot",
                    dim_rows: int | None = None, partitions: int | None = None,
@@ -155,20 +189,23 @@ class ProgressLog(StreamingQueryListener):
 
     Reports are written in small files of ``every`` rows as they come and the
     rest at the end, so none is lost however many batches there are (a query
-    itself remembers the last hundred).
+    itself remembers the last hundred). The block ends when the end of each
+    query that it saw start has been reported, which is the last report of a
+    query; if one does not come within ``patience`` seconds, that is an error.
     """
 
-    def __init__(self, spark: SparkSession, path: str, every: int = 100):
-        self.spark, self.path, self.every = spark, path, every
-        self.rows, self.files, self.running, self.idle = [], 0, 0, threading.Event()
-        self.idle.set()
+    def __init__(self, spark: SparkSession, path: str, every: int = 100, patience: float = 60):
+        self.spark, self.path, self.every, self.patience = spark, path, every, patience
+        self.rows, self.files, self.running, self.changed = [], 0, set(), threading.Condition()
 
     def onQueryStarted(self, event):
-        self.running += 1
-        self.idle.clear()
+        with self.changed:
+            self.running.add(str(event.runId))
 
     def onQueryProgress(self, event):
         p = event.progress
+        if str(p.runId) not in self.running:
+            return  # another query of the session
         read = (p.observedMetrics or {}).get(READ)
         self.rows.append((
             str(p.id), str(p.runId), int(p.batchId), int(p.numInputRows or 0), None if read is None else int(read["n"]),
@@ -181,9 +218,9 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event):
-        self.running -= 1
-        if self.running <= 0:
-            self.idle.set()
+        with self.changed:
+            self.running.discard(str(event.runId))
+            self.changed.notify_all()
 
     def _flush(self):
         rows, self.rows = self.rows, []
@@ -196,10 +233,12 @@ class ProgressLog(StreamingQueryListener):
         return self
 
     def __exit__(self, *exc):
-        # Reports come after the query's end, in order; its end is the last.
-        self.idle.wait(60)
+        with self.changed:
+            ended = self.changed.wait_for(lambda: not self.running, self.patience)
         self.spark.streams.removeListener(self)
         self._flush()
+        if not ended and exc[0] is None:
+            raise TimeoutError(f"no report of the end of {sorted(self.running)}")
 
     def table(self, spark: SparkSession) -> DataFrame:
         return (spark.read.schema(PROGRESS).option("recursiveFileLookup", "true").parquet(self.path)

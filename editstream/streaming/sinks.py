@@ -1,27 +1,39 @@
 """Keyed upsert tables on plain Parquet, fed by ``foreachBatch``.
 
 Rows lie in folders that are written once and never changed. A manifest names
-the folders that make up the table; publishing a version is writing the next
-manifest. So
+the folders that make up the table; publishing a version is giving the next
+manifest its name. So
 
-- a batch counts from the moment its manifest is complete: a crash before that
+- a batch counts from the moment its manifest has its name: a crash before that
   leaves a folder nobody reads, and the batch is delivered and written again;
 - versions count up with the table, not with a query's batch ids: a query that
   starts anew on an old table (fresh checkpoint, batch 0) writes newer
   versions. A batch that its query had published is skipped;
+- several queries may write to one table: who finds the next version taken reads
+  the manifest again and publishes on top of it;
 - a reader keeps the folders of the manifest it opened, whatever is compacted
   meanwhile; ``vacuum`` deletes what the last few manifests do not name.
 
-Read: the newest version of each key wins. ``compact`` folds the versions since
-the last compaction into the base, part by part: only parts (for metrics: days
-of windows) that new rows touch are rewritten, closed ones stay as they are.
+The base holds one row a key. What was written since is the delta, whose bytes
+the manifest counts: the sink folds it into the base before it passes
+``DELTA_BYTES``, part by part (for metrics: days of windows), so that only parts
+that new rows touch are rewritten. A read reduces the delta alone. Rows of the
+base are taken as they lie unless the delta has their key, which a broadcast of
+the delta's keys decides: no aggregate and no shuffle over the base. A delta
+past the bound (a single huge batch, a table written without a sink) is met by
+a shuffle instead.
+
+Rows of a key replace each other; with ``by_cell`` cells do: queries that write
+different cells of a key (others null) merge, and a null never replaces a value.
 Reduction, folding and writing are distributed; the driver sees manifests.
 """
 
 from __future__ import annotations
 
 import json
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,46 +46,64 @@ VERSION_COL = "_version"
 PART_COL = "_part"
 QUERY_ID = "sql.streaming.queryId"
 KEPT_MANIFESTS = 8
-EMPTY = {"version": 0, "base": {}, "base_version": 0, "recent": [], "batches": {}}
+DELTA_BYTES = 16 << 20     # Parquet bytes of the delta; its keys alone are broadcast
+PUBLISH_TRIES = 100
+EMPTY = {"version": 0, "base": {}, "base_version": 0, "recent": [], "recent_bytes": 0, "batches": {}}
+_PUBLISHING = threading.Lock()   # for the writers of one driver, beside the manifest's name
 
 
 class UpsertTable:
-    """``part``: which part of the table a row belongs to; one if not given."""
+    """``part``: which part of the table a row belongs to; one if not given.
+    ``by_cell``: the cells' types, if cells merge one by one."""
 
     def __init__(self, path: str, key: list[str], cells: list[str], order: list[str] | None = None,
                  cluster_desc: list[str] | None = None, compact_every: int | None = None,
-                 part: Column | None = None):
+                 part: Column | None = None, by_cell: dict[str, str] | None = None):
         self.path = path.rstrip("/")
         self.compact_every = compact_every
         self.key = list(key)
         self.cells = list(cells)
         self.order = list(order or [])
         self.part = part
+        self.by_cell = by_cell
         # Rows are written sorted by key (these key columns newest first), so
         # Parquet row-group statistics let a `wiki = ...` read skip groups.
         self.cluster = [F.desc(c) if c in (cluster_desc or []) else F.asc(c) for c in self.key]
 
     # -- manifests ------------------------------------------------------------
     def _versions(self, spark: SparkSession) -> list[int]:
-        folder = f"{self.path}/manifests"
-        return sorted(int(n[1:]) for n in storage.names(spark, folder)
-                      if n.startswith("v") and storage.exists(spark, f"{folder}/{n}/_SUCCESS"))
+        return sorted(int(n[1:-5]) for n in storage.names(spark, f"{self.path}/manifests")
+                      if n.startswith("v") and n.endswith(".json"))
 
     def manifest(self, spark: SparkSession) -> dict:
         versions = self._versions(spark)
         return self._manifest(spark, versions[-1]) if versions else json.loads(json.dumps(EMPTY))
 
     def _manifest(self, spark: SparkSession, version: int) -> dict:
-        return json.loads(spark.read.text(f"{self.path}/manifests/v{version}").first()[0])
-
-    def _publish(self, spark: SparkSession, manifest: dict) -> None:
-        spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.mode("overwrite").text(
-            f"{self.path}/manifests/v{manifest['version']}")
+        return json.loads(storage.read_text(spark, f"{self.path}/manifests/v{version}.json"))
+
+    def _publish(self, spark: SparkSession, manifest: dict) -> bool:
+        return storage.create_text(spark, f"{self.path}/manifests/v{manifest['version']}.json", json.dumps(manifest))
+
+    def _commit(self, spark: SparkSession, change: Callable[[dict], bool]) -> int | None:
+        """Publishes ``change`` of the newest manifest; again, if another writer was first.
+        None if there is nothing to change any more."""
+        for _ in range(PUBLISH_TRIES):
+            with _PUBLISHING:
+                manifest = self.manifest(spark)
+                if not change(manifest):
+                    return None
+                manifest["version"] += 1
+                if self._publish(spark, manifest):
+                    return manifest["version"]
+        raise RuntimeError(f"{self.path}: other writers were first {PUBLISH_TRIES} times")
 
     # -- write side ---------------------------------------------------------
     def reduce(self, batch: DataFrame) -> DataFrame:
         if not self.order:
-            return batch.select(*self.key, *self.cells)
+            cells = [F.col(c) if c in batch.columns or not self.by_cell else F.lit(None).cast(self.by_cell[c]).alias(c)
+                     for c in self.cells]
+            return batch.select(*self.key, *cells)
         cols = list(dict.fromkeys(self.cells + self.order))
         return latest_by(batch, self.key, self.order, cols)
 
@@ -84,73 +114,117 @@ class UpsertTable:
 
     def write_batch(self, batch: DataFrame, batch_id: int, query_id: str = "") -> None:
         spark = batch.sparkSession
-        manifest = self.manifest(spark)
-        if manifest["batches"].get(query_id, -1) >= batch_id:
+        if self.manifest(spark)["batches"].get(query_id, -1) >= batch_id:
             return  # published before a restart
-        version = manifest["version"] + 1
-        folder = self._write(self.reduce(batch).withColumn(VERSION_COL, F.lit(version).cast("long")))
-        manifest["version"] = version
-        manifest["recent"].append(folder)
-        manifest["batches"][query_id] = batch_id
-        self._publish(spark, manifest)
+        # Rows of a version are told apart by their folder's place in the manifest.
+        folder = self._write(self.reduce(batch))
+        size = storage.size(spark, f"{self.path}/{folder}")
+
+        def change(manifest: dict) -> bool:
+            if manifest["batches"].get(query_id, -1) >= batch_id:
+                return False
+            manifest["recent"].append([folder, manifest["version"] + 1])
+            manifest["recent_bytes"] += size
+            manifest["batches"][query_id] = batch_id
+            return True
+
+        self._commit(spark, change)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         self.write_batch(batch, batch_id, spark.sparkContext.getLocalProperty(QUERY_ID) or "")
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+        due = self.compact_every and (batch_id + 1) % self.compact_every == 0
+        if due or self.manifest(spark)["recent_bytes"] > DELTA_BYTES:
             self.compact(spark)
             self.vacuum(spark)
 
     # -- read side ----------------------------------------------------------
-    def _rows(self, spark: SparkSession, manifest: dict, parts: list[str] | None = None) -> DataFrame | None:
-        base = [f for p, f in manifest["base"].items() if parts is None or p in parts]
-        folders = [f"{self.path}/{f}" for f in [*base, *manifest["recent"]]]
+    def _base(self, spark: SparkSession, manifest: dict, parts: list[str] | None = None) -> DataFrame | None:
+        folders = [f"{self.path}/{f}" for p, f in manifest["base"].items() if parts is None or p in parts]
         return spark.read.parquet(*folders) if folders else None
 
+    def _recent(self, spark: SparkSession, manifest: dict) -> DataFrame | None:
+        """Rows of the delta with their version."""
+        out = None
+        if manifest["recent"]:
+            versions = F.create_map(*[F.lit(x) for f, v in manifest["recent"] for x in (f, v)])
+            rows = spark.read.parquet(*[f"{self.path}/{f}" for f, _ in manifest["recent"]])
+            folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+            out = rows.withColumn(VERSION_COL, versions[folder].cast("long"))
+        return out
+
+    def _folded(self, rows: DataFrame, cells: list[str]) -> DataFrame:
+        """One row a key of rows with versions, which hold at most one row a key."""
+        if not self.by_cell:
+            return latest_by(rows, self.key, [VERSION_COL], cells)
+        # max_by leaves out rows of null order: the newest value that is one.
+        newest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(VERSION_COL))).alias(c) for c in cells]
+        return rows.groupBy(*self.key).agg(*newest)
+
+    def _merged(self, base: DataFrame | None, recent: DataFrame | None, cells: list[str], size: int) -> DataFrame:
+        if recent is None:
+            return base.select(*self.key, *cells)
+        recent = recent.select(*self.key, *cells, VERSION_COL)
+        if base is None:
+            return self._folded(recent, cells)
+        base = base.select(*self.key, *cells)
+        keys = recent.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.key)])
+        keys = F.broadcast(keys) if size <= DELTA_BYTES else keys
+        same = [base[k].eqNullSafe(keys[f"_k{i}"]) for i, k in enumerate(self.key)]
+        if self.by_cell:
+            old = base.join(keys, same, "left_semi").withColumn(VERSION_COL, F.lit(0).cast("long"))
+            recent = recent.unionByName(old)
+        return base.join(keys, same, "left_anti").unionByName(self._folded(recent, cells))
+
     def read(self, spark: SparkSession, columns: list[str] | None = None) -> DataFrame:
-        """Current table: a version holds at most one row a key, so the newest
-        version alone picks a key's row. Only the cells of ``columns`` are read."""
-        rows = self._rows(spark, self.manifest(spark))
-        if rows is None:
+        """Current table. Only the cells of ``columns`` are read."""
+        manifest = self.manifest(spark)
+        base, recent = self._base(spark, manifest), self._recent(spark, manifest)
+        if base is None and recent is None:
             raise ValueError(f"no version of {self.path} is published yet")
         wanted = [c for c in self.cells if columns is None or c in columns]
-        return latest_by(rows, self.key, [VERSION_COL], wanted)
+        return self._merged(base, recent, wanted, manifest["recent_bytes"])
 
     # -- maintenance ----------------------------------------------------------
     def compact(self, spark: SparkSession) -> int | None:
-        """Folds recent versions into the parts of the base that they touch.
+        """Folds the delta into the parts of the base that it touches.
         Returns the new version, or None if there is nothing to fold."""
-        manifest = self.manifest(spark)
-        if not manifest["recent"]:
+        seen = self.manifest(spark)
+        if not seen["recent"]:
             return None
         part = (self.part if self.part is not None else F.lit(0)).cast("string")
-        recent = spark.read.parquet(*[f"{self.path}/{f}" for f in manifest["recent"]])
+        recent = self._recent(spark, seen)
         touched = [r[0] for r in recent.select(part.alias("p")).distinct().collect()]  # days, or one part
-        rows = self._rows(spark, manifest, touched)
-        cells = [c for c in rows.columns if c not in self.key and c != VERSION_COL]
-        folded = latest_by(rows, self.key, [VERSION_COL], [*cells, VERSION_COL]).withColumn(PART_COL, part)
+        cells = [c for c in recent.columns if c not in self.key and c != VERSION_COL]
+        folded = self._merged(self._base(spark, seen, touched), recent, cells, seen["recent_bytes"]).withColumn(PART_COL, part)
         folder = f"base-{uuid.uuid4().hex}"
-        folded.sortWithinPartitions(PART_COL, *self.cluster).write.partitionBy(PART_COL).parquet(f"{self.path}/{folder}")
-        manifest["base"].update({p: f"{folder}/{PART_COL}={p}" for p in touched})
-        manifest["recent"] = []
-        manifest["version"] += 1
-        manifest["base_version"] = manifest["version"]
-        self._publish(spark, manifest)
-        return manifest["version"]
+        # Files follow each other in the order of their rows: a key is looked for in one of many.
+        folded.repartitionByRange(F.col(PART_COL), *self.cluster).sortWithinPartitions(
+            PART_COL, *self.cluster).write.partitionBy(PART_COL).parquet(f"{self.path}/{folder}")
+
+        def change(manifest: dict) -> bool:
+            if manifest["base_version"] != seen["base_version"]:
+                return False  # another writer folded the same rows
+            manifest["base"].update({p: f"{folder}/{PART_COL}={p}" for p in touched})
+            manifest["recent"] = [r for r in manifest["recent"] if r not in seen["recent"]]
+            manifest["recent_bytes"] -= seen["recent_bytes"]
+            manifest["base_version"] = manifest["version"] + 1
+            return True
+
+        return self._commit(spark, change)
 
     def vacuum(self, spark: SparkSession, keep: int = KEPT_MANIFESTS) -> None:
-        """Deletes manifests but the last ``keep``, and rows that these do not name."""
+        """Deletes manifests but the last ``keep``, and rows that the manifest before these named
+        and these do not. Rows that no manifest names yet may belong to another writer's batch."""
         versions = self._versions(spark)
-        named = set()
-        for v in versions[-keep:]:
-            manifest = self._manifest(spark, v)
-            named.update(f.split("/")[0] for f in [*manifest["base"].values(), *manifest["recent"]])
-        if len(versions) > keep:
-            for v in versions[:-keep]:
-                storage.delete(spark, f"{self.path}/manifests/v{v}")
-            for name in storage.names(spark, self.path):
-                if name.startswith(("rows-", "base-")) and name not in named:
-                    storage.delete(spark, f"{self.path}/{name}")
+        if len(versions) <= keep:
+            return
+        named = [{f.split("/")[0] for f in [*m["base"].values(), *(r[0] for r in m["recent"])]}
+                 for m in (self._manifest(spark, v) for v in versions)]
+        for name in set().union(*named[:-keep]) - set().union(*named[-keep:]):
+            storage.delete(spark, f"{self.path}/{name}")
+        for v in versions[:-keep]:
+            storage.delete(spark, f"{self.path}/manifests/v{v}.json")
 
 
 LOG_ORDER = ["partition", "offset"]
@@ -164,8 +238,9 @@ def arrival_order(columns: list[str]) -> list[str]:
 
 
 def live_table(path: str, order: list[str] | None = None, compact_every: int | None = None) -> UpsertTable:
-    """Latest edit per wiki (12 cells), arrival order within a batch."""
-    return UpsertTable(path, ["wiki"], LIVE_COLUMNS, order or ARRIVAL_ORDER, compact_every=compact_every)
+    """Latest edit per wiki (12 cells), arrival order within a batch (an empty
+    order: batches hold a row a wiki)."""
+    return UpsertTable(path, ["wiki"], LIVE_COLUMNS, ARRIVAL_ORDER if order is None else order, compact_every=compact_every)
 
 
 def enriched_table(path: str, order: list[str] | None = None,
@@ -181,3 +256,11 @@ def metric_table(path: str, compact_every: int | None = None) -> UpsertTable:
     return UpsertTable(path, ["wiki", "window_end_epoch"], ["edit_count", "avg_delta"],
                        cluster_desc=["window_end_epoch"], compact_every=compact_every,
                        part=F.floor(F.col("window_end_epoch") / 86400))
+
+
+def metric_cell_table(path: str, compact_every: int | None = None) -> UpsertTable:
+    """The same table for two writers, one of the counts and one of the averages."""
+    return UpsertTable(path, ["wiki", "window_end_epoch"], ["edit_count", "avg_delta"],
+                       cluster_desc=["window_end_epoch"], compact_every=compact_every,
+                       part=F.floor(F.col("window_end_epoch") / 86400),
+                       by_cell={"edit_count": "bigint", "avg_delta": "double"})

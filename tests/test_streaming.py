@@ -162,7 +162,7 @@ def test_metric_log_clustered_and_filter_pushed(spark):
     path = scratch_dir(spark, "cluster")
     table = sinks.metric_table(path)
     table(catalog.metrics(spark, SF_SMALL), 0)
-    log = spark.read.parquet(f"{path}/{table.manifest(spark)['recent'][0]}")
+    log = spark.read.parquet(f"{path}/{table.manifest(spark)['recent'][0][0]}")
     for f in log.inputFiles():
         rows = [(r.wiki, r.window_end_epoch) for r in spark.read.parquet(f).collect()]
         assert rows == sorted(rows, key=lambda t: (t[0], -t[1]))      # wiki asc, newest first
