@@ -272,6 +272,7 @@ def late_data_sql(late_mod: int = 23, delay_s: int = 30) -> str:
 
 STREAM_ORACLES: dict[str, str] = {
     "src_replay_stream": ORACLES["valid_edits"],
+    "log_replay_stream": ORACLES["valid_edits"],
     "stream_live_snapshot": ORACLES["live_snapshot"],
     "stream_window_metrics": ORACLES["window_metrics"],
     "stream_enriched_snapshot": ORACLES["enriched_snapshot"],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
@@ -44,6 +45,17 @@ def build_session(master: str | None = None, app: str = "editstream",
 def prepare(spark: SparkSession) -> None:
     """Pin the settings results depend on (UTC epochs) on any session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    find_package(spark)
+
+
+def find_package(spark: SparkSession) -> None:
+    """Python workers look for this package where the driver found it, whatever
+    folder the driver runs in. Machines without that folder need ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
 _LOCAL_ROOTS: dict[str, str] = {}

@@ -31,7 +31,7 @@ from .. import storage
 from ..session import scratch_dir
 from ..sources import dims
 from ..sources.fixture import BASE_EPOCH
-from . import runner, sinks
+from . import log, runner, sinks
 from .sources import edit_stream
 
 SLICE_SECONDS = 360
@@ -212,6 +212,26 @@ def q_stream_late_data(spark, sf_dir):
     return replay_metrics(spark, sf_dir, late_mod=LATE_MOD)[0]
 
 
+LOG_RECORDS = 5000         # admitted a batch, or a sixteenth of the log
+
+
+def q_log_replay_stream(spark, sf_dir):
+    """Log source -> decode -> validate -> file sink. The query is stopped half
+    way and started again on a log that has grown meanwhile."""
+    folder, n = scratch_dir(spark, "log"), log_partitions(spark)
+    edits = valid_edits(catalog.edits(spark, sf_dir)).withColumn("partition", F.pmod(F.xxhash64("wiki"), F.lit(n)).cast("int"))
+    records = to_keyed_json(edits, carry=["partition", "ingestion_ts", "id"])
+    rows, middle = edits.agg(F.count(F.lit(1)), F.avg("ingestion_ts")).first()
+    for part in (F.col("ingestion_ts") < middle, F.col("ingestion_ts") >= middle):
+        log.append_log(records.filter(part), ["ingestion_ts", "id"], f"{folder}/log")
+        read = edit_stream(spark, "log", path=f"{folder}/log", max_records_per_trigger=max(LOG_RECORDS, rows // 16),
+                           starting_offsets="earliest")
+        q = (read.select(*EDIT_COLUMNS).writeStream.format("parquet").option("path", f"{folder}/out")
+             .option("checkpointLocation", f"{folder}/ckpt").outputMode("append").trigger(processingTime="0 seconds").start())
+        log.drain(q, spark, f"{folder}/log")
+    return spark.read.parquet(f"{folder}/out").select(*EDIT_COLUMNS)
+
+
 def q_stream_live_state(spark, sf_dir):
     """The live table from keyed state, over the late replay: the log's order
     decides, not the slice that a record comes in."""
@@ -241,11 +261,11 @@ def q_progress_rates(spark, sf_dir):
 
 def _progress(spark, sf_dir) -> DataFrame:
     source, folder = landed_replay(spark, sf_dir, LATE_MOD), scratch_dir(spark, "progress")
-    with runner.ProgressLog(spark, f"{folder}/progress") as log:
+    with runner.ProgressLog(spark, f"{folder}/progress") as reports:
         edits = _edits(spark, source).observe(runner.READ, F.count(F.lit(1)).alias("n"))
         _run(runner.start_metrics(edits, f"{folder}/metrics", f"{folder}/ckpt", "available_now",
                                   partitions=log_partitions(spark)))
-    return log.table(spark).filter("num_source_rows > 0")
+    return reports.table(spark).filter("num_source_rows > 0")
 
 
 def q_progress_report(spark, sf_dir):
@@ -260,6 +280,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_window_metrics": q_stream_window_metrics,
     "stream_enriched_snapshot": q_stream_enriched_snapshot,
     "stream_late_data": q_stream_late_data,
+    "log_replay_stream": q_log_replay_stream,
     "stream_live_state": q_stream_live_state,
     "stream_metric_writers": q_stream_metric_writers,
     "progress_report": q_progress_report,

@@ -1,4 +1,4 @@
-"""Streaming edit sources: a keyed log (Kafka) or landed files."""
+"""Streaming edit sources: a keyed log (on files or Kafka) or landed files."""
 
 from __future__ import annotations
 
@@ -6,9 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.clean import decode_edits, valid_edits
 from ..operators.metrics import WATERMARK_DELAY
-
-#: A record of the keyed log, as the files source lands it.
-RECORD = "key string, value string, partition int, offset long"
+from .log import RECORD, read_log
 
 
 def edit_source(spark: SparkSession, kind: str = "files", **opts) -> DataFrame:
@@ -20,6 +18,10 @@ def edit_source(spark: SparkSession, kind: str = "files", **opts) -> DataFrame:
     service's rate). Needs the Kafka connector on the classpath; it is not
     bundled here, so this path is configuration only and untested in this repo.
 
+    ``kind="log"``: the segments under ``path``, from ``starting_offsets``
+    (default ``latest``) on, at most ``max_records_per_trigger`` records
+    (required) per trigger.
+
     ``kind="files"``: Parquet files of ``RECORD`` under ``path``, at most
     ``max_files`` (required) per trigger, oldest first.
     """
@@ -30,6 +32,8 @@ def edit_source(spark: SparkSession, kind: str = "files", **opts) -> DataFrame:
                 .option("startingOffsets", opts.get("starting_offsets", "latest"))
                 .option("maxOffsetsPerTrigger", opts["max_records_per_trigger"])
                 .load())
+    if kind == "log":
+        return read_log(spark, opts["path"], opts["max_records_per_trigger"], opts.get("starting_offsets", "latest"))
     if kind == "files":
         return (spark.readStream.schema(RECORD).option("maxFilesPerTrigger", opts["max_files"])
                 .option("recursiveFileLookup", "true").parquet(opts["path"]))
