@@ -28,7 +28,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import BUCKET_HEX, fraction_key, ranked, read_table, slices, stored
+from .shared import BUCKET_HEX, fraction_key, ranked, read_table, slices, stored, tidy
 
 CAPACITY = 2048
 END_ID = 0
@@ -141,6 +141,10 @@ def table(path: str) -> WordTable:
     return _TABLES[path]
 
 
+def _forget() -> None:
+    _TABLES.clear()
+
+
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """doc_id, text -> doc_id, piece, start, length, ids_crc32 (and ids as
     little-endian unsigned 32-bit integers, if asked for)."""
@@ -165,7 +169,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
 
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
+    return rows.mapInArrow(tidy(run, _forget), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
 def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:

@@ -92,6 +92,34 @@ def slices(batches, column: str, most: int = 8 << 20):
         yield batch.slice(start)
 
 
+def tidy(run, *forget):
+    """``run`` for mapInArrow; when a task ends, its worker, which later tasks use
+    again, calls ``forget`` (functions of a module) and gives back its memory."""
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            for empty in forget:
+                empty()
+            give_back()
+    return whole
+
+
+def give_back() -> None:
+    """Free memory that Arrow and the C library keep for later goes back to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library: it keeps what it keeps
+
+
 def discard(*frames: DataFrame) -> None:
     """Deletes tables that ``stored`` wrote and nothing reads any more."""
     for df in frames:
