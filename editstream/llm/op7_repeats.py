@@ -35,7 +35,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import discard, read_table, slices, stored
+from .shared import discard, read_table, slices, stored, tidy
 
 LENGTH = 100
 ANCHOR = 32
@@ -71,6 +71,10 @@ class _Hash:
         return mixed((self.sums[end] - self.sums[start]) * self.inverse[start])
 
 
+def _forget() -> None:
+    _Hash.seeds.clear()
+
+
 def mixed(h):
     import numpy as np
 
@@ -206,8 +210,10 @@ def _narrower(size: int):
                     far = np.minimum(place * size + size - 1, distance[which])
                     near = np.maximum(place * size, (distance - n + 1)[which])
                     first, m = anchor - far, far - near + 1
-                    core = _Hash(1, part).of(anchor - place * size, anchor - place * size - size + 1 + LENGTH)
-                    ctx = core if size == 1 else _context(part, first, m, far)
+                    window = anchor - place * size, anchor - place * size - size + 1 + LENGTH
+                    core = _Hash(1, part).of(*window)
+                    # A window by itself has no context: a second hash of it makes up the 128 bits.
+                    ctx = _Hash(2, part).of(*window) if size == 1 else _context(part, first, m, far)
                     rows.append((np.full(len(first), ids[i]), core, ctx, _packed(first + start, far, m)))
             if rows:
                 yield _batch(*(np.concatenate(x) for x in zip(*rows)))
@@ -251,9 +257,9 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
 def repeated(texts: DataFrame) -> DataFrame:
     """texts: doc (long), text (binary), a row a document -> doc, spans: its
     repeated byte runs as sorted [start, end) pairs, maximal."""
-    common = stored(texts.mapInArrow(_anchors, "core long, n long").groupBy("core").agg(F.sum("n").alias("n"))
+    common = stored(texts.mapInArrow(tidy(_anchors, _forget), "core long, n long").groupBy("core").agg(F.sum("n").alias("n"))
                     .filter("n > 1").select("core"), "anchors")
-    rows = stored(texts.mapInArrow(_first_rows, ROW).join(common, "core", "left_semi"), "intervals")
+    rows = stored(texts.mapInArrow(tidy(_first_rows, _forget), ROW).join(common, "core", "left_semi"), "intervals")
     discard(common)
     repeats, done = [], []
     for size in (*SIZES, None):
@@ -263,7 +269,7 @@ def repeated(texts: DataFrame) -> DataFrame:
             discard(rows, *more)
             break
         marks = rest.groupBy("doc").agg(F.collect_list("at").alias("at"))
-        narrower = stored(texts.join(marks, "doc").select("doc", "text", "at").mapInArrow(_narrower(size), ROW), "intervals")
+        narrower = stored(texts.join(marks, "doc").select("doc", "text", "at").mapInArrow(tidy(_narrower(size), _forget), ROW), "intervals")
         discard(rows, *more)
         rows = narrower
     runs = repeats[0].union(repeats[1]).union(repeats[2]).select(
@@ -329,7 +335,7 @@ def removed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names], names=names)
 
-    out = found.mapInArrow(run, docs.schema)
+    out = found.mapInArrow(tidy(run), docs.schema)
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
 
 
@@ -353,7 +359,7 @@ def op7_sparse_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ("n_spans", pa.int64()), ("kept_sha256", pa.string())]))
 
     return _with_spans(keyed, ["doc_id", "text"], once).mapInArrow(
-        run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        tidy(run), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 OP7_SQL = """
