@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import fraction_key, read_table, slices, stored
+from .shared import fraction_key, read_table, slices, stored, tidy
 
 FIT_ROWS = 10_000
 """Bound of the training sample: the toxic and the other rows of smallest seeded hash, half each at most."""
@@ -228,10 +228,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         part = known.filter(F.col("toxic") == value).orderBy(order, "doc_id").limit(FIT_ROWS // 2)
         chosen = part if chosen is None else chosen.union(part)
     train = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        F.coalesce("text", F.lit("")).alias("text"), "toxic"), "train")
+        F.coalesce("text", F.lit("")).alias("text"), "toxic", F.md5(F.coalesce("text", F.lit(""))).alias("mark")), "train")
     words, beginnings = lexicon(train)
     seen = [(features(r["sums"]), r["toxic"]) for r in
-            read(train, words, beginnings, ["toxic"]).select("toxic", "sums").limit(4 * FIT_ROWS).collect()]
+            read(train, words, beginnings, ["toxic", "mark"]).orderBy("mark", "toxic").limit(4 * FIT_ROWS).select("toxic", "sums").collect()]
     toxic = sum(y for _, y in seen)
     if not 0 < toxic < len(seen):
         share = toxic / len(seen) if seen else 0.0
@@ -252,7 +252,7 @@ def read(docs: DataFrame, words: dict, beginnings: dict, keep: list[str]) -> Dat
 
     rows = docs.select(*keep, "text") if "text" not in keep else docs.select(*keep)
     schema = T.StructType([*[rows.schema[c] for c in keep], T.StructField("sums", T.ArrayType(T.DoubleType()))])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
