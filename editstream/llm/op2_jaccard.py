@@ -16,8 +16,9 @@ Jaccard similarity of their sets is ``threshold`` or more.
    cut, is written as blocks, which meet pair by pair dealt over the tasks.
 3. Components of these candidate links are groups. In a group every pair of
    sets is compared exactly, in blocks, so links the tries did not show are
-   found as well. A block pair returns a row for each linked set: its number
-   of links there and one set that they lead to.
+   found as well. Blocks are bounded in bytes: the longer its texts, the fewer
+   sets a block holds. A block pair returns a row for each linked set: its
+   number of links there and one set that they lead to.
 4. Components of the verified links are the classes.
 
 Only signatures are sorted, and only texts in a group are shuffled.
@@ -25,8 +26,9 @@ Only signatures are sorted, and only texts in a group are shuffled.
 Defined cases: a document without a word (null, empty, signs only) links with
 nothing and is a class of its own; rows with one id and different texts are
 separate documents, the class is named by the smallest id in it; repeated rows
-are copies that link to each other; null ids count as largest; an empty table
-gives no rows; other columns are not read.
+are copies that link to each other; null ids count as largest; a text of any
+length is one set (beyond 64 MB a block of its own); an empty table gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,10 +37,11 @@ import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .components import components
 from .op8_neardup import LINKS, link_rows
-from .shared import discard, ranked, read_table, slices, stored
+from .shared import discard, ranked, read_table, slices, stored, tidy
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -48,7 +51,8 @@ KEY_VALUES = 8
 SMALL = 16  # rows of a bucket that are compared step by step with all others
 BUCKET = 4096  # rows of a block of a larger bucket
 MARGIN = 0.25  # below the threshold by this, 64 values exclude a link (5 standard deviations)
-BLOCK = 2048
+BLOCK = 2048  # sets of a block, if their texts are short
+SHORT_TEXT = 32 << 10  # bytes; with each doubling beyond, a block holds half as many
 COLUMNS = 4096
 BATCH = 4 << 20
 DATA = ("ids", "copies", "edges", "vocabulary", "sets")
@@ -289,7 +293,7 @@ def candidate_links(sets: DataFrame, threshold: float, most: int = BUCKET) -> Da
     left = data.select("bucket", F.col("rank").alias("a"), "reps", "low", "labels")
     right = data.select("bucket", F.col("rank").alias("b"), *[F.col(c).alias(f"b_{c}") for c in ("reps", "low", "labels")])
     across = (pairs.repartition(cells, "bucket", "a").join(left.hint("merge"), ["bucket", "a"])
-              .repartition(cells, "bucket", "b", "a").join(right.hint("merge"), ["bucket", "b"]).mapInArrow(_met_blocks(need), "a long, b long"))
+              .repartition(cells, "bucket", "b").join(right.hint("merge"), ["bucket", "b"]).mapInArrow(_met_blocks(need), "a long, b long"))
     return found.filter("a IS NOT NULL").select("a", "b").union(across).distinct()
 
 
@@ -414,37 +418,57 @@ def _verify(threshold: float):
     return run
 
 
+def _texts_of(placed: DataFrame, rows: DataFrame) -> DataFrame:
+    """Members with the text of the row that stands for them: a row meets the
+    members of its id and text alone, so null and repeated ids multiply nothing."""
+    # Members grow with the corpus: never broadcast, small as they may be at first.
+    return rows.join(placed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("mark") == F.col("at_mark"))).select(
+        "group", "block", "blocks", "rep", "copies", "name", "text")
+
+
 def _classified(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """docs: doc_id, text[, row] -> doc_id, name[, row] of each document, and
     name, component, class_id, n_links of each set."""
     cells = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select("doc_id", "text")
-    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in docs.columns if c != "text")
-    described = stored(docs.mapInArrow(_describe, f"{kinds}, name binary, signature binary"), "described")
-    sets = stored(described.filter("name IS NOT NULL").groupBy("name").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.min("signature").alias("signature")), "sets")
+    mark = F.xxhash64("text").alias("mark")  # with the id it names a row's text; what it finds is verified
+    rows = docs.select("doc_id", "text", mark)
+    others = [c for c in docs.columns if c != "text"]
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in others)
+    described = stored(docs.select(*others, "text", mark, F.octet_length("text").alias("size")).mapInArrow(
+        tidy(_describe), f"{kinds}, mark long, size int, name binary, signature binary"), "described")
+    # Equal rows are counted before sets: of those of a set's text only rows of one id and text are fetched.
+    equal = described.filter("name IS NOT NULL").groupBy("name", "doc_id", "mark").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("signature").alias("signature"), F.min("size").alias("size"))
+    sets = stored(equal.groupBy("name").agg(
+        F.min("doc_id").alias("least"), F.sum("copies").alias("copies"), F.min("signature").alias("signature"),
+        F.min(F.struct("copies", F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark", "size")).alias("at")), "sets")
     sets = stored(sets.withColumn("rep", F.monotonically_increasing_id()), "sets")
 
     groups = components(candidate_links(sets.select("rep", "signature"), threshold))
-    members = sets.select("rep", "name", "least", "copies").join(
+    # Blocks are bounded in bytes: a set of a text of SHORT_TEXT * 2^k bytes is in a block of BLOCK / 2^k.
+    longest = BLOCK.bit_length() - 1
+    kind = F.least(F.lit(longest), F.greatest(F.lit(0), F.ceil(F.log2(F.col("at.size") / SHORT_TEXT)))).cast("int")
+    members = sets.select("rep", "name", "copies", F.col("at.doc_id").alias("at_id"), F.col("at.mark").alias("at_mark"), kind.alias("kind")).join(
         groups.select(F.col("node").alias("rep"), F.col("component").alias("group")), "rep")
     members = members.withColumn("_h", F.pmod(F.xxhash64("rep"), F.lit(1 << 20))).withColumn("_b", F.shiftright("_h", 8))
-    placed = stored(ranked(members, ["group"], "_b", [F.col("_h"), F.col("rep")]).select(
-        "rep", "name", "least", "copies", "group", F.floor(F.col("_rank") / BLOCK).alias("block"),
-        F.ceil(F.col("_total") / BLOCK).alias("blocks")), "members")
-    # Members grow with the corpus: never broadcast, small as they may be at first.
-    texts = rows.join(placed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("least"))).select(
-        "group", "block", "blocks", "rep", "copies", "name", "text")
-    blocks = stored(texts.repartition(cells, "group", "block").sortWithinPartitions("group", "block", "rep").mapInArrow(
-        _blocks, "group long, block long, blocks long, " + ", ".join(f"{c} binary" for c in DATA)), "blocks")
-
-    alone = blocks.filter("blocks = 1").mapInArrow(_verify(threshold), LINKS)
+    each = F.expr(f"shiftright({BLOCK}, kind)")
+    of_group = W.partitionBy("group")
+    kinds_of = members.groupBy("group", "kind").agg(F.ceil(F.count(F.lit(1)) / each).alias("n")).select(
+        "group", "kind", F.sum("n").over(of_group).alias("blocks"),
+        F.coalesce(F.sum("n").over(of_group.orderBy("kind").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    placed = stored(ranked(members, ["group", "kind"], "_b", [F.col("_h"), F.col("rep")]).join(kinds_of, ["group", "kind"]).select(
+        "rep", "name", "at_id", "at_mark", "copies", "group", "blocks", (F.col("first") + F.floor(F.col("_rank") / each)).alias("block")), "members")
+    blocks = stored(_texts_of(placed, rows).repartition(cells, "group", "block").sortWithinPartitions("group", "block", "rep").mapInArrow(
+        tidy(_blocks), "group long, block long, blocks long, " + ", ".join(f"{c} binary" for c in DATA)), "blocks")
+
+    alone = blocks.filter("blocks = 1").mapInArrow(tidy(_verify(threshold)), LINKS)
     several = blocks.filter("blocks > 1")
     pairs = several.select("group", F.col("block").alias("a"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("b"))
     left = several.select("group", F.col("block").alias("a"), *DATA)
     right = several.select("group", F.col("block").alias("b"), *[F.col(c).alias(f"b_{c}") for c in DATA])
+    # Dealt by the join's own keys, so that neither side is shuffled again.
     across = (pairs.repartition(cells, "group", "a").join(left, ["group", "a"])
-              .repartition(cells, "group", "b", "a").join(right, ["group", "b"]).mapInArrow(_verify(threshold), LINKS))
+              .repartition(cells, "group", "b").join(right, ["group", "b"]).mapInArrow(tidy(_verify(threshold)), LINKS))
     found = stored(alone.union(across), "links")
     discard(blocks, placed)
 

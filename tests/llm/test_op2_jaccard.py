@@ -1,6 +1,7 @@
 import random
 import re
 
+from editstream.llm import op2_jaccard
 from editstream.llm.op2_jaccard import (
     candidate_links, grown, met_across, near_duplicates, packed_sets, places, prefix_length, shared_counts, shingle_sets)
 
@@ -125,3 +126,54 @@ def test_forest_and_blocks_span_the_candidates():
     across = met_across(low[:90], one[1], low[90:], two[1], 35.2)
     assert roots([*one[0], *(two[0] + 90), *(across + [0, 90])]) == expect
     assert len(one[0]) + len(two[0]) + len(across) == 200 - len(set(expect))
+
+
+def near_copies(n, doc_id):
+    words = [f"w{i}" for i in range(60)]
+    return [(doc_id(i), " ".join([*words[:59], f"own{i}"])) for i in range(n)]
+
+
+def test_null_ids_multiply_nothing(spark, monkeypatch):
+    fetched, texts_of = [], op2_jaccard._texts_of
+
+    def counted(placed, rows):
+        out = texts_of(placed, rows)
+        fetched.append(out.count())
+        return out
+
+    monkeypatch.setattr(op2_jaccard, "_texts_of", counted)
+    rows = near_copies(300, lambda i: None if i % 3 else 5)
+    got = run(spark, rows)
+    assert fetched == [300] and len(got) == 300 and {r[1] for r in got} == {5} and {r[2] for r in got} == {299}
+
+
+def test_long_texts_are_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(op2_jaccard, "BLOCK", 16)
+    monkeypatch.setattr(op2_jaccard, "SHORT_TEXT", 40)
+    words = [f"v{i}" for i in range(400)]
+    rows = [(i, " ".join([*words[:20 * (1 + i % 18)], f"own{i}"])) for i in range(90)]
+    rows += [(100 + i, " ".join(words) + " " + " ".join(words) + f" x{i}") for i in range(3)] + [(200, "long " * 200_000)]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_recall_at_growing_sizes(spark):
+    """Pairs at the threshold meet in a trie, however many others there are."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(11)
+    multipliers = op2_jaccard._multipliers()
+    draw = lambda n: rng.integers(1, 1 << 63, n, np.int64).astype(np.uint64)
+    common = draw(300)
+    for size in (400, 1600, 6400):
+        rows, pairs = [], 300
+        for i in range(pairs):
+            own = np.concatenate([draw(60), rng.choice(common, 20, replace=False)])
+            for k in (0, 1):  # 80 of 100 shared: 0.8
+                rows.append((2 * i + k, bytearray(op2_jaccard.signature(np.unique(np.concatenate([own, draw(10)])), multipliers).tobytes())))
+        for i in range(2 * pairs, size):
+            other = np.unique(np.concatenate([draw(60), rng.choice(common, 40, replace=False)]))
+            rows.append((i, bytearray(op2_jaccard.signature(other, multipliers).tobytes())))
+        df = spark.createDataFrame(rows, "rep long, signature binary").repartition(4)
+        found = {tuple(r) for r in candidate_links(df, 0.8).select(F.least("a", "b"), F.greatest("a", "b")).collect()}
+        assert sum((2 * i, 2 * i + 1) in found for i in range(pairs)) >= 0.99 * pairs
