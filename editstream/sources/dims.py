@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.fixed_values import LANGUAGE_DIMENSION_CSV
 from ..schemas import DIM_COLUMNS, LANGUAGE_DIM
 
-# A broadcast side must stay below this many rows; above it the join shuffles.
-# For the 5-column dimension (short strings) that is about 20 MB per executor.
-MAX_BROADCAST_ROWS = 100_000
+# A broadcast side must stay below this many bytes; above it the join shuffles.
+MAX_BROADCAST_BYTES = 20 << 20
+ROW_BYTES = 64     # of a row beside its strings
 
 
 def dimension_rows() -> list[tuple]:
@@ -31,19 +31,24 @@ def language_dim(spark: SparkSession, path: str | None = None, fmt: str = "json"
     return df.select(*DIM_COLUMNS)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only for a side whose row count is proven below a bound.
+def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether a static side of strings is proven to stay below the bound: its
+    bytes are summed in one pass over it."""
+    if df.isStreaming:
+        return False
+    most = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    row = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in df.columns), F.lit(ROW_BYTES))
+    return (df.agg(F.sum(row.cast("long"))).first()[0] or 0) <= most
+
 
-    ``known_rows`` is an exact count the caller already has (the bundled
-    dimension); otherwise the check reads at most ``max_rows + 1`` rows of
-    the (static) side once. Above the bound the hint is withheld and Spark
-    shuffles both sides.
+def checked_broadcast(df: DataFrame, max_bytes: int | None = None, known_rows: int | None = None) -> DataFrame | None:
+    """``df`` with a broadcast hint, or None if it is not proven small enough.
+
+    ``known_rows``: the rows of the bundled dimension, whose size is fixed and
+    needs no pass.
     """
-    if df.isStreaming:
-        return df
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    small = known_rows is not None and known_rows <= len(dimension_rows())
+    return F.broadcast(df) if small or fits_broadcast(df, max_bytes) else None
 
 
 def bundled_dim_rows() -> int:

@@ -30,10 +30,43 @@ def test_dimension_from_shared_files(spark):
 
 def test_checked_broadcast_withholds_hint_above_bound(spark):
     d = dims.language_dim(spark)
-    small = dims.checked_broadcast(d, max_rows=100)
-    big = dims.checked_broadcast(d, max_rows=10)
-    e = spark.createDataFrame([("enwiki",)], "wiki string")
-    plan_small = e.join(small, "wiki", "left")._jdf.queryExecution().optimizedPlan().toString()
-    plan_big = e.join(big, "wiki", "left")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in plan_small.lower()
-    assert "broadcast" not in plan_big.lower()
+    assert "ResolvedHint (strategy=broadcast)" in dims.checked_broadcast(d, max_bytes=20_000)._jdf.queryExecution().analyzed().toString()
+    assert dims.checked_broadcast(d, max_bytes=1_000) is None
+    assert dims.checked_broadcast(d, max_bytes=0, known_rows=88) is not None      # the bundled one needs no pass
+    assert dims.checked_broadcast(d, max_bytes=0, known_rows=10_000) is None      # a count is no size
+    long = d.withColumn("region", F.repeat(F.lit("x"), 1_000_000))
+    assert dims.fits_broadcast(d) and not dims.fits_broadcast(long)               # few rows, many bytes
+    assert dims.fits_broadcast(d.limit(0), 0)
+
+
+def _hot_edits(spark):
+    return spark.range(6000).selectExpr("IF(id % 3 = 0, 'enwiki', concat('w', id % 50)) AS wiki", "id", "id AS ingestion_ts",
+                                        "'t' AS title", "'edit' AS type", "'u' AS user", "false AS bot", "id AS length_delta")
+
+
+def test_past_the_bound_a_hot_wiki_is_split(spark, monkeypatch):
+    from editstream.operators.enrich import SALTS, enrich
+
+    edits, dim = _hot_edits(spark), dims.language_dim(spark)
+    near = enrich(edits, dim)
+    monkeypatch.setattr(dims, "MAX_BROADCAST_BYTES", 0)
+    far = enrich(edits, dim)
+    plan = far._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "strategy=broadcast" not in plan
+    assert compare(far.toPandas(), near.toPandas())["ok"]
+    dealt = edits.filter("wiki = 'enwiki'").groupBy(F.pmod(F.xxhash64(*edits.columns), F.lit(SALTS))).count().collect()
+    assert len(dealt) == SALTS and max(r["count"] for r in dealt) < 2 * 2000 / SALTS
+
+
+def test_a_stream_past_the_bound(spark, monkeypatch):
+    from editstream.operators.enrich import enrich
+
+    monkeypatch.setattr(dims, "MAX_BROADCAST_BYTES", 0)
+    folder, edits = scratch_dir(spark, "salted"), _hot_edits(spark)
+    edits.write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(edits.schema).parquet(f"{folder}/in")
+    q = (enrich(stream, dims.language_dim(spark)).writeStream.format("parquet").option("path", f"{folder}/out")
+         .option("checkpointLocation", f"{folder}/c").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert q.exception() is None
+    assert compare(spark.read.parquet(f"{folder}/out").toPandas(), enrich(edits, dims.language_dim(spark)).toPandas())["ok"]
