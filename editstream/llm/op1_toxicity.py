@@ -5,23 +5,31 @@ training documents Spark counts in how many distinct places (neighbouring
 words, so that near copies count once), in toxic texts or not, each word and
 each word beginning occurs; entries of a high toxic share that passes a
 likelihood-ratio test (corrected for the number tried) get their log odds as
-weight, beginnings only if no clean text has one. Threats, targets, negations and words of reported speech are short
-fixed lists in the corpus's languages.
-
-Grammar. A clause (a stretch without ``. ! ? ; :`` or line end) is read token by
-token by five transducers that run composed, one pass, one state each:
-
-* insult: passes an entry's weight on;
-* threat: a threat word becomes a hit if a target follows within its reach;
-* target: a hit near a target word is aimed, and counts more;
-* negation: a hit within reach of a negation word is moved to "negated";
-* reported speech: after a word of saying, or inside quotes, a hit is "reported".
-
-Its output is a weight for each of plain, aimed, threat, negated and reported.
-Clauses without an entry give nothing, so isolated words of other lists never
-count. A document's sums go through a logistic curve fitted on the training
-sample (with a small penalty), so the score is a probability. Labels are read
-for fitting only; language, source and id never enter a score.
+weight, beginnings only if no clean text has one. Threats, targets, negations and words
+of reported speech are short fixed lists in the corpus's languages.
+
+Grammar. A clause (a stretch without ``. ! ? ; :`` or line end) becomes a string
+of symbols (insult, threat, target, negation, report, quote, other) that five
+transducers read in composition, each what the one before it writes. Their arcs
+are tables; the composed machine is the part of their product that texts reach.
+
+* negation: writes a hit within reach of a negation word as negated;
+* reported speech: after a word of saying, or inside quotes, a hit is reported;
+* target: a hit near a target is aimed: behind one by its state, before one by
+  a guess that a target within reach must confirm;
+* threat: a threat word is a hit only if a target follows within reach (a guess);
+* insult: writes the kind of what is left of a hit.
+
+A path whose guess is not confirmed is not accepted. A hit weighs its entry's
+weight times the factor of its kind (``FACTORS``: aimed more than plain, reported
+and negated less), and the accepted path of greatest weight is the clause's
+reading. Clauses without a hit give nothing, so words of the fixed lists never
+count alone. An insult that is aimed at nobody counts by its entry's weight: the
+corpora mark such texts (a test measures the recall without it).
+
+A document's weight goes through a logistic curve fitted on the training sample,
+which never falls, so a negated or reported clause scores below the plain one.
+Labels are read for fitting only; language, source and id never enter a score.
 
 An automaton finds clauses with an entry; only those are read by the grammar.
 Texts are scored whole, in tasks, without a shuffle.
@@ -29,7 +37,10 @@ Texts are scored whole, in tasks, without a shuffle.
 Defined cases: a null or empty text has no clause and gets the curve's score
 for none; without training labels of both kinds the lexicon is empty and the
 score is the toxic share seen (0 if none); repeated labels of an id count as
-toxic if one is; repeated rows are scored alike; an empty table gives no rows.
+toxic if one is; repeated rows are scored alike; a very long text is read clause
+by clause, whole; equal readings of a clause are settled by the order of the arcs;
+columns besides id and text are not read (kept ones travel along, whatever their
+names but ``score``, ``predicted`` and ``sums``); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,7 +57,6 @@ from .shared import fraction_key, read_table, slices, stored, tidy
 
 FIT_ROWS = 10_000
 """Bound of the training sample: the toxic and the other rows of smallest seeded hash, half each at most."""
-MAX_ENTRIES = 2_000
 PREFIXES = (4, 5, 6, 7)
 REACH = 4
 DOUBT = 3.0
@@ -62,6 +72,10 @@ NEGATIONS = ("not no never isn't aren't don't won't without nicht kein keine nie
 REPORTS = ("said says say wrote writes called calls quoted claims claimed sagte sagt schrieb nannte "
            "dit écrit appelé dijo dice escribió llamó").split()
 KINDS = ("plain", "aimed", "threat", "negated", "reported")
+FACTORS = (1.0, 1.5, 6.0, 0.1, 0.2)
+"""What a hit of each kind weighs; a threat's entry weight is 1."""
+INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, OTHER = "insult threat target negation report quote other".split()
+SYMBOLS = (INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, OTHER)
 
 _CLAUSE = re.compile(r"[.!?;:\n]+")
 _TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[\"“”„«»]")
@@ -73,6 +87,121 @@ class Model(NamedTuple):
     curve: list[float]
 
 
+class Machine(NamedTuple):
+    """A transducer: arcs of (state, symbol read) to (state, symbol written); several
+    arcs are guesses. A path that ends outside ``final`` is not accepted."""
+    start: object
+    arcs: dict[tuple, list[tuple]]
+    final: frozenset
+
+
+def negation_machine() -> Machine:
+    """State: tokens that a negation word still reaches."""
+    arcs = {}
+    for left in range(REACH + 1):
+        for s in SYMBOLS:
+            rest = left if s == QUOTE else REACH if s == NEGATION else max(left - 1, 0)
+            arcs[left, s] = [(rest, f"{s} negated" if rest and s in (INSULT, THREAT) else s)]
+    return Machine(0, arcs, frozenset(range(REACH + 1)))
+
+
+def reported_machine() -> Machine:
+    """State: a word of saying was read, a quotation is open."""
+    arcs, states = {}, [(said, quoted) for said in (False, True) for quoted in (False, True)]
+    for said, quoted in states:
+        for s in (*SYMBOLS, f"{INSULT} negated", f"{THREAT} negated"):
+            to = (said or s == REPORT, quoted != (s == QUOTE))
+            arcs[(said, quoted), s] = [(to, f"{s} reported" if any(to) and s in (INSULT, THREAT) else s)]
+    return Machine((False, False), arcs, frozenset(states))
+
+
+def _awaiting(due: int, symbol: str) -> int | None:
+    """Tokens left for a guessed target after ``symbol`` (0: none is due); None if it failed to come."""
+    if not due or symbol == QUOTE:
+        return due
+    return 0 if symbol == TARGET else due - 1 or None
+
+
+def _written() -> tuple[str, ...]:
+    return (*SYMBOLS, *(f"{s} {how}" for s in (INSULT, THREAT) for how in ("negated", "reported")))
+
+
+def target_machine() -> Machine:
+    """State: tokens that a target still reaches, tokens left for a target that was guessed."""
+    arcs = {}
+    for near in range(REACH + 1):
+        for due in range(REACH + 1):
+            for s in _written():
+                after = near if s == QUOTE else REACH if s == TARGET else max(near - 1, 0)
+                wait = _awaiting(due, s)
+                out = [] if wait is None else [((after, wait), f"{s} aimed" if s == INSULT and after else s)]
+                if s == INSULT and not after and wait is not None:
+                    out.append(((after, wait or REACH), f"{s} aimed"))  # who waits longest decides for all
+                arcs[(near, due), s] = out
+    return Machine((0, 0), arcs, frozenset((near, 0) for near in range(REACH + 1)))
+
+
+def threat_machine() -> Machine:
+    """State: tokens left for the target of a threat. A threat without one is any word."""
+    arcs = {}
+    for due in range(REACH + 1):
+        for s in (*_written(), f"{INSULT} aimed"):
+            wait = _awaiting(due, s)
+            plain = OTHER if s == THREAT else s
+            arcs[due, s] = [] if wait is None else [(wait, plain)]
+            if s == THREAT and wait is not None:
+                arcs[due, s].append((wait or REACH, "threat hit"))
+    return Machine(0, arcs, frozenset([0]))
+
+
+def insult_machine() -> Machine:
+    """One state; writes the kind of a hit, and nothing for what is none."""
+    kind = {INSULT: "plain", f"{INSULT} aimed": "aimed", "threat hit": "threat",
+            **{f"{s} {how}": how for s in (INSULT, THREAT) for how in ("negated", "reported")}}
+    return Machine(0, {(0, s): [(0, kind.get(s, ""))] for s in (*_written(), f"{INSULT} aimed", "threat hit")}, frozenset([0]))
+
+
+class Composed:
+    """Transducers in composition; arcs of the product are made when first met."""
+
+    def __init__(self, *machines: Machine):
+        self.machines = machines
+        self.start = tuple(m.start for m in machines)
+        self.made: dict[tuple, list[tuple]] = {}
+
+    def arcs(self, states: tuple, symbol: str) -> list[tuple]:
+        found = self.made.get((states, symbol))
+        if found is None:
+            paths = [((), symbol)]
+            for machine, state in zip(self.machines, states):
+                paths = [((*done, to), out) for done, read in paths for to, out in machine.arcs[state, read]]
+            found = self.made[states, symbol] = paths
+        return found
+
+    def accepts(self, states: tuple) -> bool:
+        return all(s in m.final for m, s in zip(self.machines, states))
+
+    def best(self, symbols: list[tuple[str, float]]) -> list[tuple[str, float]]:
+        """(kind, entry weight) of the hits on the accepted path of greatest weight."""
+        factor = dict(zip(KINDS, FACTORS))
+        live = {self.start: (0.0, None)}
+        for symbol, weight in symbols:
+            after = {}
+            for states, (total, hits) in live.items():
+                for to, kind in self.arcs(states, symbol):
+                    value = total + factor[kind] * weight if kind else total
+                    if to not in after or value > after[to][0]:
+                        after[to] = (value, (kind, weight, hits) if kind else hits)
+            live = after
+        # The path without guesses is always accepted.
+        _, hits = max((x for states, x in live.items() if self.accepts(states)), key=lambda x: x[0])
+        out = []
+        while hits:
+            kind, weight, hits = hits
+            out.append((kind, weight))
+        return out
+
+
 class Grammar:
     """The composed transducers over the clauses of a text."""
 
@@ -81,8 +210,9 @@ class Grammar:
 
         self.words, self.beginnings = words, beginnings
         self.lengths = sorted({len(b) for b in beginnings}, reverse=True)
-        self.threats, self.targets = frozenset(THREATS), frozenset(TARGETS)
-        self.negations, self.reports = frozenset(NEGATIONS), frozenset(REPORTS)
+        # Of a word in several lists the first holds.
+        self.symbols = {w: s for s, words in ((REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS), (THREAT, THREATS)) for w in words}
+        self.machine = Composed(negation_machine(), reported_machine(), target_machine(), threat_machine(), insult_machine())
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for w in {*words, *beginnings, *THREATS}:
             self.automaton.add_word(w)
@@ -99,36 +229,17 @@ class Grammar:
 
     def clause(self, text: str, sums: list[float]) -> None:
         """Adds the clause's output weights to ``sums``, in the order of KINDS."""
-        aim = negated = 0  # tokens that the target's and the negation's reach still has
-        reported = quoted = False
-        pending = []  # hits that a target behind them may still aim: [tokens left, weight, state]
-        hits = []
+        symbols = []
         for token in _TOKEN.findall(text):
             if not token[0].isalpha():
-                quoted = not quoted
-                continue
-            aim, negated = max(aim - 1, 0), max(negated - 1, 0)
-            for p in pending:
-                p[0] -= 1
-            if token in self.targets:
-                aim = REACH
-                for p in pending:
-                    if p[0] >= 0:
-                        p[2] = "threat" if p[2] == "threat?" else "aimed" if p[2] == "plain" else p[2]
-            if token in self.negations:
-                negated = REACH
-            if token in self.reports:
-                reported = True
-            state = "negated" if negated else "reported" if reported or quoted else ""
-            if w := self.weight(token):
-                pending.append(hit := [REACH, w, state or ("aimed" if aim else "plain")])
-                hits.append(hit)
-            elif token in self.threats:
-                pending.append(hit := [REACH, 1.0, state or "threat?"])
-                hits.append(hit)
-        for _, w, state in hits:
-            if state in KINDS:
-                sums[KINDS.index(state)] += w
+                symbols.append((QUOTE, 0.0))
+            elif w := self.weight(token):
+                symbols.append((INSULT, w))
+            else:
+                symbol = self.symbols.get(token, OTHER)
+                symbols.append((symbol, 1.0 if symbol == THREAT else 0.0))
+        for kind, w in self.machine.best(symbols):
+            sums[KINDS.index(kind)] += w
 
     def read(self, text: str) -> list[float]:
         sums = [0.0] * len(KINDS)
@@ -153,8 +264,8 @@ class Grammar:
 
 
 def features(sums: list[float]) -> list[float]:
-    """Sums grow with a text's length; their logarithm tells hardly more after the first."""
-    return [math.log1p(s) for s in sums]
+    """A text's weight; it grows with length, and its logarithm tells hardly more after the first."""
+    return [math.log1p(sum(f * s for f, s in zip(FACTORS, sums)))]
 
 
 def curve_score(curve: list[float], x: list[float]) -> float:
@@ -206,7 +317,7 @@ def lexicon(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     odds = F.log(share / (1 - share)) - math.log(base / (1 - base))
     pure = (share > SHARE) & (~F.col("entry").endswith("*") | (F.col("t") == F.col("n")))
     found = counts.filter(pure & (gain >= math.log(max(tried, 2)) + DOUBT)).select(
-        "entry", odds.alias("w"), gain.alias("gain")).orderBy(F.desc("gain"), "entry").limit(MAX_ENTRIES).collect()
+        "entry", odds.alias("w"), gain.alias("gain")).orderBy(F.desc("gain"), "entry").collect()  # words of the bounded sample
     weights = {r["entry"]: r["w"] for r in found}
     # A beginning stands for its words; of beginnings inside each other the shortest that holds.
     starts = {e[:-1]: w for e, w in weights.items() if e.endswith("*")}
@@ -235,8 +346,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     toxic = sum(y for _, y in seen)
     if not 0 < toxic < len(seen):
         share = toxic / len(seen) if seen else 0.0
-        return Model({}, {}, [math.log((share + 1e-6) / (1 - share + 1e-6)), *[0.0] * len(KINDS)])
-    return Model(words, beginnings, fit_curve([x for x, _ in seen], [y for _, y in seen]))
+        return Model({}, {}, [math.log((share + 1e-6) / (1 - share + 1e-6)), 0.0])
+    level, slope = fit_curve([x for x, _ in seen], [y for _, y in seen])
+    return Model(words, beginnings, [level, max(slope, 0.0)])
 
 
 def read(docs: DataFrame, words: dict, beginnings: dict, keep: list[str]) -> DataFrame:
@@ -257,9 +369,10 @@ def read(docs: DataFrame, words: dict, beginnings: dict, keep: list[str]) -> Dat
 
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """docs' columns ``keep``, score (0 to 1) and predicted (1 from 0.5 on)."""
-    z = F.lit(float(model.curve[0]))
-    for i, w in enumerate(model.curve[1:]):
-        z = z + F.lit(float(w)) * F.log1p(F.col("sums")[i])
+    weight = F.lit(0.0)
+    for i, f in enumerate(FACTORS):
+        weight = weight + F.lit(f) * F.col("sums")[i]
+    z = F.lit(float(model.curve[0])) + F.lit(float(model.curve[1])) * F.log1p(weight)
     z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))
     scored = read(docs, model.words, model.beginnings, keep).withColumn("score", 1 / (1 + F.exp(-z)))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).drop("sums")
