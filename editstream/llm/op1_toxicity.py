@@ -47,6 +47,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -181,25 +182,23 @@ class Composed:
     def accepts(self, states: tuple) -> bool:
         return all(s in m.final for m, s in zip(self.machines, states))
 
-    def best(self, symbols: list[tuple[str, float]]) -> list[tuple[str, float]]:
-        """(kind, entry weight) of the hits on the accepted path of greatest weight."""
-        factor = dict(zip(KINDS, FACTORS))
-        live = {self.start: (0.0, None)}
+    def best(self, symbols: Iterable[tuple[str, float]]) -> tuple[float, ...]:
+        """Entry weights by kind on the accepted path of greatest weight. What is held
+        is a state's best sums, however long the clause."""
+        live = {self.start: (0.0, (0.0,) * len(KINDS))}
         for symbol, weight in symbols:
             after = {}
-            for states, (total, hits) in live.items():
+            for states, (total, sums) in live.items():
                 for to, kind in self.arcs(states, symbol):
-                    value = total + factor[kind] * weight if kind else total
+                    value = total
+                    if kind:
+                        k = KINDS.index(kind)
+                        value += FACTORS[k] * weight
                     if to not in after or value > after[to][0]:
-                        after[to] = (value, (kind, weight, hits) if kind else hits)
+                        after[to] = (value, (*sums[:k], sums[k] + weight, *sums[k + 1:]) if kind else sums)
             live = after
         # The path without guesses is always accepted.
-        _, hits = max((x for states, x in live.items() if self.accepts(states)), key=lambda x: x[0])
-        out = []
-        while hits:
-            kind, weight, hits = hits
-            out.append((kind, weight))
-        return out
+        return max((x for states, x in live.items() if self.accepts(states)), key=lambda x: x[0])[1]
 
 
 class Grammar:
@@ -229,17 +228,17 @@ class Grammar:
 
     def clause(self, text: str, sums: list[float]) -> None:
         """Adds the clause's output weights to ``sums``, in the order of KINDS."""
-        symbols = []
-        for token in _TOKEN.findall(text):
-            if not token[0].isalpha():
-                symbols.append((QUOTE, 0.0))
-            elif w := self.weight(token):
-                symbols.append((INSULT, w))
-            else:
-                symbol = self.symbols.get(token, OTHER)
-                symbols.append((symbol, 1.0 if symbol == THREAT else 0.0))
-        for kind, w in self.machine.best(symbols):
-            sums[KINDS.index(kind)] += w
+        for i, w in enumerate(self.machine.best(map(self.symbol, _TOKEN.finditer(text)))):
+            sums[i] += w
+
+    def symbol(self, match: re.Match) -> tuple[str, float]:
+        token = match[0]
+        if not token[0].isalpha():
+            return QUOTE, 0.0
+        if w := self.weight(token):
+            return INSULT, w
+        symbol = self.symbols.get(token, OTHER)
+        return symbol, 1.0 if symbol == THREAT else 0.0
 
     def read(self, text: str) -> list[float]:
         sums = [0.0] * len(KINDS)
