@@ -7,27 +7,29 @@ into equal runs gives shards that all match the mixture. The law kept is
 ``rows``: shard counts differ by one at most. Rows of equal texts are separate
 rows (a group of copies may be larger than a shard).
 
-Both rankings are done in buckets (16^3 prefixes of the shuffle key a source,
-then 16384 slices of the fractional rank), so a source with most rows does not
-meet in one task. Only ids, sizes and checksums are shuffled, never texts.
+Both rankings deal rows to tasks by ranges of the whole order, with a row's number
+at its end, and add the counts of the tasks before (``numbered``). So neither a
+source with most rows nor an id or a row that stands in a third of them meets in
+one task. Only ids, sizes and checksums are shuffled, never texts.
 
 Defined cases: a null text counts as no bytes (size 8, checksum 0); a null
 source is a stratum of its own; a null id is ranked like any other value; rows
 that agree in id, size and checksum are interchangeable; an empty table gives
-no rows; columns besides the id, source and text are not read.
+no rows; very long texts count by their bytes and are not moved; columns besides
+the id, source and text are not read by the query, and ``interleave`` takes any
+names along but ``shard`` and ``slot``, which it writes anew.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from .shared import BUCKET_HEX, fraction_key, group_offsets, ranked, read_table, stored
+from ..operators.numbering import numbered
+from .shared import fraction_key, read_table, stored
 
 SHARDS = 24
 SEED = "interleave-1"
-SLICES = 16384
 
 
 def interleave(rows: DataFrame, shards: int = SHARDS, seed: str = SEED) -> DataFrame:
@@ -35,22 +37,17 @@ def interleave(rows: DataFrame, shards: int = SHARDS, seed: str = SEED) -> DataF
 
     ``shard`` is 0 to ``shards - 1``, ``slot`` the gapless place in it.
     """
+    rows = rows.drop("shard", "slot")
     extra = [c for c in rows.columns if c not in ("doc_id", "source")]
-    keyed = rows.select(
+    # Written, so that a row keeps its number when a task is run again.
+    keyed = stored(rows.select(
         *rows.columns,
         fraction_key(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("_h"),
-    ).withColumn("_b", F.substring("_h", 1, BUCKET_HEX))
-    order = [F.col("_h"), F.col("doc_id"), *[F.col(c) for c in extra]]
-    within = ranked(keyed, ["source"], "_b", order)
-    spread = stored(within.select(
-        *rows.columns, "_h",
-        ((2 * F.col("_rank") + 1) / (2.0 * F.col("_total"))).alias("_f"),
-    ).withColumn("_slice", F.floor(F.col("_f") * SLICES).cast("int")), "interleave")
-    # At most SLICES rows: small enough to broadcast whatever the input.
-    offsets = F.broadcast(group_offsets(spread, [], "_slice"))
-    inside = W.partitionBy("_slice").orderBy("_f", "_h", "source", "doc_id", *extra)
-    at = (F.row_number().over(inside) - 1 + F.col("_before")).alias("_at")
-    placed = spread.join(offsets, "_slice").select(*rows.columns, "_total", at)
+        F.monotonically_increasing_id().alias("_row")), "interleave")
+    ties = ["doc_id", *extra, "_row"]
+    within = numbered(keyed, ["source", "_h", *ties], {"_rank": ["source"]})
+    spread = within.withColumn("_f", (2 * F.col("_rank") + 1) / (2.0 * F.col("_rank_of"))).drop("_rank", "_rank_of")
+    placed = numbered(spread, ["_f", "_h", "source", *ties], {"_place": []}).withColumnsRenamed({"_place": "_at", "_place_of": "_total"})
     each = F.floor(F.col("_total") / shards)
     more = F.col("_total") - each * shards
     edge = more * (each + 1)

@@ -2,7 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from editstream.llm.op10_sharding import interleave
+from editstream.llm.op10_sharding import interleave, op10_stratified_interleave
 
 
 def place(spark, rows, shards=4):
@@ -38,3 +38,41 @@ def test_same_rows_any_partitioning(spark):
     a = {tuple(r) for r in interleave(df.repartition(1)).collect()}
     b = {tuple(r) for r in interleave(df.repartition(7)).collect()}
     assert a == b
+
+
+def largest_task(spark, run):
+    """Rows of the largest and of the mean file of each table that ``numbered`` wrote in ``run``."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from editstream.session import checkpoint_root
+
+    folder = f"{checkpoint_root(spark)}/editstream".removeprefix("file:")
+    before = set(glob.glob(f"{folder}/numbered-*"))
+    out = run()
+    for table in sorted(set(glob.glob(f"{folder}/numbered-*")) - before):
+        rows = [pq.read_metadata(f).num_rows for f in glob.glob(f"{table}/*.parquet")]
+        assert max(rows) <= 3 * sum(rows) / len(rows) and len(rows) > 2, rows
+    return out
+
+
+def test_one_null_id_in_a_third_of_the_rows(spark):
+    df = spark.range(30_000).selectExpr(
+        "if(id % 3 = 0, null, id) as doc_id", "if(id % 2 = 0, 'hot', 'cold') as source", "id as size", "7L as shard", "8L as slot")
+    out = largest_task(spark, lambda: interleave(df, 24).collect())
+    per = Counter(r["shard"] for r in out)
+    assert set(per.values()) == {1250} and set(per) == set(range(24))
+    assert Counter(r["doc_id"] is None for r in out)[True] == 10_000
+    same = spark.range(12_000).selectExpr("if(id % 3 = 0, id, null) as doc_id", "'s' as source", "1L as size")
+    out = largest_task(spark, lambda: interleave(same, 24).collect())
+    assert set(Counter(r["shard"] for r in out).values()) == {500}
+
+
+def test_query_on_odd_rows(spark, tmp_path):
+    rows = [(1, "a", "é" * 50_000, 9), (None, None, None, 9), (2, "a", "", 9), (2, "a", "", 9), (2, "a", "x", 9)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string, shard int").write.parquet(f"{tmp_path}/documents.parquet")
+    out = op10_stratified_interleave(spark, str(tmp_path)).collect()
+    assert sorted(r.size for r in out) == [8, 8, 8, 9, 100_008] and {r.law for r in out} == {"rows"}
+    assert [r.text_crc32 for r in out if r.doc_id is None] == [0]
+    assert sorted(r.shard for r in out) == [0, 1, 2, 3, 4] and {r.slot for r in out} == {0}
