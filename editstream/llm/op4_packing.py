@@ -10,8 +10,9 @@
    document gives way to the two unpacked documents that together fill the
    expanded gap more tightly, if there are such. The bin is repeated as often
    as the counts allow, so the plan's size depends on the number of lengths.
-4. Pieces of a length are ranked in buckets and the plan deals ranks to places
-   by a broadcast join (a few rows a length).
+4. Pieces of a length are numbered in seeded order, dealt to tasks by ranges of
+   length, order and row number (a hot length or id is cut among tasks), and the
+   plan deals numbers to places by a broadcast join (a few rows a length).
 
 Defined cases: a null or empty text is one piece holding the end id alone;
 repeated rows and ids are pieces of their own; a null id is kept; an empty
@@ -28,7 +29,8 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import BUCKET_HEX, fraction_key, ranked, read_table, slices, stored, tidy
+from ..operators.numbering import numbered
+from .shared import fraction_key, read_table, slices, stored, tidy
 
 CAPACITY = 2048
 END_ID = 0
@@ -228,16 +230,16 @@ def best_two_fit(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
 
 
 def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """rows: doc_id, piece, length and more -> + sequence_id, offset."""
+    """rows: doc_id, piece, length and more, of a written table -> + sequence_id, offset."""
     spark = rows.sparkSession
     kept = rows.columns
     # At most ``capacity`` rows reach the driver.
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = spark.createDataFrame(best_two_fit(counts, capacity), "length long, _from long, _to long, _first long, offset long")
     key = fraction_key(F.concat_ws(":", F.col("doc_id").cast("string"), F.col("piece").cast("string")))
-    keyed = rows.withColumn("_h", key).withColumn("_b", F.substring("_h", 1, BUCKET_HEX))
-    order = ["_h", *[c for c in kept if c not in ("length", "ids")]]
-    placed = ranked(keyed, ["length"], "_b", [F.col(c) for c in order]).alias("p").join(
+    order = ["length", "_h", *[c for c in kept if c not in ("length", "ids")], "_row"]
+    keyed = rows.withColumn("_h", key).withColumn("_row", F.monotonically_increasing_id())
+    placed = numbered(keyed, order, {"_rank": ["length"]}).alias("p").join(
         F.broadcast(plan).alias("q"),
         (F.col("p.length") == F.col("q.length")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
     return placed.select(*[F.col(f"p.{c}") for c in kept],

@@ -89,3 +89,16 @@ def test_hot_length(spark):
         total[r.sequence_id] += r.length
     assert len(out) == 5000 and max(total.values()) <= 64
     assert len(total) <= -(-sum(r.length for r in out) // 64) * 1.02
+
+
+def test_one_null_id_of_one_length_in_a_third_of_the_rows(spark, tmp_path):
+    from test_op10_sharding import largest_task
+
+    df = spark.range(12_000).selectExpr("if(id % 3 = 0, null, id) as doc_id", "0 as piece", "cast(if(id % 3 = 0, 7, id % 50 + 1) as long) as length")
+    df.write.parquet(f"{tmp_path}/rows")
+    out = largest_task(spark, lambda: pack(spark.read.parquet(f"{tmp_path}/rows"), 64).collect())
+    total = Counter()
+    for r in out:
+        total[r.sequence_id] += r.length
+    assert len(out) == 12_000 and max(total.values()) <= 64
+    assert len({(r.sequence_id, r.offset) for r in out}) == 12_000
