@@ -1,28 +1,31 @@
 r"""Surrogates for personal data (DataFrame and SQL functions only).
 
-1. One pattern finds emails, phone numbers, payment cards (with a valid check
-   digit), IP addresses, IBANs, US social security numbers, access keys,
-   assigned secrets and names behind a title. A match falls into parts: kept
+1. One pattern, run once over every text, finds emails, phone numbers (``+`` forms,
+   US local ones), payment cards (with a valid check digit), IP addresses of both
+   versions, IBANs, US social security numbers, access keys, assigned secrets and
+   names behind a title. A possessive's ``'s`` is kept and no part of a name. A match falls into parts: kept
    ones (``password=``, ``Mrs.``) and entities with a type and a canonical form
    (lower case, or digits without separators), so spellings of one entity
    corefer, in a text and across texts.
 2. Every distinct entity gets one surrogate: its characters are replaced class
    by class (digit, hex digit, upper and lower case, vowel and consonant of a
-   name, Latin or Cyrillic script) from a keyed hash. Cards keep a valid check
+   name, Latin, Cyrillic, Greek or Armenian script) from a keyed hash. Cards keep a valid check
    digit, addresses stay in range, given names end as their gender's names do;
    separators and letter case of each spelling are kept. The domain of an
    address is an entity of its own, so that users of one domain keep one.
 3. Collision checks: a surrogate that another entity of the type has, or that
    is itself an entity of the corpus, is drawn anew for all but the first, until
    none is left; distinct entities stay distinct.
-4. Only texts with a match are shuffled, one row a distinct text, and only their
-   distinct entities are joined with surrogates; others pass untouched.
+4. The documents and their matches are written once. Only texts with a match are
+   shuffled, one row a distinct text, and only their distinct entities are joined
+   with surrogates; others pass untouched.
 
 Defined cases: null and empty texts stay; entities of a form with few values
 get a longer surrogate after several collisions (addresses freer octets); matched digits that are no valid
 card stay; repeated rows get equal surrogates; ties of collisions go to the
-smaller canonical form; an empty table gives no rows; other columns are kept,
-whatever their names.
+smaller canonical form; very long texts and values go whole; a word after
+``token:`` and the like is a secret only with a digit or in quotes; an empty table
+gives no rows; other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,6 +41,7 @@ LONGER_FROM = 4  # rounds of collisions after which a form may get longer
 
 # Titles that come before names, by gender.
 MALE = "Mr|Sir|Herr|Monsieur|Señor|Sr|г-н|господин".split("|")
+OTHER_TITLES = "Dr|Prof|Professor".split("|")
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|г-жа|госпожа".split("|")
 
 # Possessive quantifiers (++) have no bound and need no stack. The second form of a domain ends before labels that are none.
@@ -46,20 +50,28 @@ _DOMAIN = (r"(?:(?:[A-Za-z0-9-]++\.(?=[A-Za-z]{2}|[A-Za-z0-9-]++\.))++[A-Za-z]{2
            r"|(?:[A-Za-z0-9-]++\.){1,127}[A-Za-z]{2,}+)")
 EMAIL = rf"(?<![A-Za-z0-9._%+-]){_MAILBOX}@{_DOMAIN}"
 # A value of 8 characters or more up to its last that is no dot; an address after the sign is an address.
-ASSIGNED = (r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,2}[=:]\s{0,2}[\"']?)"
+ASSIGNED = (r"(?i:\b(?:(?:password|passwd|pwd)\s{0,2}[=:]"
+            r"|(?:secret|token|api[_-]?key)\s{0,2}(?:=|:(?=\s{0,2}(?:[\"']|[A-Za-z+/_.=~-]*+\d))))\s{0,2}[\"']?)"
             rf"(?!{_MAILBOX}@{_DOMAIN})"
             r"(?=[A-Za-z0-9+/_.=~-]{7,}?[A-Za-z0-9+/_=~-])(?:\.*+[A-Za-z0-9+/_=~-]++)++")
 ACCESS_KEY = r"\bAKIA[0-9A-Z]{16}\b"
 PHONE = r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\w)"
+LOCAL_PHONE = r"(?<![\w+(.-])(?:\(\d{3}\) ?\d{3}-\d{4}|\d{3}(?:-\d{3}-|\.\d{3}\.)\d{4})(?![\w-]|\.\d)"
+_GROUP = "[0-9A-Fa-f]{1,4}"
+# Global, unique local and link-local addresses, whole or with one gap.
+IPV6 = (r"(?<![\w:.])(?:[23][0-9A-Fa-f]{3}|[fF][cCdDeE][0-9A-Fa-f]{2})"
+        rf"(?:(?::{_GROUP}){{7}}|(?::{_GROUP}){{0,5}}::(?:{_GROUP}(?::{_GROUP}){{0,5}})?)(?![\w:])")
 IP = r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d)"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
 CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"
-NAME = rf"(?<![\p{{L}}])(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}[\p{{L}}'’-]++(?: \p{{Lu}}[\p{{L}}'’-]++)?"
-PATTERN = "|".join([EMAIL, ASSIGNED, ACCESS_KEY, PHONE, IP, SSN, IBAN, CARD, NAME])
+NAME = rf"(?<![\p{{L}}])(?:{'|'.join(MALE + FEMALE + OTHER_TITLES)})\.? \p{{Lu}}[\p{{L}}'’-]++(?: \p{{Lu}}[\p{{L}}'’-]++)?"
+PATTERN = "|".join([EMAIL, ASSIGNED, ACCESS_KEY, PHONE, LOCAL_PHONE, IPV6, IP, SSN, IBAN, CARD, NAME])
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _VOWELS, _CONSONANTS = "aeiou", "bcdfghjklmnprstvwz"
+_GREEK_VOWELS, _GREEK_CONSONANTS = "αεηιου", "βγδζκλμνπρστφχ"
+_ARMENIAN_VOWELS, _ARMENIAN_CONSONANTS = "աեիոօ", "բգդզլկհմնպստրք"
 _CYR_VOWELS, _CYR_CONSONANTS = "аеиоу", "бвгдзклмнпрст"
 
 
@@ -87,8 +99,14 @@ def parts(match: Column) -> Column:
     value = F.regexp_extract(match, assigned, 2)
     name = r"^(\S+ )(\S+)(?:( )(\S+))?$"
     title, first, last = (F.regexp_extract(match, name, i) for i in (1, 2, 4))
-    given = F.when(F.regexp_replace(title, r"\.? $", "").isin(FEMALE), F.lit("given_f")).otherwise(F.lit("given_m"))
-    surname = lambda x: _part("surname", F.lower(x), x)
+    plain_title = F.regexp_replace(title, r"\.? $", "")
+    given = (F.when(plain_title.isin(FEMALE), F.lit("given_f")).when(plain_title.isin(OTHER_TITLES), F.lit("given_x"))
+             .otherwise(F.lit("given_m")))
+    own = r"['’][sS]?$"  # of a possessive
+
+    def surname(x):
+        bare = F.regexp_replace(x, own, "")
+        return [_part("surname", F.lower(bare), bare), _keep(F.regexp_extract(x, own, 0))]
     address, domain = F.substring_index(match, "@", 1), F.substring_index(match, "@", -1)
     return (
         F.when(match.rlike(f"^(?:{ASSIGNED})$"), F.array(
@@ -97,14 +115,15 @@ def parts(match: Column) -> Column:
             _part("mailbox", F.lower(address), address), _keep(F.lit("@")),
             _part("domain", F.lower(domain), domain)))
         .when(match.rlike(f"^(?:{ACCESS_KEY})$"), F.array(_part("access_key", match, match)))
-        .when(match.rlike(r"^\+"), F.array(_part("phone", digits, match)))
+        .when(match.rlike(rf"^(?:\+|{LOCAL_PHONE}$)"), F.array(_part("phone", digits, match)))
+        .when(match.rlike(f"^{IPV6}$"), F.array(_part("ipv6", lower, match)))
         .when(match.rlike(f"^(?:{IP})$"), F.array(_part("ip", match, match)))
         .when(match.rlike(f"^(?:{SSN})$"), F.array(_part("ssn", digits, match)))
         .when(match.rlike(r"^[A-Z]{2}\d{2}"), F.array(_part("iban", F.regexp_replace(match, " ", ""), match)))
         .when(match.rlike(r"^\d"), F.when(_valid_card(digits), F.array(_part("card", digits, match)))
               .otherwise(F.array(_keep(match))))
-        .when(F.length(last) > 0, F.array(_keep(title), _part(given, F.lower(first), first), _keep(F.lit(" ")), surname(last)))
-        .otherwise(F.array(_keep(title), surname(first))))
+        .when(F.length(last) > 0, F.array(_keep(title), _part(given, F.lower(first), first), _keep(F.lit(" ")), *surname(last)))
+        .otherwise(F.array(_keep(title), *surname(first))))
 
 
 def _hash(kind, canon, turn, key: str) -> Column:
@@ -122,20 +141,25 @@ def _surrogate(key: str) -> str:
     more = f"repeat(coalesce(nullif(right(regexp_replace(canon, '[^\\\\p{{L}}\\\\p{{N}}]', ''), 1), ''), 'x'), {longer})"
     padded = f"""CASE WHEN kind = 'ip' THEN canon WHEN kind = 'domain' THEN concat(repeat('x', {longer}), canon)
         WHEN kind IN ('phone', 'ssn', 'card') THEN concat(canon, repeat('0', {longer})) ELSE concat(canon, {more}) END"""
-    hexed = "(kind = 'secret' AND canon RLIKE '^[0-9a-f]+$')"
-    named = "kind IN ('surname', 'given_f', 'given_m')"
+    hexed = "((kind = 'secret' AND canon RLIKE '^[0-9a-f]+$') OR (kind = 'ipv6' AND c <> ':'))"
+    named = "kind IN ('surname', 'given_f', 'given_m', 'given_x')"
     by_class = f"""array_join(transform(split({padded}, ''), (c, i) -> CASE
         WHEN kind = 'access_key' AND i < 4 THEN c
         WHEN kind = 'domain' AND i >= length(canon) + {longer} - length(substring_index(canon, '.', -1)) - 1 THEN c
         WHEN kind = 'iban' AND i < 2 THEN c
         WHEN kind = 'phone' AND i = 0 THEN c
+        WHEN kind = 'ipv6' AND i < 4 THEN c
         WHEN {hexed} THEN {pick('0123456789abcdef')}
         WHEN kind IN ('phone', 'card') AND i IN (0, 1, 4) AND c RLIKE '[0-9]' THEN CASE WHEN kind = 'card' AND i = 0 THEN c ELSE {pick('23456789')} END
         WHEN c RLIKE '[0-9]' THEN {pick('0123456789')}
         WHEN {named} AND c RLIKE '[aeiouyäöüáéíóúàèâêîôû]' THEN {pick(_VOWELS)}
         WHEN {named} AND c RLIKE '[a-zß-ÿ]' THEN {pick(_CONSONANTS)}
-        WHEN c RLIKE '[аеёиоуыэюя]' THEN {pick(_CYR_VOWELS)}
-        WHEN c RLIKE '[а-я]' THEN {pick(_CYR_CONSONANTS)}
+        WHEN c RLIKE '[аеёиоуыэюяєіїѣў]' THEN {pick(_CYR_VOWELS)}
+        WHEN c RLIKE '[а-яѐ-ӿ]' THEN {pick(_CYR_CONSONANTS)}
+        WHEN c RLIKE '[αεηιουωάέήίόύώϊϋΐΰ]' THEN {pick(_GREEK_VOWELS)}
+        WHEN c RLIKE '[ά-ώ]' THEN {pick(_GREEK_CONSONANTS)}
+        WHEN c RLIKE '[աեէըիոօւ]' THEN {pick(_ARMENIAN_VOWELS)}
+        WHEN c RLIKE '[ա-և]' THEN {pick(_ARMENIAN_CONSONANTS)}
         WHEN c RLIKE '[a-z]' THEN {pick(_LOW)}
         WHEN c RLIKE '[A-Z]' THEN {pick(_UP)}
         WHEN c RLIKE '\\\\p{{L}}' THEN {pick(_LOW)}
@@ -149,8 +173,8 @@ def _surrogate(key: str) -> str:
     body = f"left({by_class}, length(canon) + {longer} - 1)"
     doubled = "aggregate(transform(split(reverse(body), ''), (c, i) -> CASE WHEN i % 2 = 1 THEN CAST(c AS INT) ELSE CAST(c AS INT) * 2 - CASE WHEN CAST(c AS INT) > 4 THEN 9 ELSE 0 END END), 0, (a, x) -> a + x)"
     card = f"element_at(transform(array({body}), body -> concat(body, CAST((10 - {doubled} % 10) % 10 AS STRING))), 1)"
-    vowel_end = f"concat(left({by_class}, length({padded}) - 1), CASE WHEN canon RLIKE '[а-яё]' THEN 'а' ELSE 'a' END)"
-    other_end = f"concat(left({by_class}, length({padded}) - 1), CASE WHEN canon RLIKE '[а-яё]' THEN 'н' ELSE 'n' END)"
+    vowel_end = f"concat(left({by_class}, length({padded}) - 1), CASE WHEN canon RLIKE '[а-яѐ-ӿ]' THEN 'а' WHEN canon RLIKE '[ά-ώ]' THEN 'α' WHEN canon RLIKE '[ա-և]' THEN 'ա' ELSE 'a' END)"
+    other_end = f"concat(left({by_class}, length({padded}) - 1), CASE WHEN canon RLIKE '[а-яѐ-ӿ]' THEN 'н' WHEN canon RLIKE '[ά-ώ]' THEN 'ς' WHEN canon RLIKE '[ա-և]' THEN 'ն' ELSE 'n' END)"
     return f"""CASE kind WHEN 'ip' THEN {octets} WHEN 'card' THEN {card}
         WHEN 'given_f' THEN {vowel_end} WHEN 'given_m' THEN {other_end} ELSE {by_class} END"""
 
@@ -163,8 +187,9 @@ _IN_FORM = r"""CASE
   WHEN kind = 'iban' THEN aggregate(split(surface, ''), named_struct('out', '', 'i', 1),
     (a, c) -> CASE WHEN c <> ' ' THEN named_struct('out', concat(a.out, substring(s, a.i, 1)), 'i', a.i + 1)
       ELSE named_struct('out', concat(a.out, c), 'i', a.i) END, a -> concat(a.out, substring(s, a.i)))
-  WHEN kind IN ('mailbox', 'domain', 'surname', 'given_f', 'given_m') THEN array_join(transform(split(s, ''),
+  WHEN kind IN ('mailbox', 'domain', 'surname', 'given_f', 'given_m', 'given_x') THEN array_join(transform(split(s, ''),
     (c, i) -> CASE WHEN substring(surface, i + 1, 1) <> lower(substring(surface, i + 1, 1)) THEN upper(c) ELSE c END), '')
+  WHEN kind = 'ipv6' AND surface RLIKE '[A-F]' THEN upper(s)
   ELSE s END"""
 
 
@@ -188,9 +213,13 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
 def replace_entities(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
     """docs with surrogates in ``text_col``; all columns and rows kept."""
     text = F.col(text_col)
-    found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    # The one search of all texts; what follows reads its matches.
+    marked = stored(docs.select(F.struct(*docs.columns).alias("_d"),
+                                F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)).alias("m")), "marked")
+    whole = F.col("_d")[text_col]
     # A text is known by its hash: copies are resolved once.
-    texts = docs.filter(text.rlike(PATTERN)).select(F.sha2(text.cast("binary"), 256).alias("_text"), found.alias("m")).dropDuplicates(["_text"])
+    found = marked.filter(F.size("m") > 0).withColumn("_text", F.sha2(whole.cast("binary"), 256))
+    texts = found.select("_text", "m").dropDuplicates(["_text"])
     spread = stored(texts.select("_text", F.posexplode("m").alias("i", "match")).select(
         "_text", "i", F.posexplode(parts(F.col("match"))).alias("j", "p")).select("_text", "i", "j", "p.*"), "entities")
     named = surrogates(spread.filter("kind <> ''").select("kind", "canon").distinct(), key)
@@ -198,13 +227,11 @@ def replace_entities(docs: DataFrame, key: str = KEY, text_col: str = "text") ->
     kept = spread.filter("kind = ''").select("_text", "i", "j", F.col("surface").alias("s"))
     by_text = entities.union(kept).groupBy("_text").agg(F.collect_list(F.struct("i", "j", "s")).alias("_s"))
     by_text = stored(by_text, "replacements")
-    whole = F.col("_d")[text_col]
     between = F.transform(F.split(whole, PATTERN, -1), lambda x, i: F.struct(i.alias("i"), F.lit(-1).alias("j"), x.alias("s")))
     rebuilt = F.array_join(F.transform(F.sort_array(F.concat(between, F.col("_s"))), lambda x: x["s"]), "")
-    keyed = docs.filter(text.rlike(PATTERN)).select(F.struct(*docs.columns).alias("_d"), F.sha2(text.cast("binary"), 256).alias("_text"))
-    changed = keyed.join(by_text, "_text").select(
+    changed = found.join(by_text, "_text").select(
         *[(rebuilt if c == text_col else F.col("_d")[c]).alias(c) for c in docs.columns])
-    untouched = docs.filter(~F.coalesce(text.rlike(PATTERN), F.lit(False)))
+    untouched = marked.filter(F.coalesce(F.size("m"), F.lit(0)) <= 0).select("_d.*")
     return untouched.unionByName(changed)
 
 

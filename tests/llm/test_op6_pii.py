@@ -111,3 +111,31 @@ def test_longer_forms_of_every_kind(spark):
     for r in df.withColumn("out", F.expr(_IN_FORM)).collect():
         assert re.fullmatch(r.form, r.out), r
         assert r.kind != "card" or luhn(r.out)
+
+
+def test_scripts_possessives_titles_and_addresses(spark):
+    rows = [(1, "Mr. Παπαδόπουλος and Mrs. Ελένη Παπαδόπουλος"), (2, "Mr. Սարգսյան, г-н Їжакевич"),
+            (3, "Mr Smith's dog, Mr. Smith, Mrs. Jane Smith’s cat and the Smiths"), (4, "Dr. Ada Smith, Prof. Smith"),
+            (5, "call (555) 123-4567 or 555-123-4567 or 555.123.4567."), (6, "at 2001:db8::ff00:42:8329, FE80:0:0:0:1:2:3:4 or 2001:DB8::FF00:42:8329!"),
+            (7, "password: hunterhunter, token: abcd1234efgh, secret: \"whateverelse\"")]
+    got = {r.doc_id: r.text for r in run(spark, [(*r, "x") for r in rows]).collect()}
+    m = re.fullmatch(r"Mr\. ([Α-Ω][α-ως]{11}) and Mrs\. ([Α-Ω][α-ω]{3}α) ([Α-Ω][α-ως]{11})", got[1])
+    assert m and m[1] == m[3] and "Παπαδόπ" not in got[1]
+    assert re.fullmatch(r"Mr\. [Ա-Ֆ][ա-և]{7}, г-н [А-Я][а-я]{7}", got[2])
+    m = re.fullmatch(r"Mr (\w{5})'s dog, Mr\. (\w{5}), Mrs\. (\w{3}a) (\w{5})’s cat and the Smiths", got[3])
+    assert m and m[1] == m[2] == m[4] != "Smith"
+    n = re.fullmatch(r"Dr\. (\w{3}) (\w{5}), Prof\. (\w{5})", got[4])
+    assert n and n[2] == n[3] == m[1] and n[1] != "Ada"
+    m = re.fullmatch(r"call \((\d{3})\) (\d{3})-(\d{4}) or (\d{3})-(\d{3})-(\d{4}) or (\d{3})\.(\d{3})\.(\d{4})\.", got[5])
+    assert m and m.groups()[:3] == m.groups()[3:6] == m.groups()[6:] != ("555", "123", "4567")
+    m = re.fullmatch(r"at (2001:[0-9a-f]{3}::[0-9a-f]{4}:[0-9a-f]{2}:[0-9a-f]{4}), (FE80(?::[0-9A-F]){7}) or (2001:[0-9A-F]{3}::[0-9A-F:]{12})!", got[6])
+    assert m and m[1] == m[3].lower() != "2001:db8::ff00:42:8329"
+    assert re.fullmatch(r'password: [a-z]{12}, token: [a-z]{4}\d{4}[a-z]{4}, secret: "[a-z]{12}"', got[7])
+    assert not re.search("hunter|abcd1234|whatever", got[7])
+
+
+def test_what_is_no_personal_data_stays(spark):
+    texts = ["token: required for login", "the secret: whatever", "std::abs(a::b) and abc::def at 12:30:45", "v 1.2.3, 555-1234, 2024-05-06",
+             "order 123-456-78901 of 1999-2000", "Dr. who?", "a ratio of 2001:2002, f::x", "api_key: optional"]
+    got = run(spark, [(i, t, "x") for i, t in enumerate(texts)]).collect()
+    assert {r.doc_id: r.text for r in got} == dict(enumerate(texts))
