@@ -7,15 +7,24 @@ distance ``eps``. Equal vectors are counted once and stand for their copies.
    of outer products: dim^2 numbers, all that the driver sees) and sorted by
    the grid cell, of side eps, of the leading directions, then by the
    coordinates, so that one full cell still splits over tasks.
-2. The sequence is cut into blocks; an interval of blocks has the box of its
-   vectors' leading coordinates and of the length left in the other directions.
-   Pairs of intervals are split into pairs of their parts, level by level; a
-   pair whose boxes are more than eps apart is dropped: no rotation changes
-   distances, so such vectors cannot link.
-3. Pairs of blocks are compared in double precision, in parts with boxes of
-   their own. Each returns every linked vector's number of links and one
+2. The sequence is cut into blocks, and these into groups of consecutive blocks
+   that a task can hold. An interval has the box of its vectors' leading
+   coordinates and of the length left in the other directions. Pairs of
+   intervals are split into pairs of their parts, level by level down to
+   groups; a pair whose boxes are more than eps apart is dropped: no rotation
+   changes distances, so such vectors cannot link.
+3. A pair of groups is a cell. A block goes once to each cell of its group, but
+   to none whose other group's box is more than eps from the block's own. A
+   task holds a cell's first group and streams the second past it, so what is
+   shuffled is the blocks times the groups near them, not a block a pair.
+4. Blocks are compared in double precision, in parts with boxes of their own.
+   Each comparison returns every linked vector's number of links and one
    vector that its links lead to: a row a vector, however dense they are.
-4. Components come from these rows; copies take what stands for them.
+5. Components come from these rows; copies take what stands for them.
+
+Where the leading directions hold little of the spread (even data in many
+dimensions), no box proves anything and all groups meet; that is the join's
+nature and not bounded by dropping pairs.
 
 Defined cases: vectors that are null, zero, empty, or hold null or non-finite
 components link with nothing and are their own component; different dimensions
@@ -38,6 +47,10 @@ from .vectors import matrices, usable
 COSINE = 0.9
 LEADING = 8
 BLOCK = 1024
+BLOCK_BYTES = 4 << 20
+"""Vectors of a block, and bytes of them in doubles (one vector at least)."""
+GROUP_BYTES = 32 << 20
+"""Bytes in doubles of a cell's first group; a task holds up to twice that."""
 PART = 128
 FAN = 8
 SLACK = 1e-9
@@ -106,16 +119,17 @@ def _sequence(reps: DataFrame, basis: dict, eps: float) -> DataFrame:
     return reps.mapInArrow(run, "rep long, copies long, v array<double>, dim int, cell array<int>, x array<double>")
 
 
-def _blocks(sequence: DataFrame) -> DataFrame:
-    """Blocks of consecutive rows: part, n, dim, ids, copies, m, low, high."""
+def _blocks(sequence: DataFrame, narrow: bool) -> DataFrame:
+    """Blocks of consecutive rows: block (its number), dim, n, ids, copies, m,
+    parts (boxes of PART rows each), low, high. ``narrow``: the vectors are floats."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, n = TaskContext.get().partitionId(), 0
-        schema = pa.schema([("part", pa.int32()), ("n", pa.int64()), ("dim", pa.int32()), ("ids", pa.binary()),
-                            ("copies", pa.binary()), ("m", pa.binary()), ("x", pa.binary()),
+        part, at = TaskContext.get().partitionId(), 0
+        schema = pa.schema([("part", pa.int32()), ("at", pa.int64()), ("dim", pa.int32()), ("n", pa.int64()), ("ids", pa.binary()),
+                            ("copies", pa.binary()), ("m", pa.binary()), ("parts", pa.binary()),
                             ("low", pa.list_(pa.float64())), ("high", pa.list_(pa.float64()))])
         for batch in batches:
             ids = batch.column("rep").to_numpy()
@@ -123,18 +137,23 @@ def _blocks(sequence: DataFrame) -> DataFrame:
             x = batch.column("x").flatten().to_numpy().reshape(-1, LEADING + 1)
             out = []
             for rows, m in matrices(batch, "v", BLOCK):
-                out.append({"part": part, "n": n, "dim": m.shape[1], "ids": ids[rows].tobytes(),
-                            "copies": copies[rows].tobytes(), "m": _unit(m).tobytes(), "x": x[rows].tobytes(),
-                            "low": x[rows].min(0).tolist(), "high": x[rows].max(0).tolist()})
-                n += 1
+                step = max(1, BLOCK_BYTES // (8 * m.shape[1]))
+                for i in range(0, len(rows), step):
+                    mine = rows[i:i + step]
+                    edges = np.arange(0, len(mine), PART)
+                    low, high = np.minimum.reduceat(x[mine], edges), np.maximum.reduceat(x[mine], edges)
+                    vectors = m[i:i + step].astype(np.float32) if narrow else m[i:i + step]
+                    out.append({"part": part, "at": at, "dim": m.shape[1], "n": len(mine), "ids": ids[mine].tobytes(),
+                                "copies": copies[mine].tobytes(), "m": vectors.tobytes(),
+                                "parts": np.stack([low, high]).tobytes(), "low": low.min(0).tolist(), "high": high.max(0).tolist()})
+                    at += 1
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema)
 
-    cut = stored(sequence.mapInArrow(run, "part int, n long, dim int, ids binary, copies binary, m binary, x binary, "
+    cut = stored(sequence.mapInArrow(run, "part int, at long, dim int, n long, ids binary, copies binary, m binary, parts binary, "
                                           "low array<double>, high array<double>"), "blocks")
     offsets = group_offsets(cut.select("part"), [], "part")
-    return stored(cut.join(offsets, "part").withColumn("block", F.col("_before") + F.col("n"))
-                  .drop("part", "n", "_before", "_total"), "sequence")
+    return cut.join(offsets, "part").withColumn("block", F.col("_before") + F.col("at")).drop("part", "at", "_before", "_total")
 
 
 def _near(eps: float):
@@ -145,28 +164,46 @@ def _near(eps: float):
     return (square(gap) + square(other) <= (eps + SLACK) ** 2) & (F.col("a.dims")[0] <= F.col("b.dims")[1]) & (F.col("b.dims")[0] <= F.col("a.dims")[1])
 
 
-def _block_pairs(blocks: DataFrame, eps: float) -> DataFrame:
-    """Pairs a <= b of blocks that the boxes do not keep apart."""
-    box = blocks.select("block", F.array("dim", "dim").alias("dims"), "low", "high")
-    count = box.count()
+def _boxes(rows: DataFrame, at) -> DataFrame:
+    """at, dims, low, high: the box around the boxes of each interval."""
+    edge = lambda f, c: F.array(*[f(F.col(c)[i]) for i in range(LEADING + 1)]).alias(c)
+    return rows.groupBy(at.alias("at")).agg(F.array(F.min(F.col("dims")[0]), F.max(F.col("dims")[1])).alias("dims"),
+                                            edge(F.min, "low"), edge(F.max, "high"))
+
+
+def _group_pairs(boxes: DataFrame, eps: float) -> DataFrame:
+    """Pairs a <= b of groups (boxes: at, dims, low, high) that the boxes do not keep apart."""
+    count = boxes.count()
     levels = max(1, math.ceil(math.log(max(count, 2), FAN) - 1e-9))
-    pairs = blocks.sparkSession.createDataFrame([(0, 0)], "a long, b long")
+    pairs = boxes.sparkSession.createDataFrame([(0, 0)], "a long, b long")
     for level in range(levels - 1, -1, -1):
-        size = FAN ** level
-        at = F.floor(F.col("block") / size).cast("long").alias("at")
-        edge = lambda f, c: F.array(*[f(F.col(c)[i]) for i in range(LEADING + 1)]).alias(c)
-        boxes = box.groupBy(at).agg(F.array(F.min(F.col("dims")[0]), F.max(F.col("dims")[1])).alias("dims"),
-                                    edge(F.min, "low"), edge(F.max, "high"))
+        wider = _boxes(boxes, F.floor(F.col("at") / FAN ** level).cast("long")) if level else boxes
         inside = F.sequence(F.lit(0), F.lit(FAN - 1))
         split = (pairs.withColumn("_i", F.explode(inside)).withColumn("_j", F.explode(inside))
                  .select((F.col("a") * FAN + F.col("_i")).alias("a"), (F.col("b") * FAN + F.col("_j")).alias("b"))
                  .filter(F.col("a") <= F.col("b")))
-        pairs = (split.alias("p").join(boxes.alias("a"), F.col("p.a") == F.col("a.at"))
-                 .join(boxes.alias("b"), F.col("p.b") == F.col("b.at")).filter(_near(eps)).select("p.a", "p.b"))
+        pairs = (split.alias("p").join(wider.alias("a"), F.col("p.a") == F.col("a.at"))
+                 .join(wider.alias("b"), F.col("p.b") == F.col("b.at")).filter(_near(eps)).select("p.a", "p.b"))
         pairs = stored(pairs, "pairs")
     return pairs
 
 
+def _cells(blocks: DataFrame, eps: float, cells: int) -> DataFrame:
+    """Blocks beside the cells (a, b) they go to; side 0 is held, side 1 streams past."""
+    blocks = blocks.withColumn("dims", F.array("dim", "dim"))
+    most = blocks.agg(F.count(F.lit(1)).alias("n"), F.max(F.col("n") * F.col("dim") * 8).alias("bytes")).first()
+    # As many groups as give each task some cells; more where a task could not hold one.
+    size = max(1, min(GROUP_BYTES // max(most["bytes"] or 1, 1), most["n"] // math.ceil(2 * math.sqrt(cells))))
+    blocks = stored(blocks.withColumn("group", F.floor(F.col("block") / size).cast("long")), "sequence")
+    boxes = stored(_boxes(blocks, F.col("group")), "boxes")
+    pairs = _group_pairs(boxes, eps)
+    sides = pairs.select(F.col("a").alias("own"), F.col("b").alias("other"), "a", "b", F.lit(0).alias("side")).union(
+        pairs.filter("a < b").select("b", "a", "a", "b", F.lit(1)))
+    sides = sides.join(boxes, F.col("other") == F.col("at"))
+    return (blocks.alias("a").join(sides.alias("b"), F.col("a.group") == F.col("b.own")).filter(_near(eps))
+            .select("b.a", "b.b", "side", "block", "dim", "ids", "copies", "m", "parts"))
+
+
 def joint(mask, left, right, same: bool):
     """For rows and columns with a link: an id that all that the links connect share."""
     import numpy as np
@@ -202,42 +239,73 @@ def link_rows(mask, ids, other, copies, other_copies, same: bool):
 LINKS = "rep long, links long, root long"
 
 
-def _linked(a, b, cosine: float):
-    """Pairs of rows with the cosine or more; pairs near the edge are summed anew, exactly."""
+def _cosine(x, y) -> float:
+    """From the vectors as they came, each sum rounded once; powers of two keep it in range."""
+    import numpy as np
+
+    x, y = (np.ldexp(v.astype(np.float64), -int(np.frexp(np.abs(v).max())[1])) for v in (x, y))
+    return math.fsum(x * y) / math.sqrt(math.fsum(x * x) * math.fsum(y * y))
+
+
+def _linked(a, b, raw, raw_b, cosine: float):
+    """Pairs of rows with the cosine or more; pairs near the edge are computed anew."""
     import numpy as np
 
     c = a @ b.T
     mask = c >= cosine
     for i, j in np.argwhere(np.abs(c - cosine) < 1e-12):
-        mask[i, j] = math.fsum(a[i] * b[j]) >= cosine
+        mask[i, j] = _cosine(raw[i], raw_b[j]) >= cosine
     return mask
 
 
-def _compare(cosine: float, eps: float):
+def _block(row: dict, kind) -> dict:
+    import numpy as np
+
+    low, high = np.frombuffer(row["parts"], np.float64).reshape(2, -1, LEADING + 1)
+    raw = np.frombuffer(row["m"], kind).reshape(-1, row["dim"])
+    return {"dim": row["dim"], "ids": np.frombuffer(row["ids"], np.int64), "copies": np.frombuffer(row["copies"], np.int64),
+            "raw": raw, "m": _unit(raw.astype(np.float64)), "low": low, "high": high}
+
+
+def _pair(a: dict, b: dict, cosine: float, eps: float, size: int):
+    """Which rows of a and b link; parts whose boxes are apart are not compared (parts of ``size`` rows)."""
+    import numpy as np
+
+    mask = np.zeros((len(a["ids"]), len(b["ids"])), bool)
+    for p in range(len(a["low"])):
+        gap = np.maximum(a["low"][p] - b["high"], 0) + np.maximum(b["low"] - a["high"][p], 0)
+        near = (gap * gap).sum(1) <= (eps + SLACK) ** 2
+        rows = slice(p * size, (p + 1) * size)
+        # Neighbouring parts go in one product.
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], near, [0]))))
+        for start, end in edges.reshape(-1, 2) * size:
+            mask[rows, start:end] = _linked(a["m"][rows], b["m"][start:end], a["raw"][rows], b["raw"][start:end], cosine)
+    return mask
+
+
+def _compare(cosine: float, eps: float, narrow: bool):
     def run(batches):
         import numpy as np
 
-        def spread(x):
-            edges = np.arange(0, len(x), PART)
-            return np.minimum.reduceat(x, edges), np.maximum.reduceat(x, edges)
-
+        cell, held = None, []
         for batch in batches:
             for i in range(batch.num_rows):
-                get = lambda c, t: np.frombuffer(batch.column(c)[i].as_py(), t)
-                own = batch.column("a")[i].as_py() == batch.column("b")[i].as_py()
-                ids, other = get("ids", np.int64), get("b_ids", np.int64)
-                a = get("m", np.float64).reshape(len(ids), -1)
-                b = get("b_m", np.float64).reshape(len(other), -1)
-                (low, high), (b_low, b_high) = (spread(get(c, np.float64).reshape(len(n), -1)) for c, n in (("x", ids), ("b_x", other)))
-                mask = np.zeros((len(ids), len(other)), bool)
-                for p in range(len(low)):
-                    gap = np.maximum(low[p] - b_high, 0) + np.maximum(b_low - high[p], 0)
-                    rows = slice(p * PART, (p + 1) * PART)
-                    for q in np.flatnonzero((gap * gap).sum(1) <= (eps + SLACK) ** 2):
-                        mask[rows, q * PART:(q + 1) * PART] = _linked(a[rows], b[q * PART:(q + 1) * PART], cosine)
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                if (row["a"], row["b"]) != cell:
+                    cell, held = (row["a"], row["b"]), []
+                block, own = _block(row, np.float32 if narrow else np.float64), row["a"] == row["b"]
+                if own or row["side"]:
+                    for other in held:
+                        if other["dim"] == block["dim"]:
+                            mask = _pair(other, block, cosine, eps, PART)
+                            if mask.any():
+                                yield link_rows(mask, other["ids"], block["ids"], other["copies"], block["copies"], False)
                 if own:
+                    mask = _pair(block, block, cosine, eps, PART)
                     np.fill_diagonal(mask, False)
-                yield link_rows(mask, ids, other, get("copies", np.int64), get("b_copies", np.int64), own)
+                    yield link_rows(mask, block["ids"], block["ids"], block["copies"], block["copies"], True)
+                if not row["side"]:
+                    held.append(block)
     return run
 
 
@@ -259,13 +327,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         groups = stored(groups.withColumn("rep", F.monotonically_increasing_id()), "distinct")
     sequence = _sequence(groups.select("rep", "copies", "v"), _directions(groups), eps)
     sequence = sequence.repartitionByRange(cells, "dim", "cell", "x", "rep").sortWithinPartitions("dim", "cell", "x", "rep")
-    blocks = _blocks(sequence)
-    pairs = _block_pairs(blocks, eps)
-    left = blocks.select(F.col("block").alias("a"), "ids", "copies", "m", "x")
-    right = blocks.select(F.col("block").alias("b"), F.col("ids").alias("b_ids"), F.col("copies").alias("b_copies"),
-                          F.col("m").alias("b_m"), F.col("x").alias("b_x"))
-    joined = pairs.repartition(cells, "a").join(left, "a").repartition(cells, "b", "a").join(right, "b")
-    found = stored(joined.mapInArrow(_compare(cosine, eps), LINKS), "links")
+    narrow = rows.schema["embedding"].dataType.elementType.simpleString() == "float"
+    dealt = _cells(_blocks(sequence, narrow), eps, cells).repartition(cells, "a", "b").sortWithinPartitions("a", "b", "side", "block")
+    found = stored(dealt.mapInArrow(_compare(cosine, eps, narrow), LINKS), "links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     named = groups.join(classes.withColumnRenamed("node", "rep"), "rep", "left").join(links, "rep", "left").withColumn(

@@ -53,6 +53,51 @@ def test_brute_force(spark, monkeypatch):
     assert got == want
 
 
+def test_exact_edge_and_groups_of_one_block(spark, monkeypatch):
+    monkeypatch.setattr(op8_neardup, "BLOCK_BYTES", 8 * 4 * 2)
+    monkeypatch.setattr(op8_neardup, "GROUP_BYTES", 1)
+    rows = [(i, [1.0, 0.0, 0.0, i * 1e-3]) for i in range(9)] + [(20, [9.0, 3.0, 3.0, 1.0]), (21, [9.0, 3.0, 3.0, 1.001])]
+    assert run(spark, rows) == brute(rows)
+    exact = run(spark, [(1, [1.0, 0.0, 0.0, 0.0]), (2, [9.0, 3.0, 3.0, 1.0]), (3, [8.999999, 3.0, 3.0, 1.0])])
+    assert exact == [(1, 1, 1, True), (2, 2, 1, False), (3, 1, 1, False)]  # 0.9 itself links
+
+
+def cells(spark, rows, monkeypatch):
+    """(blocks, groups, blocks sent) of a run."""
+    seen = {}
+    real = op8_neardup._cells
+
+    def spy(blocks, eps, n):
+        seen["blocks"] = blocks.count()
+        out = seen["sent"] = op8_neardup.stored(real(blocks, eps, n), "sent")
+        return out
+
+    monkeypatch.setattr(op8_neardup, "_cells", spy)
+    out = run(spark, rows)
+    sent = seen["sent"]
+    groups = sent.select("a").union(sent.select("b")).distinct().count()
+    return out, seen["blocks"], groups, sent.count()
+
+
+def test_distant_blocks_are_skipped_and_none_is_sent_once_a_pair(spark, monkeypatch):
+    monkeypatch.setattr(op8_neardup, "BLOCK", 16)
+    monkeypatch.setattr(op8_neardup, "GROUP_BYTES", 2 * 16 * 24 * 8)
+    rng = random.Random(9)
+    bent = []  # a curve through 24 dimensions: the leading directions hold its spread
+    for i in range(500):
+        t = rng.random() * 6.28
+        bent.append((i, [math.cos(t), math.sin(t), *(rng.gauss(0, 0.01) for _ in range(22))]))
+    out, blocks, groups, sent = cells(spark, bent, monkeypatch)
+    assert sent < 0.5 * blocks * groups
+    assert out == brute(bent)
+    monkeypatch.undo()
+    monkeypatch.setattr(op8_neardup, "BLOCK", 16)
+    even = [(i, [rng.gauss(0, 1) for _ in range(24)]) for i in range(500)]
+    out, blocks, groups, sent = cells(spark, even, monkeypatch)
+    assert sent <= blocks * (groups + 1) < blocks * (blocks + 1) / 3
+    assert out == brute(even)
+
+
 def test_empty_and_chain(spark):
     assert run(spark, []) == []
     turn = math.acos(0.95)
