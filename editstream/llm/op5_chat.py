@@ -13,15 +13,18 @@ scatter indices are numpy arrays, and headers, contents and ends are copied
 into one preallocated buffer that becomes the Arrow column. The loss mask is
 the byte ranges of assistant texts in the formatted text.
 
-Turns are shuffled by conversation and sorted inside partitions; a
-conversation longer than a batch comes out in consecutive parts, so a worker
-holds a batch, never a whole hot conversation. (Digests of a conversation are
-sequential by nature: they stream over its parts.)
+Turns are dealt by ranges of conversation, turn, role and text and sorted
+inside, so a hot conversation is formatted by many tasks; it comes out in parts
+whose numbers grow in its order, and a worker holds a batch, never a whole
+conversation. Digests read the parts back where they were made; only the two
+hash chains of a conversation, sequential by nature, stream through one task.
 
 Defined cases: a null role or text counts as empty; rows with a null
 conversation id are one conversation; equal turn numbers are ordered by role
-and text, nulls first; an empty table gives no rows; other columns are not
-read.
+and text, nulls first; repeated rows are turns each; long texts and roles are
+cut into batches by their bytes, and a batch is one row at least (a formatted
+turn beyond 2 GB, which no Spark string holds, ends the query with an error);
+an empty table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ HEAD, MIDDLE, END = b"### ", b": ", b"</turn>\n"
 LOSS_ROLE = "assistant"
 _TURN = re.compile(
     rb"### ([^\\:]*(?:\\.[^\\:]*)*): ([^\\<]*(?:\\.[^\\<]*)*)</turn>\n", re.S)
+KEY_CHARS = 64
+"""Characters of roles and texts in the keys of ranges."""
 PARTS = "conv_id {kind}, part long, n_turns long, formatted string, loss_starts array<long>, loss_ends array<long>"
 
 
@@ -83,26 +88,27 @@ def assemble(roles, texts):
 
 
 def format_chat(turns: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text -> the parts of each conversation, in order:
-    conv_id, part, n_turns, formatted, loss_starts, loss_ends (byte ranges)."""
+    """conv_id, turn, role, text -> the parts of each conversation:
+    conv_id, part (growing in its order, with gaps), n_turns, formatted,
+    loss_starts, loss_ends (byte ranges)."""
     rows = turns.select("conv_id", "turn", "role", "text")
     kind = rows.schema["conv_id"].dataType.simpleString()
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
 
-        last, part = object(), 0
-        for batch in slices(batches, "text"):
+        part = TaskContext.get().partitionId() << 32
+        for batch in slices(slices(batches, "text"), "role"):
             convs = batch.column("conv_id").to_pylist()
             first = [i for i in range(len(convs)) if not i or convs[i] != convs[i - 1]]
             out, bounds, starts, ends = assemble(batch.column("role"), batch.column("text"))
+            if bounds[-1] >= 2 ** 31:
+                raise OverflowError(f"formatted turns of {bounds[-1]} bytes pass a string's 2 GB")
             edges = np.array([*first, len(convs)])
-            parts = []
-            for i in first:
-                part = part + 1 if convs[i] == last else 0
-                last = convs[i]
-                parts.append(part)
+            parts = range(part, part + len(first))
+            part += len(first)
             loss = np.array([r == LOSS_ROLE for r in batch.column("role").to_pylist()])
             masked = np.concatenate(([0], np.cumsum(loss)))[edges]
             base = np.repeat(bounds[edges[:-1]], np.diff(edges))[loss]
@@ -114,7 +120,12 @@ def format_chat(turns: DataFrame) -> DataFrame:
                  pa.array(np.diff(edges), pa.int64()), text, lists(starts), lists(ends)],
                 names=["conv_id", "part", "n_turns", "formatted", "loss_starts", "loss_ends"])
 
-    return (rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    # Keys of ranges are sampled to the driver, so texts and roles count by their
+    # first characters there; behind a longer role they do not, or the order would break.
+    longer = F.coalesce(F.length("role") > KEY_CHARS, F.lit(False))
+    keys = ["conv_id", "turn", F.left("role", F.lit(KEY_CHARS)), longer, F.when(~longer, F.left("text", F.lit(KEY_CHARS)))]
+    cells = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.repartitionByRange(cells, *keys).sortWithinPartitions("conv_id", "turn", "role", "text")
             .mapInArrow(run, PARTS.format(kind=kind)))
 
 
@@ -131,45 +142,61 @@ def read_back(formatted: bytes) -> list[tuple[bytes, bytes]]:
     return found
 
 
-def digests(parts: DataFrame) -> DataFrame:
-    """Digests of what ``format_chat`` gave, a row a conversation; streams over its parts."""
-    kind = parts.schema["conv_id"].dataType.simpleString()
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+def _read(batches):
+    """Parts -> what their turns and their loss mask say, read back from the formatted text."""
+    import pyarrow as pa
+
+    for batch in slices(batches, "formatted"):
+        out = []
+        for row in batch.to_pylist():
+            raw = row["formatted"].encode()
+            turns = read_back(raw)
+            loss = unescape(b"".join(raw[a:b] for a, b in zip(row["loss_starts"], row["loss_ends"])))
+            out.append({"conv_id": row["conv_id"], "part": row["part"], "n_turns": len(turns),
+                        "turns": b"".join(role + b"\n" + text + b"\n" for role, text in turns), "loss": loss,
+                        "loss_chars": len(loss.decode()), "chars": len(row["formatted"])})
+        yield pa.RecordBatch.from_pylist(out, pa.schema([
+            ("conv_id", batch.schema.field("conv_id").type), ("part", pa.int64()), ("n_turns", pa.int64()),
+            ("turns", pa.binary()), ("loss", pa.binary()), ("loss_chars", pa.int64()), ("chars", pa.int64())]))
+
+
+def _chained(batches):
+    """Sorted parts -> a row a conversation; its hashes take one part after the other."""
+    import pyarrow as pa
+
+    conv, done, schema = None, [], None
+
+    def close(x):
+        return {"conv_id": x[0], "n_turns": x[1], "turns_sha256": x[2].hexdigest(), "loss_chars": x[3],
+                "loss_sha256": x[4].hexdigest(), "formatted_chars": x[5]}
+
+    for batch in slices(batches, "turns"):
+        schema = pa.schema([("conv_id", batch.schema.field("conv_id").type), ("n_turns", pa.int64()),
+                            ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
+                            ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+        for row in batch.to_pylist():
+            if conv is None or row["conv_id"] != conv[0]:
+                if conv:
+                    done.append(close(conv))
+                conv = [row["conv_id"], 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+            conv[1] += row["n_turns"]
+            conv[2].update(row["turns"])
+            conv[3] += row["loss_chars"]
+            conv[4].update(row["loss"])
+            conv[5] += row["chars"]
+        if done:
+            yield pa.RecordBatch.from_pylist(done, schema)
+            done = []
+    if conv:
+        yield pa.RecordBatch.from_pylist([close(conv)], schema)
 
-    def run(batches):
-        import pyarrow as pa
 
-        conv, done, schema = None, [], None
-
-        def close(x):
-            return {"conv_id": x[0], "n_turns": x[1], "turns_sha256": x[2].hexdigest(), "loss_chars": x[3],
-                    "loss_sha256": x[4].hexdigest(), "formatted_chars": x[5]}
-
-        for batch in slices(batches, "formatted"):
-            schema = pa.schema([("conv_id", batch.schema.field("conv_id").type), ("n_turns", pa.int64()),
-                                ("turns_sha256", pa.string()), ("loss_chars", pa.int64()),
-                                ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
-            for row in batch.to_pylist():
-                if row["part"] == 0:
-                    if conv:
-                        done.append(close(conv))
-                    conv = [row["conv_id"], 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                raw = row["formatted"].encode()
-                turns = read_back(raw)
-                conv[1] += len(turns)
-                conv[2].update(b"".join(role + b"\n" + text + b"\n" for role, text in turns))
-                loss = unescape(b"".join(raw[a:b] for a, b in zip(row["loss_starts"], row["loss_ends"])))
-                conv[3] += len(loss.decode())
-                conv[4].update(loss)
-                conv[5] += len(row["formatted"])
-            if done:
-                yield pa.RecordBatch.from_pylist(done, schema)
-                done = []
-        if conv:
-            yield pa.RecordBatch.from_pylist([*done, close(conv)], schema)
-
-    return parts.mapInArrow(run, f"{names[0]} {kind}, n_turns long, turns_sha256 string, loss_chars long, "
-                                 "loss_sha256 string, formatted_chars long")
+def digests(parts: DataFrame) -> DataFrame:
+    """Digests of what ``format_chat`` gave, a row a conversation."""
+    kind = parts.schema["conv_id"].dataType.simpleString()
+    read = parts.mapInArrow(_read, f"conv_id {kind}, part long, n_turns long, turns binary, loss binary, loss_chars long, chars long")
+    return read.repartition("conv_id").sortWithinPartitions("conv_id", "part").mapInArrow(
+        _chained, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 HARD_TURNS = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]

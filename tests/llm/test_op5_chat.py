@@ -52,3 +52,32 @@ def test_parts_of_a_long_conversation(spark):
         assert out[2].loss_sha256 == sha("".join(f"# {i}" for i in range(80, 120)))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_hot_conversation_is_formatted_by_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(-5 if i % 3 == 0 else None if i % 3 == 1 else i, i, "assistant", f"text {i} " * 5) for i in range(6000)]
+    parts = chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    tasks = [r.n for r in parts.groupBy(F.shiftright("part", 32).alias("task")).agg(F.sum("n_turns").alias("n")).collect()]
+    assert sum(tasks) == 6000 and max(tasks) <= 3 * 6000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = {r.conv_id: r for r in chat.digests(parts).collect()}
+    assert out[-5].loss_sha256 == sha("".join(f"text {i} " * 5 for i in range(0, 6000, 3)))
+    assert out[None].n_turns == 2000
+
+
+def test_equal_turns_with_long_roles_and_texts_keep_their_order(spark):
+    import random
+
+    rng = random.Random(3)
+    long = "r" * (chat.KEY_CHARS - 1)
+    rows = [(1, 0, rng.choice([None, "", long, long + "s", long + "st", long + "su", "é" * 80]),
+             rng.choice([None, "", "t" * 70, "t" * 70 + "u", "\U0001f642" * 65, "z", "a" * 200_000])) for _ in range(300)]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "conv_id long, turn long, role string, text string, part long")
+    (row,) = chat.digests(chat.format_chat(df)).collect()
+
+    def key(r):
+        return [(x is not None, (x or "").encode()) for x in r[2:]]
+
+    assert row.n_turns == 300
+    assert row.turns_sha256 == sha("".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in sorted(rows, key=key)))
