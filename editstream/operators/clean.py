@@ -6,6 +6,8 @@ Every function is DataFrame -> DataFrame, made of built-in expressions only
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +33,14 @@ def parse_feed_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
             .select("e.*"))
 
 
-def trim_events(raw: DataFrame, ingestion_ts: str | None = None) -> DataFrame:
+def trim_events(raw: DataFrame, ingestion_ts: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Raw nested event -> the flat 18-field edit.
 
     Missing ``bot``/``minor`` become false, the comment is cut to its first
     240 code points, the size delta exists only when both sizes do, and the
     ingestion stamp is the SQL expression ``ingestion_ts`` (default: the
     column of that name when present, so replays are deterministic, else the
-    current wall-clock second).
+    current wall-clock second). ``carry`` keeps extra columns.
     """
     if ingestion_ts is None:
         ingestion_ts = ("ingestion_ts" if "ingestion_ts" in raw.columns
@@ -56,7 +58,7 @@ def trim_events(raw: DataFrame, ingestion_ts: str | None = None) -> DataFrame:
         "length.new - length.old AS length_delta",
         "revision.old AS revision_old",
         "revision.new AS revision_new",
-        f"CAST({ingestion_ts} AS BIGINT) AS ingestion_ts",
+        f"CAST({ingestion_ts} AS BIGINT) AS ingestion_ts", *carry,
     )
 
 
@@ -71,16 +73,19 @@ def valid_edits(edits: DataFrame) -> DataFrame:
     return edits.where(has_wiki())
 
 
-def to_keyed_json(edits: DataFrame, carry: list[str] | None = None) -> DataFrame:
+def to_keyed_json(edits: DataFrame, carry: list[str] | None = None, mark: Column | None = None) -> DataFrame:
     """Keyed record for the log: key = wiki, value = JSON of the 18 fields.
 
     Nulls are written as explicit JSON nulls. Rows without a wiki are not
-    published. ``carry`` keeps extra columns (e.g. a target partition).
+    published. ``carry`` keeps extra columns (e.g. a target partition). Rows
+    for which ``mark`` holds are a source's marks: records without key and value.
     """
     value = F.to_json(F.struct(*[F.col(c) for c in EDIT_COLUMNS]),
                       {"ignoreNullFields": "false"})
-    return valid_edits(edits).select(F.col("wiki").alias("key"), value.alias("value"),
-                                     *(carry or []))
+    if mark is None:
+        return valid_edits(edits).select(F.col("wiki").alias("key"), value.alias("value"), *(carry or []))
+    return edits.where(mark | has_wiki()).select(
+        F.when(~mark, F.col("wiki")).alias("key"), F.when(~mark, value).alias("value"), *(carry or []))
 
 
 def decode_edits(records: DataFrame, value_col: str = "value") -> DataFrame:

@@ -44,7 +44,7 @@ def numbered(rows: DataFrame, order: list[str], numbers: dict[str, list[str]], t
     keys = [*grain, "_task"]
     small = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[c for n in numbers for c in (n, f"{n}_of")])
     same = [placed[k].eqNullSafe(small[f"_k{i}"]) for i, k in enumerate(keys)]
-    joined = placed.join(small, same)
+    joined = placed.join(F.broadcast(small), same)      # a row a task and group: the rows stay where they are
     return joined.select(*rows.columns, *[c for n in numbers for c in ((F.col("_at") + F.col(n)).alias(n), f"{n}_of")])
 
 

@@ -12,6 +12,8 @@ a Column built call by call costs a driver->JVM round trip per literal.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import EVENTS
@@ -56,13 +58,14 @@ def _wiki_sql(k: str) -> str:
     return f"CASE WHEN {k} < 0 THEN {_s(WIKI_BUCKETS[0][1])} ELSE try_element_at({arr}, {k} + 1) END"
 
 
-def flat_raw_columns(events: DataFrame) -> DataFrame:
-    """The raw event with its nested pairs shown flat (plus ingestion_ts)."""
+def flat_raw_columns(events: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The raw event with its nested pairs shown flat (plus ingestion_ts).
+    ``carry``: columns taken along as they are."""
     # Stage 1: the two parsed inputs, each computed once per row.
     base = events.selectExpr(
         "event_id", "event_type", "user_id",
         "try_cast(get_json_object(props, '$.k') AS INT) AS k",
-        f"{BASE_EPOCH} + (unix_timestamp(ts) - {BASE_EPOCH}) div {TIME_COMPRESSION} AS minute",
+        f"{BASE_EPOCH} + (unix_timestamp(ts) - {BASE_EPOCH}) div {TIME_COMPRESSION} AS minute", *carry,
     )
     fallback = "CASE event_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 'mystery' ELSE 'external' END"
     namespace = _case_sql("event_id % 13", NAMESPACE_BY_MOD13,
@@ -86,7 +89,7 @@ def flat_raw_columns(events: DataFrame) -> DataFrame:
         "CASE WHEN event_type = 'signup' THEN NULL ELSE 1000001 + event_id END AS revision_new",
         "minute AS ingestion_ts",
         "concat(wiki, '.example.org') AS server_name",
-        "concat('https://', wiki, '.example.org') AS server_url",
+        "concat('https://', wiki, '.example.org') AS server_url", *carry,
     )
 
 
@@ -96,14 +99,14 @@ def _pair_sql(old: str, new: str, name: str) -> str:
             f"ELSE named_struct('old', {old}, 'new', {new}) END AS {name}")
 
 
-def raw_events(events: DataFrame) -> DataFrame:
+def raw_events(events: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Nested raw change events (RAW_EVENT shape) plus the replay's ingestion_ts."""
-    return flat_raw_columns(events).selectExpr(
+    return flat_raw_columns(events, carry).selectExpr(
         "id", "type", "wiki", "title", "namespace", "user", "bot", "minor", "comment",
         "timestamp", "server_url", "server_name",
         _pair_sql("length_old", "length_new", "length"),
         _pair_sql("revision_old", "revision_new", "revision"),
-        "ingestion_ts",
+        "ingestion_ts", *carry,
     )
 
 

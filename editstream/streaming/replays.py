@@ -7,9 +7,9 @@ is late, so every table must equal its batch twin. The late variant holds rows
 with ``id % 23 == 0`` back by one slice.
 
 Landing: a distributed prefix count gives each record its offset, and its place
-in its slice; a slice is written as so many files of equal size as the session
-has shuffle partitions, then renamed into the watched folder and its files are
-dated, so the source lists slices in order. A record without key marks every
+in its slice; a slice is written as ``log_partitions`` files of equal size, which
+are dated and then moved into the watched folder, so the source lists slices in
+order. A record without key marks every
 file (a source's heartbeat), so a slice always has the same number of files. A
 session lands each replay once and every replay query reads it with its own
 checkpoint.
@@ -23,26 +23,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import to_keyed_json, valid_edits
+from ..operators.clean import to_keyed_json, trim_events, valid_edits
 from ..operators.numbering import numbered
 from ..plans import catalog
 from ..schemas import EDIT_COLUMNS
 from .. import storage
-from ..session import scratch_dir
-from ..sources import dims
+from ..session import prepare, scratch_dir
+from ..sources import dims, fixture
 from ..sources.fixture import BASE_EPOCH
 from . import log, runner, sinks
 from .sources import edit_stream
 
 SLICE_SECONDS = 360
 LATE_MOD = 23
+STREAM_PARTITIONS = 24
+_CORES: dict[str, int] = {}
 COMPACT_EVERY = 6          # twice per 12-slice replay, so the gate covers compaction
 
 
 def log_partitions(spark: SparkSession) -> int:
-    """Log partitions of a replay, and state partitions of its queries: as the
-    session is configured. Fixed for the life of a checkpoint."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Log partitions of a replay, files of a slice and state partitions of its
+    queries: as the session has shuffle partitions, but no more than the cluster
+    has cores to work on them, or ``STREAM_PARTITIONS``: each is a task and
+    files in every batch, however few rows it has. Fixed for the life of a
+    checkpoint, so the cores of a session are counted once."""
+    context = spark.sparkContext
+    cores = _CORES.setdefault(context.applicationId, context.defaultParallelism)
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(STREAM_PARTITIONS, cores))
 
 
 def _slice(late_mod: int | None):
@@ -52,15 +59,24 @@ def _slice(late_mod: int | None):
     return no
 
 
-def log_records(spark: SparkSession, sf_dir: str, late_mod: int | None = None) -> DataFrame:
-    """The valid edits as records of a keyed log, with slice, partition and
-    offset: 0, 1, 2, .. in each partition by arrival (slice, second, id). A
-    wiki is in one partition; ``slice_place`` numbers the records of a slice."""
+#: Columns of ``events`` that an edit is made of.
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "props"]
+
+
+def log_places(spark: SparkSession, sf_dir: str, late_mod: int | None = None) -> DataFrame:
+    """The events of the valid edits with their place in a keyed log: slice,
+    partition and offset: 0, 1, 2, .. in each partition by arrival (slice,
+    second, id). A wiki is in one partition; ``slice_place`` numbers the records
+    of a slice. Rows stay narrow: the edits' JSON is many times wider."""
     n = log_partitions(spark)
-    edits = valid_edits(catalog.edits(spark, sf_dir)).withColumn("slice", _slice(late_mod)).withColumn(
+    events = fixture.read_events(spark, sf_dir)
+    edits = trim_events(fixture.raw_events(events, EVENT_COLUMNS), carry=EVENT_COLUMNS)
+    # ``inline`` keeps the filter above the wiki, so its JSON field is parsed once.
+    edits = edits.select(F.inline(F.array(F.struct(*EVENT_COLUMNS, "wiki", "ingestion_ts", "id"))))
+    edits = valid_edits(edits).withColumn("slice", _slice(late_mod)).withColumn(
         "partition", F.pmod(F.xxhash64("wiki"), F.lit(n)).cast("int"))
-    records = to_keyed_json(edits, carry=["slice", "partition", "ingestion_ts", "id"])
-    return numbered(records, ["slice", "partition", "ingestion_ts", "id"],
+    rows = edits.select(*EVENT_COLUMNS, "slice", "partition", "ingestion_ts", "id")
+    return numbered(rows, ["slice", "partition", "ingestion_ts", "id"],
                     {"offset": ["partition"], "slice_place": ["slice"]}).drop("ingestion_ts", "id")
 
 
@@ -70,32 +86,36 @@ def stage_replay(spark: SparkSession, sf_dir: str, folder: str, late_mod: int |
 
     A slice is cut into files of equal numbers of records, in the order of
     partition and offset, each written by a task of its own: a wiki that holds
-    most of a slice is landed by several tasks.
+    most of a slice is landed by several tasks. A record's JSON is made where
+    it is written, so that it is neither sorted nor shuffled.
     """
+    prepare(spark)
     n = log_partitions(spark)
-    records = log_records(spark, sf_dir, late_mod).withColumn(
-        "file", F.floor(F.col("slice_place") * n / F.col("slice_place_of")).cast("int"))
-    records = records.select("key", "value", "partition", "offset", "slice", "file")
-    last = records.agg(F.max("slice")).first()[0] or 0
-    marks = spark.range((last + 1) * n).selectExpr(
-        "CAST(NULL AS STRING) AS key", "CAST(NULL AS STRING) AS value", "CAST(NULL AS INT) AS partition",
-        "CAST(NULL AS BIGINT) AS offset", f"CAST(id div {n} AS INT) AS slice", f"CAST(id % {n} AS INT) AS file")
-    (records.unionByName(marks).repartitionById(n * (last + 1), F.col("slice") * n + F.col("file"))
-     .sortWithinPartitions("partition", "offset")
-     .withColumn("of", F.concat_ws("-", "slice", "file")).drop("slice", "file")
-     .write.partitionBy("of").parquet(f"{folder}/staged"))
+    places = log_places(spark, sf_dir, late_mod)
+    places = places.withColumn("file", F.floor(F.col("slice_place") * n / F.col("slice_place_of")).cast("int")).select(
+        *EVENT_COLUMNS, "partition", "offset", "slice", "file")
+    last = places.agg(F.max("slice")).first()[0] or 0
+    marks = spark.range((last + 1) * n).select(
+        F.floor(F.col("id") / n).cast("int").alias("slice"), (F.col("id") % n).cast("int").alias("file"),
+        *[F.lit(None).cast(places.schema[c].dataType).alias(c) for c in (*EVENT_COLUMNS, "partition", "offset")])
+    at = (places.unionByName(marks).repartitionById(n * (last + 1), F.col("slice") * n + F.col("file"))
+          .withColumn("of", F.concat_ws("-", "slice", "file")).sortWithinPartitions("of", "partition", "offset"))
+    carry = ["partition", "offset", "of"]
+    edits = trim_events(fixture.raw_events(at, carry), carry=carry)
+    to_keyed_json(edits, carry, mark=F.col("offset").isNull()).write.partitionBy("of").parquet(f"{folder}/staged")
     return last
 
 
 def land_slices(spark: SparkSession, folder: str, start: int, upto: int) -> None:
-    """Move slices ``start .. upto`` into the watched folder, dated in order."""
+    """Move the files of slices ``start .. upto`` into the watched folder, dated in order."""
     dated = int(time.time()) - 3600
     for no in range(start, upto + 1):
         for p in range(log_partitions(spark)):
-            to = f"{folder}/in/{no}-{p}"
-            storage.rename(spark, f"{folder}/staged/of={no}-{p}", to)
-            for f in storage.files(spark, to):
-                storage.set_modified(spark, f, (dated + no) * 1000)
+            for k, staged in enumerate(storage.files(spark, f"{folder}/staged/of={no}-{p}")):
+                if not staged.endswith(".parquet"):
+                    continue
+                storage.set_modified(spark, staged, (dated + no) * 1000)
+                storage.rename(spark, staged, f"{folder}/in/{no}-{p}-{k}.parquet")
 
 
 def land_replay(spark: SparkSession, sf_dir: str, folder: str, late_mod: int | None = None) -> int:

@@ -66,6 +66,30 @@ def test_landing_tasks_are_even(spark):
     assert all(sorted(o) == list(range(len(o))) for o in offsets.values())
 
 
+def test_landing_moves_narrow_rows(spark):
+    folder = scratch_dir(spark, "narrow")
+    root = folder.rsplit("/", 1)[0]
+    before = set(storage.names(spark, root))
+    replays.stage_replay(spark, SF_SMALL, folder)
+    (new,) = {n for n in storage.names(spark, root) if n.startswith("numbered")} - before
+    assert "value" not in spark.read.parquet(f"{root}/{new}").columns      # the JSON is neither sorted nor shuffled
+    got = spark.read.parquet(f"{folder}/staged").filter("key IS NOT NULL").select("key", "value")
+    want = catalog.q_publish_keyed_json(spark, SF_SMALL)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("key", "value").collect()))
+
+
+def test_replay_partitions_follow_the_cores(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "2000")
+        assert replays.log_partitions(spark) <= max(replays.STREAM_PARTITIONS, spark.sparkContext.defaultParallelism)
+        spark.conf.set(name, "3")
+        assert replays.log_partitions(spark) == 3
+    finally:
+        spark.conf.set(name, before)
+
+
 # ------------------------------------------------------------------ log source
 
 def test_admission():
