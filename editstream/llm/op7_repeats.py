@@ -60,8 +60,8 @@ class _Hash:
             rng = np.random.Generator(np.random.PCG64(seed))
             letters = rng.integers(0, 1 << 64, 256, np.uint64)
             base = int(rng.integers(1 << 40, 1 << 62)) * 8 + 5
-            most = max(n, 2 * PIECE)
-            powers = lambda b: np.cumprod(np.array([1] + [b % (1 << 64)] * (most - 1), np.uint64))
+            most = max(n, PIECE + 512)
+            powers = lambda b: np.cumprod(_factors(b % (1 << 64), most))
             self.seeds[seed] = letters, powers(base), powers(pow(base, -1, 1 << 64))
         letters, power, self.inverse = self.seeds[seed]
         self.sums = np.zeros(n, np.uint64)
@@ -71,6 +71,15 @@ class _Hash:
         return mixed((self.sums[end] - self.sums[start]) * self.inverse[start])
 
 
+def _factors(base: int, most: int):
+    """1 and then ``base``: every task makes them anew, so not from a list."""
+    import numpy as np
+
+    factors = np.full(most, base, np.uint64)
+    factors[0] = 1
+    return factors
+
+
 def _forget() -> None:
     _Hash.seeds.clear()
 
@@ -144,6 +153,15 @@ def _context(data, low, n, distance):
     return mixed(_Hash(2, data).of(low, low + n + LENGTH - 1) + (distance * 128 + n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def _lists(column):
+    """The values of a column of lists, and where each row's begin (and the last's end)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return column.flatten(), np.concatenate(([0], np.cumsum(sizes)))
+
+
 def _batch(docs, core, ctx, at):
     """Rows of a batch; a pair that its document has before is marked."""
     import numpy as np
@@ -192,9 +210,11 @@ def _narrower(size: int):
         for batch in slices(batches, "text", BATCH):
             texts, ids = _texts(batch), batch.column("doc").to_numpy()
             rows = []
-            for i, (text, marks) in enumerate(zip(texts, batch.column("at").to_pylist())):
+            marks, edges = _lists(batch.column("at"))
+            marks = marks.to_numpy()
+            for i, text in enumerate(texts):
                 data = np.frombuffer(text, np.uint8)
-                at = np.array(marks, np.int64)
+                at = marks[edges[i]:edges[i + 1]]
                 for start in range(0, len(data), PIECE):
                     # An interval and its windows lie within 256 bytes of its first.
                     mine = at[(at >> 14 >= start) & (at >> 14 < start + PIECE)]
@@ -288,6 +308,22 @@ def _joined(spans) -> list[tuple[int, int]]:
     return [tuple(r) for r in out]
 
 
+def _joined_rows(column) -> list[list[tuple[int, int]]]:
+    """``_joined`` for each row of a column of spans, without an object a span."""
+    import numpy as np
+
+    spans, edges = _lists(column)
+    row = np.repeat(np.arange(len(column)), np.diff(edges))
+    shift = row << 40       # a row's runs lie behind those of the rows before
+    start, end = (spans.field(c).to_numpy().astype(np.int64) + shift for c in ("start", "end"))
+    top = np.maximum.accumulate(end)
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(start), 1), bool), start[1:] > top[:-1])))
+    last = np.append(first[1:], len(start))[:len(first)] - 1
+    runs = list(zip((start[first] - shift[first]).tolist(), (top[last] - shift[first]).tolist()))
+    begin = np.searchsorted(row[first], np.arange(len(column) + 1)).tolist()
+    return [runs[a:b] for a, b in zip(begin, begin[1:])]
+
+
 def _kept(text: bytes, spans) -> bytes:
     edges = [0, *(x for r in spans for x in r), len(text)]
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
@@ -327,10 +363,10 @@ def removed(docs: DataFrame) -> DataFrame:
 
         for batch in slices(batches, "text"):
             texts = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column(SPANS).to_pylist()):
+            for text, spans in zip(batch.column("text").to_pylist(), _joined_rows(batch.column(SPANS))):
                 if spans:
                     raw = text.encode()
-                    text = _kept(raw, whole_characters(raw, _joined(spans))).decode()
+                    text = _kept(raw, whole_characters(raw, spans)).decode()
                 texts.append(text)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names], names=names)
@@ -349,9 +385,9 @@ def op7_sparse_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         for batch in slices(batches, "text"):
             rows = []
-            for doc_id, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", SPANS))):
-                text = (text or "").encode()
-                runs = _joined(spans)
+            texts = batch.column("text").cast(pa.binary())
+            for doc_id, text, runs in zip(batch.column("doc_id").to_pylist(), texts.to_pylist(), _joined_rows(batch.column(SPANS))):
+                text = text or b""
                 rows.append({"doc_id": doc_id, "n_bytes": len(text), "n_removed": sum(b - a for a, b in runs),
                              "n_spans": len(runs), "kept_sha256": hashlib.sha256(_kept(text, runs)).hexdigest()})
             yield pa.RecordBatch.from_pylist(rows, pa.schema([

@@ -91,3 +91,28 @@ def test_runs_shrink_to_whole_characters():
     raw = "aéb".encode()
     assert op.whole_characters(raw, [(0, 2)]) == [(0, 1)] and op.whole_characters(raw, [(2, 4)]) == [(3, 4)]
     assert op.whole_characters(raw, [(1, 2)]) == [] and op.whole_characters(raw, [(0, 4)]) == [(0, 4)]
+
+
+def test_runs_of_a_column_are_joined_like_lists():
+    import pyarrow as pa
+
+    rng, rows = random.Random(5), [None, [], [(0, 100), (100, 220), (150, 180), (221, 300)]]
+    for _ in range(300):
+        starts = sorted(rng.randrange(4000) for _ in range(rng.randrange(12)))
+        rows.append([(s, s + rng.randrange(100, 240)) for s in starts] if rng.random() < 0.9 else None)
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    column = pa.array([r if r is None else [{"start": a, "end": b} for a, b in r] for r in rows], kind)
+    for lo, hi in ((0, len(rows)), (3, 90), (0, 2), (7, 7)):
+        want = [op._joined([{"start": a, "end": b} for a, b in r or ()]) for r in rows[lo:hi]]
+        assert op._joined_rows(column.slice(lo, hi - lo)) == want
+
+
+def test_factors_cost_no_object_each():
+    import tracemalloc
+
+    most = op.PIECE
+    tracemalloc.start()
+    got = op._factors(3, most)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[:3].tolist() == [1, 3, 3] and len(got) == most and peak < 8 * most + 4096
